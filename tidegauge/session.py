@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,24 @@ def local_session(app: str = "tidegauge", cpus: str | int = "*", partitions: int
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where it is installed on all nodes or given by ``--py-files``.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).parent
+        base = Path(tempfile.mkdtemp(prefix="tidegauge-")) / package.name
+        archive = shutil.make_archive(str(base), "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
+    return spark
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Event times are instants; zone-free input is read as UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
