@@ -16,11 +16,11 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 
 from ..functions.eventtime import emission_stamp
 from ..functions.smoothing import advice
-from .fold import MICROS, Carry, Smoothing, each_row, enclose, last_row
+from ..schemas import TICK_ORDER
+from .fold import Carry, Smoothing, each_row, enclose, last_row
 from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, ordered_runs, run_edges, run_table
-from .windows import in_windows
+from .windows import duration_micros, event_window
 
-ORDER = (MICROS, "seq")
 WINDOW = "_window"
 
 
@@ -30,7 +30,7 @@ def running_averages(
     zero_unset: bool = False,
     policy: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
-    """Each tick with ``ema<span>`` and ``ema<span>_before`` of its symbol.
+    """Each tick with ``ema<span>`` of its symbol for every span.
 
     The average starts at the first price. Ticks without a finite price are
     left out and leave the average as it is.
@@ -45,7 +45,7 @@ def adaptive_average(ticks: DataFrame, policy: SkewPolicy = SkewPolicy()) -> Dat
     written in seconds (``60.0`` has 4), whole days left out. The first price
     is the first average.
     """
-    return _smooth_rows(ticks, Smoothing((), seed_step=False), policy).drop("ema_before")
+    return _smooth_rows(ticks, Smoothing((), seed_step=False), policy)
 
 
 def tick_advice(
@@ -62,7 +62,9 @@ def tick_advice(
     at the next price, and ticks that leave the fast average at zero are not
     reported.
     """
-    averaged = running_averages(ticks, spans, zero_unset, policy)
+    smoothing = Smoothing(tuple(spans), zero_unset=zero_unset)
+    needed = ticks.select("symbol", "event_time", "seq", "close")
+    averaged = _smooth_rows(needed, smoothing, policy, with_before=True)
     fast, slow = (F.col(f"ema{span}") for span in spans)
     fast_before, slow_before = (F.col(f"ema{span}_before") for span in spans)
     if zero_unset:
@@ -90,23 +92,27 @@ def window_averages(
     stream by; no window is collected.
     """
     smoothing = Smoothing(tuple(spans), seed_step=False)
-    source = _with_order(ticks.select("symbol", "event_time", "seq", "close"))
-    placed = in_windows(source, size, slide).withColumn(WINDOW, F.unix_micros("window_start"))
-    columns = ["symbol", "window_start", "window_end", WINDOW, "seq", "close", MICROS]
-    placed = placed.select(*columns)
-    group, keep = ("symbol", WINDOW), ["symbol", "window_start", "window_end"]
-    schema = _schema(placed, keep, smoothing.names)
+    source = _priced(ticks).select("symbol", *TICK_ORDER, "close")
+    placed = source.withColumn("_w", event_window(size, slide))
+    placed = placed.select("symbol", F.unix_micros("_w.start").alias(WINDOW), *TICK_ORDER, "close")
+    group = ("symbol", WINDOW)
+    schema = _schema(placed, group, smoothing.names)
 
     hot = _hot_windows(source, placed, group, policy)
     cold = placed if hot is None else hot.without(placed)
-    result = _by_group(cold, group).mapInArrow(last_row(smoothing, group, keep), schema)
+    result = _by_group(cold, group).select(*group, "close").mapInArrow(last_row(smoothing, group, group), schema)
     if hot is not None:
-        runs = ordered_runs(hot.only(placed), group, ORDER, hot.rows, policy)
-        edges = run_edges(runs, group, ORDER)
+        runs = ordered_runs(hot.only(placed), group, TICK_ORDER, hot.rows, policy)
+        edges = run_edges(runs, group, TICK_ORDER)
         carry, unfinished = _carries(runs, edges, hot, smoothing)
-        task = last_row(smoothing, group, keep, carry, unfinished)
+        task = last_row(smoothing, group, group, carry, unfinished)
         result = result.unionByName(runs.mapInArrow(task, schema))
-    return result
+    return result.select(
+        "symbol",
+        F.timestamp_micros(WINDOW).alias("window_start"),
+        F.timestamp_micros(F.col(WINDOW) + duration_micros(size)).alias("window_end"),
+        *smoothing.names,
+    )
 
 
 def window_advice(
@@ -141,29 +147,33 @@ def window_advice(
     )
 
 
-def _with_order(ticks: DataFrame) -> DataFrame:
-    return ticks.filter(F.col("close").isNotNull()).withColumn(MICROS, F.unix_micros("event_time"))
+def _priced(ticks: DataFrame) -> DataFrame:
+    return ticks.filter(F.col("close").isNotNull())
 
 
 def _by_group(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    return df.repartition(*group).sortWithinPartitions(*group, *ORDER)
+    return df.repartition(*group).sortWithinPartitions(*group, *TICK_ORDER)
 
 
 def _schema(df: DataFrame, keep: Sequence[str], doubles: Sequence[str]) -> StructType:
     return StructType([*[df.schema[name] for name in keep], *[StructField(name, DoubleType()) for name in doubles]])
 
 
-def _smooth_rows(ticks: DataFrame, smoothing: Smoothing, policy: SkewPolicy) -> DataFrame:
-    placed, group, keep = _with_order(ticks), ("symbol",), ticks.columns
-    schema = _schema(placed, keep, [*smoothing.names, *smoothing.names_before])
+def _smooth_rows(
+    ticks: DataFrame, smoothing: Smoothing, policy: SkewPolicy, with_before: bool = False
+) -> DataFrame:
+    priced, group, keep = _priced(ticks), ("symbol",), ticks.columns
+    schema = _schema(priced, keep, [*smoothing.names, *(smoothing.names_before if with_before else [])])
 
-    hot = find_hot(placed, group, policy, low=F.min("close"), high=F.max("close"))
-    cold = placed if hot is None else hot.without(placed)
-    result = _by_group(cold, group).mapInArrow(each_row(smoothing, group, keep), schema)
+    hot = find_hot(priced, group, policy, low=F.min("close"), high=F.max("close"))
+    cold = priced if hot is None else hot.without(priced)
+    task = each_row(smoothing, group, keep, with_before=with_before)
+    result = _by_group(cold, group).mapInArrow(task, schema)
     if hot is not None:
-        runs = ordered_runs(hot.only(placed), group, ORDER, hot.rows, policy)
-        carry, _ = _carries(runs, run_edges(runs, group, ORDER), hot, smoothing)
-        result = result.unionByName(runs.mapInArrow(each_row(smoothing, group, keep, carry), schema))
+        runs = ordered_runs(hot.only(priced), group, TICK_ORDER, hot.rows, policy)
+        carry, _ = _carries(runs, run_edges(runs, group, TICK_ORDER), hot, smoothing)
+        task = each_row(smoothing, group, keep, carry, with_before)
+        result = result.unionByName(runs.mapInArrow(task, schema))
     return result
 
 
@@ -212,7 +222,7 @@ def _carries(
         for run in pending:
             starts[run] = ends[before[run].run]
 
-    carry = {run: Carry(settled[last.run], last.last_order[0]) for run, last in before.items()}
+    carry = {run: Carry(settled[last.run], last.last_micros) for run, last in before.items()}
     return carry, unfinished
 
 
@@ -229,7 +239,7 @@ def _fold_bounds(runs, pending, starts, before, group, smoothing) -> dict[int, t
 
     def carries(side: int) -> dict[int, Carry]:
         return {
-            run: Carry(starts[run][side], before[run].last_order[0]) for run in pending if run in starts
+            run: Carry(starts[run][side], before[run].last_micros) for run in pending if run in starts
         }
 
     bounds = [StructField(f"{side}{i}", DoubleType()) for side in ("low", "high") for i in range(width)]

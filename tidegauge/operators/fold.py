@@ -17,7 +17,6 @@ import pyarrow.compute as pc
 from ..functions.smoothing import alpha
 from .skew import RUN
 
-MICROS = "_us"
 DAY_MICROS = 86_400_000_000
 
 
@@ -124,6 +123,10 @@ class Fold:
         self.tail: tuple | None = None
         self.micros = 0
 
+    def resume(self, group: tuple, states: Sequence[float], micros: int) -> None:
+        """Go on as if the rows of ``group`` up to this state had been folded."""
+        self.tail, self.states, self.micros = group, list(states), micros
+
     def __call__(self, batch: pa.RecordBatch):
         """Row starts, then per average its values and the values before."""
         starts = group_starts(batch, self.group, self.tail)
@@ -151,7 +154,7 @@ class Fold:
     def _weights(self, batch: pa.RecordBatch, resumed: dict[int, Carry]):
         if self.smoothing.spans:
             return [np.full(batch.num_rows, alpha(span)) for span in self.smoothing.spans]
-        micros = batch.column(MICROS).to_numpy(zero_copy_only=False)
+        micros = batch.column("event_time").cast(pa.int64()).to_numpy(zero_copy_only=False)
         gaps = np.diff(micros, prepend=self.micros)
         for row, carry in resumed.items():
             gaps[row] = micros[row] - carry.micros
@@ -182,18 +185,24 @@ class Fold:
         return values, previous
 
 
-def each_row(smoothing: Smoothing, group: Sequence[str], columns: Sequence[str], carry: dict[int, Carry] | None = None):
-    """Task function: every row with its averages and the averages before it."""
-    names = [*columns, *smoothing.names, *smoothing.names_before]
+def each_row(
+    smoothing: Smoothing,
+    group: Sequence[str],
+    columns: Sequence[str],
+    carry: dict[int, Carry] | None = None,
+    with_before: bool = False,
+):
+    """Task function: every row with its averages, and on request those before it."""
+    names = [*columns, *smoothing.names, *(smoothing.names_before if with_before else [])]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = Fold(smoothing, group, carry)
         for batch in batches:
             if batch.num_rows:
                 _, averages, before = fold(batch)
+                added = averages + before if with_before else averages
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(name) for name in columns], *map(pa.array, averages), *map(pa.array, before)],
-                    names=names,
+                    [*[batch.column(name) for name in columns], *map(pa.array, added)], names=names
                 )
 
     return task

@@ -106,24 +106,20 @@ def ordered_runs(df: DataFrame, group: Sequence[str], order: Sequence[str], rows
 
 @dataclass(frozen=True)
 class Edge:
-    """First and last group of a run, and where its rows begin and end."""
+    """First and last group of a run, and the event time of its last row."""
 
     run: int
     first_group: tuple
     last_group: tuple
-    first_order: tuple
-    last_order: tuple
+    last_micros: int
 
 
 def run_edges(runs: DataFrame, group: Sequence[str], order: Sequence[str]) -> list[Edge]:
     """One entry per non-empty run, at most ``max_runs``."""
-    place = F.struct(*group, *order)
-    rows = runs.groupBy(RUN).agg(F.min(place).alias("first"), F.max(place).alias("last")).collect()
-    cut = len(group)
-    edges = [
-        Edge(r[RUN], tuple(r.first)[:cut], tuple(r.last)[:cut], tuple(r.first)[cut:], tuple(r.last)[cut:])
-        for r in rows
-    ]
+    last = F.max(F.struct(*group, *order))
+    rows = runs.groupBy(RUN).agg(F.min(F.struct(*group)).alias("first"), last.alias("last"))
+    rows = rows.withColumn("micros", F.unix_micros(f"last.{order[0]}")).collect()
+    edges = [Edge(r[RUN], tuple(r["first"]), tuple(r["last"])[: len(group)], r["micros"]) for r in rows]
     return sorted(edges, key=lambda edge: edge.run)
 
 

@@ -6,6 +6,7 @@ map side, so a hot key costs one partial row per task and window.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,11 @@ def event_window(size: str, slide: str | None = None, time: str = "event_time")
     return F.window(time, size, slide) if slide else F.window(time, size)
 
 
+def duration_micros(duration: str) -> int:
+    """``30 seconds`` or ``1 day`` in microseconds; a day has 24 hours."""
+    return pd.Timedelta(duration) // pd.Timedelta("1us")
+
+
 def in_windows(df: DataFrame, size: str, slide: str | None = None, time: str = "event_time") -> DataFrame:
     """Each row once per window it falls in, with window_start and window_end.
 

@@ -10,10 +10,12 @@ from ..functions.eventtime import event_time
 from ..functions.smoothing import to_number
 from ..schemas import TICK_CAPITALISED, TICK_LOWER
 
+GIGABYTE = 1 << 30
+
 EVENT_TABLE = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def read_json_lines(spark: SparkSession, path: str, streaming: bool = False, max_bytes: str = "1g") -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, streaming: bool = False, max_bytes: int = GIGABYTE) -> DataFrame:
     """Files of one JSON object per line as the column ``value``."""
     if streaming:
         return spark.readStream.option("maxBytesPerTrigger", max_bytes).text(path)
@@ -75,7 +77,7 @@ def table_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENT_TABLE).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str, max_bytes: str = "1g") -> DataFrame:
+def stream_events(spark: SparkSession, sf_dir: str, max_bytes: int = GIGABYTE) -> DataFrame:
     """The event table as a stream of files, ``max_bytes`` per micro-batch."""
     reader = spark.readStream.schema(EVENT_TABLE).option("maxBytesPerTrigger", max_bytes)
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
