@@ -112,6 +112,10 @@ def row_group(batch: pa.RecordBatch, group: Sequence[str], row: int) -> tuple:
     return tuple(batch.column(name)[row].as_py() for name in group)
 
 
+def _micros(times: pa.Array) -> np.ndarray:
+    return times.cast(pa.int64()).to_numpy(zero_copy_only=False)
+
+
 class Fold:
     """Folds one batch after the other and remembers where it stands."""
 
@@ -123,27 +127,26 @@ class Fold:
         self.tail: tuple | None = None
         self.micros = 0
 
-    def resume(self, group: tuple, states: Sequence[float], micros: int) -> None:
-        """Go on as if the rows of ``group`` up to this state had been folded."""
-        self.tail, self.states, self.micros = group, list(states), micros
-
     def __call__(self, batch: pa.RecordBatch):
         """Row starts, then per average its values and the values before."""
         starts = group_starts(batch, self.group, self.tail)
-        resumed = self._resumed(batch, starts)
+        resumed = self._resumed(batch)
         price = batch.column("close").to_numpy(zero_copy_only=False)
-        weights = self._weights(batch, resumed)
+        micros = None if self.smoothing.spans else _micros(batch.column("event_time"))
+        self.tail = row_group(batch, self.group, batch.num_rows - 1)
+        return starts, *self.advance(price, micros, starts, resumed)
+
+    def advance(self, price: np.ndarray, micros: np.ndarray | None, starts: np.ndarray, resumed: dict[int, Carry]):
         averages, before = [], []
-        for index, weight in enumerate(weights):
+        for index, weight in enumerate(self._weights(len(price), micros, resumed)):
             seeds = {row: carry.states[index] for row, carry in resumed.items()}
             values, previous = self._one(price, weight, starts, seeds, self.states[index])
             self.states[index] = float(values[-1])
             averages.append(values)
             before.append(previous)
-        self.tail = row_group(batch, self.group, batch.num_rows - 1)
-        return starts, averages, before
+        return averages, before
 
-    def _resumed(self, batch: pa.RecordBatch, starts: np.ndarray) -> dict[int, Carry]:
+    def _resumed(self, batch: pa.RecordBatch) -> dict[int, Carry]:
         """Rows that open a run and go on with the group of the run before."""
         if not self.carry:
             return {}
@@ -151,10 +154,9 @@ class Fold:
         opens = np.flatnonzero(np.diff(runs, prepend=-1 if self.tail is None else self.tail[-1]))
         return {int(row): self.carry[int(runs[row])] for row in opens if int(runs[row]) in self.carry}
 
-    def _weights(self, batch: pa.RecordBatch, resumed: dict[int, Carry]):
+    def _weights(self, rows: int, micros: np.ndarray | None, resumed: dict[int, Carry]) -> list[np.ndarray]:
         if self.smoothing.spans:
-            return [np.full(batch.num_rows, alpha(span)) for span in self.smoothing.spans]
-        micros = batch.column("event_time").cast(pa.int64()).to_numpy(zero_copy_only=False)
+            return [np.full(rows, alpha(span)) for span in self.smoothing.spans]
         gaps = np.diff(micros, prepend=self.micros)
         for row, carry in resumed.items():
             gaps[row] = micros[row] - carry.micros

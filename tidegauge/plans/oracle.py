@@ -186,3 +186,37 @@ SELECT symbol, window_start, window_end, ts AS event_time, seq, close FROM w""",
         "inactivity_timeout": inactivity("user_id", 10),
         "inactivity_timeout_cut": inactivity("event_type", 600),
     }
+
+
+def closed(seconds: int) -> str:
+    """Windows that a watermark this far behind the last event has passed."""
+    return f"window_end <= (SELECT max(ts) FROM events) - INTERVAL {seconds} SECOND"
+
+
+def _silent_stream(seconds: int, delay: int) -> str:
+    return f"""WITH l AS (SELECT CAST(user_id AS VARCHAR) AS symbol, min(ts) AS first_time, max(ts) AS event_time,
+  arg_max(event_id, ts) AS seq, arg_max(value, ts) AS ema FROM events GROUP BY user_id)
+SELECT *, event_time + INTERVAL {seconds} SECOND AS fired_at FROM l
+WHERE event_time + INTERVAL {seconds + delay} SECOND < (SELECT max(ts) FROM events)"""
+
+
+def _as_record(query: str) -> str:
+    return f"""SELECT symbol, epoch_us("timestamp") // 1000 AS "timestamp", ema10, ema100, advise FROM ({query})"""
+
+
+def stream_oracles() -> dict[str, str]:
+    return {
+        "stream_tick_advice": advice("user_id"),
+        "stream_tick_advice_by_type": advice("event_type"),
+        "stream_adaptive": adaptive("user_id"),
+        "stream_latest_per_tick": table_oracles()["latest_per_tick"],
+        "stream_window_averages": window_averages("event_type", 86400, 43200, closed(2)),
+        "stream_window_advice": window_advice("event_type", 86400, 43200, closed(2)),
+        "stream_window_sum": window_sum(closed(2)),
+        "stream_window_count": window_count("event_type", 30, where=closed(2)),
+        "stream_window_avg_row": window_average_row(closed(2)),
+        "stream_inactivity": _silent_stream(10, 2),
+        "job_ticks": _as_record(advice("user_id")),
+        "job_windows": _as_record(window_advice("user_id", 86400, 43200, closed(2))),
+        "job_sales": window_sum(closed(0)),
+    }

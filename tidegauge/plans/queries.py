@@ -37,7 +37,7 @@ from ..sources.ticks import decode_ticks, table_events, ticks_from_events
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Small enough that the larger groups of any test table are cut into runs.
-CUT_EARLY = SkewPolicy(hot_rows=1000, run_rows=1000)
+CUT_EARLY = SkewPolicy(hot_rows=1000, run_rows=1000, max_runs=16)
 
 
 def zone_free(df: DataFrame) -> DataFrame:
@@ -87,7 +87,11 @@ def tick_json(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "purchase", text(str.lower))
         .otherwise(text(str))
     )
-    return events.select("event_id", layout.alias("value"))
+    return events.select(layout.alias("value"), F.col("event_id").alias("seq"))
+
+
+def sale_json(events: DataFrame) -> DataFrame:
+    return sales(events).select(encode_json("*").alias("value"), F.lit(None).cast("bigint").alias("seq"))
 
 
 def ticks_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -32,7 +32,9 @@ def _doubles(names: Iterable[str]) -> list[StructField]:
 
 
 def _in_order(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    return pd.concat(rows, ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+    frames = list(rows)
+    frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    return frame.iloc[np.lexsort([frame[name].to_numpy() for name in reversed(order)])].reset_index(drop=True)
 
 
 def _plain(ticks: DataFrame) -> DataFrame:
@@ -61,15 +63,17 @@ class TickAverages(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         ticks = _in_order(rows, "event_time", "seq")
+        price, micros = ticks["close"].to_numpy(), ticks["event_time"].to_numpy()
+        last = self.last.get()
+        starts = np.zeros(len(price), dtype=bool)
+        starts[0] = last is None
         fold = Fold(self.smoothing, ["symbol"])
-        if self.last.exists():
-            *states, micros = self.last.get()
-            fold.resume((key[0],), states, micros)
-        _, averages, before = fold(pa.RecordBatch.from_pandas(ticks, preserve_index=False))
-        self.last.update((*fold.states, int(ticks["event_time"].iloc[-1])))
-        for name, values in zip([*self.smoothing.names, *self.smoothing.names_before], averages + before):
-            ticks[name] = values
-        yield ticks[self.output.names]
+        if last is not None:
+            *fold.states, fold.micros = last
+        averages, before = fold.advance(price, micros, starts, {})
+        self.last.update((*fold.states, int(micros[-1])))
+        added = zip([*self.smoothing.names, *self.smoothing.names_before], averages + before)
+        yield pd.DataFrame({**{name: ticks[name] for name in ticks.columns}, **dict(added)})[self.output.names]
 
 
 class WindowAdviceState(StatefulProcessor):
@@ -89,7 +93,7 @@ class WindowAdviceState(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         windows = _in_order(rows, "window_end")
-        known = self.last.get() if self.last.exists() else (None,) * len(self.names)
+        known = self.last.get() or (None,) * len(self.names)
         self.last.update(tuple(float(windows[name].iloc[-1]) for name in self.names))
         for name, value in zip(self.names, known):
             windows[f"{name}_before"] = windows[name].shift(1)
@@ -198,9 +202,11 @@ class FirstTime(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         ticks = _in_order(rows, "event_time", "seq")
-        if not self.first.exists():
-            self.first.update((int(ticks["event_time"].iloc[0]),))
-        ticks["first_time"] = self.first.get()[0]
+        first = self.first.get()
+        if first is None:
+            first = (int(ticks["event_time"].iloc[0]),)
+            self.first.update(first)
+        ticks["first_time"] = first[0]
         yield ticks.rename(columns={"close": "ema"})[LATEST.names]
 
 
