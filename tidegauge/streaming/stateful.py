@@ -5,6 +5,10 @@ symbol. Within one micro-batch the ticks of a symbol are folded in the order of
 event time; across micro-batches in the order they arrive. What one task holds
 in memory is one symbol's share of one micro-batch, so bound the batch at the
 source (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``).
+
+State that expires (``ttl_ms``) follows the wall clock. Such a query always has
+another micro-batch to run, so it never ends by itself: start it with a
+processing-time trigger, not with ``availableNow``.
 """
 
 from __future__ import annotations
@@ -13,11 +17,9 @@ from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions.eventtime import emission_stamp
@@ -27,20 +29,37 @@ from ..session import use_rocksdb
 from .windowed import stream_window_averages
 
 
-def _doubles(names: Iterable[str]) -> list[StructField]:
-    return [StructField(name, DoubleType()) for name in names]
+def _schema(symbol: bool = True, longs: Iterable[str] = (), doubles: Iterable[str] = ()) -> StructType:
+    return StructType(
+        [
+            *([StructField("symbol", StringType())] if symbol else []),
+            *[StructField(name, LongType()) for name in longs],
+            *[StructField(name, DoubleType()) for name in doubles],
+        ]
+    )
 
 
-def _in_order(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    frames = list(rows)
-    frame = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    return frame.iloc[np.lexsort([frame[name].to_numpy() for name in reversed(order)])].reset_index(drop=True)
+def _in_order(ticks: Iterator[Row]) -> list[Row]:
+    """By event time, then tie-breaker; a missing one comes first."""
+    return sorted(ticks, key=lambda tick: (tick.event_time, tick.seq is not None, tick.seq or 0))
 
 
-def _plain(ticks: DataFrame) -> DataFrame:
-    """Event time as microseconds, which no time zone can shift on the way."""
+def _plain(ticks: DataFrame, *more: str) -> DataFrame:
+    """Priced ticks with event time as microseconds, which no time zone can shift."""
+    kept = [F.col("event_time").alias(name) for name in more]
     return ticks.filter(F.col("close").isNotNull()).select(
-        "symbol", F.unix_micros("event_time").alias("event_time"), "seq", "close"
+        "symbol", F.unix_micros("event_time").alias("event_time"), "seq", "close", *kept
+    )
+
+
+def _timed(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({name: F.timestamp_micros(name) for name in names})
+
+
+def _with_state(df: DataFrame, processor: StatefulProcessor, time_mode: str = "None") -> DataFrame:
+    use_rocksdb(df.sparkSession)
+    return df.groupBy("symbol").transformWithState(
+        statefulProcessor=processor, outputStructType=processor.output, outputMode="append", timeMode=time_mode
     )
 
 
@@ -53,30 +72,31 @@ class TickAverages(StatefulProcessor):
 
     @property
     def output(self) -> StructType:
-        columns = [("symbol", StringType()), ("event_time", LongType()), ("seq", LongType()), ("close", DoubleType())]
         averages = [*self.smoothing.names, *self.smoothing.names_before]
-        return StructType([*[StructField(*column) for column in columns], *_doubles(averages)])
+        return _schema(longs=["event_time", "seq"], doubles=averages)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = StructType([*_doubles(self.smoothing.names), StructField("micros", LongType())])
-        self.last = handle.getValueState("last", schema, self.ttl_ms)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        ticks = _in_order(rows, "event_time", "seq")
-        price, micros = ticks["close"].to_numpy(), ticks["event_time"].to_numpy()
+        state = _schema(symbol=False, longs=["micros"], doubles=self.smoothing.names)
+        self.last = handle.getValueState("last", state, self.ttl_ms)
+        self.row = Row(*self.output.names)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        ticks = _in_order(rows)
+        price = np.array([tick.close for tick in ticks])
+        micros = np.array([tick.event_time for tick in ticks])
         last = self.last.get()
-        starts = np.zeros(len(price), dtype=bool)
+        starts = np.zeros(len(ticks), dtype=bool)
         starts[0] = last is None
         fold = Fold(self.smoothing, ["symbol"])
         if last is not None:
-            *fold.states, fold.micros = last
+            fold.micros, *fold.states = last
         averages, before = fold.advance(price, micros, starts, {})
-        self.last.update((*fold.states, int(micros[-1])))
-        added = zip([*self.smoothing.names, *self.smoothing.names_before], averages + before)
-        yield pd.DataFrame({**{name: ticks[name] for name in ticks.columns}, **dict(added)})[self.output.names]
+        self.last.update((ticks[-1].event_time, *fold.states))
+        for tick, *values in zip(ticks, *[column.tolist() for column in averages + before]):
+            yield self.row(tick.symbol, tick.event_time, tick.seq, *values)
 
 
-class WindowAdviceState(StatefulProcessor):
+class WindowsBefore(StatefulProcessor):
     """Puts the averages of the window before next to those of each window."""
 
     def __init__(self, names: list[str]):
@@ -84,37 +104,79 @@ class WindowAdviceState(StatefulProcessor):
 
     @property
     def output(self) -> StructType:
-        times = [StructField(name, LongType()) for name in ("window_start", "window_end")]
         before = [f"{name}_before" for name in self.names]
-        return StructType([StructField("symbol", StringType()), *times, *_doubles([*self.names, *before])])
+        return _schema(longs=["window_start", "window_end"], doubles=[*self.names, *before])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", StructType(_doubles(self.names)))
+        self.last = handle.getValueState("last", _schema(symbol=False, doubles=self.names))
+        self.row = Row(*self.output.names)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        windows = _in_order(rows, "window_end")
-        known = self.last.get() or (None,) * len(self.names)
-        self.last.update(tuple(float(windows[name].iloc[-1]) for name in self.names))
-        for name, value in zip(self.names, known):
-            windows[f"{name}_before"] = windows[name].shift(1)
-            if value is not None:
-                windows.loc[0, f"{name}_before"] = value
-        yield windows[self.output.names].dropna()
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        before = self.last.get()
+        for window in sorted(rows, key=lambda window: window.window_end):
+            now = tuple(window[name] for name in self.names)
+            if before is not None:
+                yield self.row(window.symbol, window.window_start, window.window_end, *now, *before)
+            before = now
+        self.last.update(tuple(before))
 
 
-def _timed(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: F.timestamp_micros(name) for name in names})
+class FirstTime(StatefulProcessor):
+    """Remembers when a symbol was first seen; the latest close is the average."""
 
+    output = _schema(longs=["first_time", "event_time", "seq"], doubles=["ema"])
 
-def _averaged(ticks: DataFrame, processor: TickAverages, time_mode: str) -> DataFrame:
-    use_rocksdb(ticks.sparkSession)
-    out = (
-        _plain(ticks)
-        .groupBy("symbol")
-        .transformWithStateInPandas(
-            statefulProcessor=processor, outputStructType=processor.output, outputMode="append", timeMode=time_mode
-        )
-    )
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first", _schema(symbol=False, longs=["micros"]))
+        self.row = Row(*self.output.names)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        ticks = _in_order(rows)
+        first = self.first.get()
+        if first is None:
+            first = (ticks[0].event_time,)
+            self.first.update(first)
+        for tick in ticks:
+            yield self.row(tick.symbol, first[0], tick.event_time, tick.seq, tick.close)
+
+
+class Silence(StatefulProcessor):
+    """Reports the last tick of a symbol when its timer runs out.
+
+    A timer that a later tick has overtaken is left to run out and ignored.
+    """
+
+    output = _schema(longs=["first_time", "event_time", "seq", "fired_at"], doubles=["ema"])
+
+    def __init__(self, timeout_ms: int):
+        self.timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        state = _schema(symbol=False, longs=["first_time", "event_time", "seq"], doubles=["ema"])
+        self.last = handle.getValueState("last", state)
+        self.row = Row(*self.output.names)
+
+    def _due(self, micros: int) -> int:
+        return micros // 1000 + self.timeout_ms
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        ticks = _in_order(rows)
+        latest, known = ticks[-1], self.last.get()
+        if known is None or latest.event_time >= known[1]:
+            first = ticks[0].event_time if known is None else known[0]
+            self.last.update((first, latest.event_time, latest.seq, latest.close))
+            self.handle.registerTimer(self._due(latest.event_time))
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        first, last, seq, ema = self.last.get()
+        if expiredTimerInfo.getExpiryTimeInMs() == self._due(last):
+            yield self.row(key[0], first, last, seq, last + self.timeout_ms * 1000, ema)
+
+
+def _averaged(ticks: DataFrame, smoothing: Smoothing, ttl_ms: int | None) -> DataFrame:
+    out = _with_state(_plain(ticks), TickAverages(smoothing, ttl_ms), "ProcessingTime" if ttl_ms else "None")
     return _timed(out, "event_time")
 
 
@@ -128,11 +190,9 @@ def stream_tick_advice(
 ) -> DataFrame:
     """``operators.tick_advice`` on a stream without a watermark.
 
-    With ``ttl_ms`` a symbol without ticks for that long (wall clock) starts
-    again.
+    With ``ttl_ms`` a symbol without ticks for that long starts again.
     """
-    processor = TickAverages(Smoothing(tuple(spans), zero_unset=zero_unset), ttl_ms)
-    out = _averaged(ticks, processor, "ProcessingTime" if ttl_ms else "None")
+    out = _averaged(ticks, Smoothing(tuple(spans), zero_unset=zero_unset), ttl_ms)
     fast, slow = (F.col(f"ema{span}") for span in spans)
     fast_before, slow_before = (F.col(f"ema{span}_before") for span in spans)
     if zero_unset:
@@ -149,8 +209,7 @@ def stream_tick_advice(
 
 def stream_adaptive_average(ticks: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """``operators.adaptive_average`` on a stream; state may expire as above."""
-    processor = TickAverages(Smoothing((), seed_step=False), ttl_ms)
-    return _averaged(ticks, processor, "ProcessingTime" if ttl_ms else "None").drop("ema_before")
+    return _averaged(ticks, Smoothing((), seed_step=False), ttl_ms).drop("ema_before")
 
 
 def stream_window_advice(
@@ -163,16 +222,12 @@ def stream_window_advice(
 ) -> DataFrame:
     """``operators.window_advice`` on a stream with a watermark."""
     names = [f"ema{span}" for span in spans]
-    processor = WindowAdviceState(names)
-    use_rocksdb(ticks.sparkSession)
     averaged = stream_window_averages(ticks, size, slide, spans).withColumns(
         {name: F.unix_micros(name) for name in ("window_start", "window_end")}
     )
-    out = averaged.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=processor.output, outputMode="append", timeMode="None"
-    )
+    out = _timed(_with_state(averaged, WindowsBefore(names)), "window_start", "window_end")
     fast, slow = F.col(names[0]), F.col(names[1])
-    return _timed(out, "window_start", "window_end").select(
+    return out.select(
         "symbol",
         "window_start",
         "window_end",
@@ -183,72 +238,9 @@ def stream_window_advice(
     )
 
 
-LATEST = StructType(
-    [
-        StructField("symbol", StringType()),
-        StructField("first_time", LongType()),
-        StructField("event_time", LongType()),
-        StructField("seq", LongType()),
-        StructField("ema", DoubleType()),
-    ]
-)
-
-
-class FirstTime(StatefulProcessor):
-    """Remembers when a symbol was first seen; the latest close is the average."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", StructType([StructField("micros", LongType())]))
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        ticks = _in_order(rows, "event_time", "seq")
-        first = self.first.get()
-        if first is None:
-            first = (int(ticks["event_time"].iloc[0]),)
-            self.first.update(first)
-        ticks["first_time"] = first[0]
-        yield ticks.rename(columns={"close": "ema"})[LATEST.names]
-
-
 def stream_latest_per_tick(ticks: DataFrame) -> DataFrame:
     """``operators.latest_per_tick`` on a stream without a watermark."""
-    use_rocksdb(ticks.sparkSession)
-    out = (
-        _plain(ticks)
-        .groupBy("symbol")
-        .transformWithStateInPandas(
-            statefulProcessor=FirstTime(), outputStructType=LATEST, outputMode="append", timeMode="None"
-        )
-    )
-    return _timed(out, "first_time", "event_time")
-
-
-SILENT = StructType([*LATEST.fields, StructField("fired_at", LongType())])
-SILENCE_STATE = StructType([field for field in LATEST.fields if field.name != "symbol"])
-
-
-def _silence(timeout_ms: int):
-    """A function that reports a symbol's last tick once its timer runs out."""
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            first, last, seq, ema = state.get
-            yield pd.DataFrame([(key[0], first, last, seq, ema, last + timeout_ms * 1000)], columns=SILENT.names)
-            return
-        ticks = _in_order(frames, "event_time", "seq")
-        latest = ticks.iloc[-1]
-        if state.exists:
-            first, last, seq, ema = state.get
-        else:
-            first, last, seq, ema = int(ticks["event_time"].iloc[0]), -1, 0, 0.0
-        if latest["event_time"] >= last:
-            last, seq, ema = int(latest["event_time"]), int(latest["seq"]), float(latest["close"])
-        state.update((first, last, seq, ema))
-        # The timer may not lie before the watermark; then it runs out at once.
-        due = last // 1000 + timeout_ms
-        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-
-    return update
+    return _timed(_with_state(_plain(ticks), FirstTime()), "first_time", "event_time")
 
 
 def stream_inactive_keys(ticks: DataFrame, timeout_ms: int = 10_000) -> DataFrame:
@@ -258,18 +250,5 @@ def stream_inactive_keys(ticks: DataFrame, timeout_ms: int = 10_000) -> DataFram
     whose next tick arrives before the watermark has passed its timer is not
     reported, though the table form would.
     """
-    out = (
-        _watermarked_plain(ticks)
-        .groupBy("symbol")
-        .applyInPandasWithState(
-            _silence(timeout_ms), SILENT, SILENCE_STATE, "append", GroupStateTimeout.EventTimeTimeout
-        )
-    )
+    out = _with_state(_plain(ticks, "_at"), Silence(timeout_ms), "EventTime")
     return _timed(out, "first_time", "event_time", "fired_at")
-
-
-def _watermarked_plain(ticks: DataFrame) -> DataFrame:
-    """As ``_plain``, with the watermarked column itself kept alongside."""
-    return ticks.filter(F.col("close").isNotNull()).select(
-        "symbol", F.unix_micros("event_time").alias("event_time"), "seq", "close", F.col("event_time").alias("_at")
-    )
