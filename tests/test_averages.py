@@ -194,10 +194,28 @@ def test_one_window_gives_no_window_advice(spark):
     assert window_advice(frame, "30 seconds").count() == 0
 
 
-def test_hot_windows_in_runs(spark):
-    prices = _walk(11, 900)
-    frame = ticks(spark, [("A", i * 0.5, p) for i, p in enumerate(prices)] + [("B", 3, 1.0)])
-    plain = sorted(map(tuple, seconds(window_averages(frame, "2 minutes", "1 minute")).collect()))
-    for policy in (SkewPolicy(hot_rows=50, run_rows=70), SkewPolicy(hot_rows=200, run_rows=30)):
-        cut = window_averages(frame, "2 minutes", "1 minute", policy=policy)
-        assert sorted(map(tuple, seconds(cut).collect())) == plain
+@pytest.mark.parametrize("size, slide", [(120, 60), (70, 20), (3, 1), (50, None)])
+def test_windows_whether_cut_or_not(spark, size, slide):
+    """Also sizes that are no multiple of the slide, and times before 1970."""
+    prices = _walk(11, 600)
+    rows = [("A", i * 0.5 - 60, p) for i, p in enumerate(prices)] + [("B", 3, 1.0), ("B", -2e9, 4.0)]
+    frame = ticks(spark, rows)
+    windows = {}
+    for symbol, moment, price in sorted(rows, key=lambda row: (row[0], row[1])):
+        micros, step = round((at(moment).timestamp()) * 1e6), (slide or size) * 1_000_000
+        start = micros // step * step
+        while start + size * 1_000_000 > micros:
+            windows.setdefault((symbol, start), []).append(price)
+            start -= step
+    plain = sorted(
+        (s, start / 1e6 - at(0).timestamp(), *(plain_fold(v, n, seed_step=False)[-1] for n in (10, 100)))
+        for (s, start), v in windows.items()
+    )
+
+    def got(policy):
+        result = window_averages(frame, f"{size} seconds", slide and f"{slide} seconds", policy=policy)
+        return sorted((r.symbol, r.window_start, r.ema10, r.ema100) for r in seconds(result).collect())
+
+    assert got(SkewPolicy()) == plain
+    for policy in (SkewPolicy(hot_rows=50, run_rows=90), SkewPolicy(hot_rows=200, run_rows=40, max_runs=12)):
+        assert got(policy) == plain

@@ -8,7 +8,7 @@ equal the price, and the sign of their difference is that of a rounding error.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,11 +17,9 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 from ..functions.eventtime import emission_stamp
 from ..functions.smoothing import advice
 from ..schemas import TICK_ORDER
-from .fold import Carry, Smoothing, each_row, enclose, last_row
+from .fold import Carry, Smoothing, each_row, enclose, last_row, last_row_of_windows
 from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, ordered_runs, run_edges, run_table
-from .windows import duration_micros, event_window
-
-WINDOW = "_window"
+from .windows import BLOCK, WINDOW, WindowBlocks
 
 
 def running_averages(
@@ -88,29 +86,32 @@ def window_averages(
 ) -> DataFrame:
     """The averages of each (symbol, window), started anew in every window.
 
-    Rows are spread over tasks by symbol and window and folded as they
-    stream by; no window is collected.
+    Rows are spread over tasks by symbol and block of windows and folded as
+    they stream by; no window is collected.
     """
     smoothing = Smoothing(tuple(spans), seed_step=False)
+    windows = WindowBlocks.of(size, slide)
     source = _priced(ticks).select("symbol", *TICK_ORDER, "close")
-    placed = source.withColumn("_w", event_window(size, slide))
-    placed = placed.select("symbol", F.unix_micros("_w.start").alias(WINDOW), *TICK_ORDER, "close")
-    group = ("symbol", WINDOW)
-    schema = _schema(placed, group, smoothing.names)
+    placed, group, block = windows.place(source), ("symbol", WINDOW), ("symbol", BLOCK)
+    schema = StructType(
+        [source.schema["symbol"], StructField(WINDOW, LongType()), *_doubles(smoothing.names)]
+    )
 
-    hot = _hot_windows(source, placed, group, policy)
+    hot = _hot_blocks(source, placed, block, policy)
     cold = placed if hot is None else hot.without(placed)
-    result = _by_group(cold, group).select(*group, "close").mapInArrow(last_row(smoothing, group, group), schema)
+    result = _by_group(cold, block).drop("seq").mapInArrow(last_row_of_windows(smoothing, windows), schema)
     if hot is not None:
-        runs = ordered_runs(hot.only(placed), group, TICK_ORDER, hot.rows, policy)
-        edges = run_edges(runs, group, TICK_ORDER)
-        carry, unfinished = _carries(runs, edges, hot, smoothing)
-        task = last_row(smoothing, group, group, carry, unfinished)
-        result = result.unionByName(runs.mapInArrow(task, schema))
+        rows = windows.unfold(hot.only(placed)).drop(BLOCK)
+        runs = ordered_runs(rows, group, TICK_ORDER, hot.rows * windows.per_size, policy)
+        limits = _limits(hot, smoothing)
+        carry, unfinished = _carries(
+            runs, run_edges(runs, group, TICK_ORDER), group, smoothing, lambda g: limits[g[0], windows.block_of(g[1])]
+        )
+        result = result.unionByName(runs.mapInArrow(last_row(smoothing, group, group, carry, unfinished), schema))
     return result.select(
         "symbol",
         F.timestamp_micros(WINDOW).alias("window_start"),
-        F.timestamp_micros(F.col(WINDOW) + duration_micros(size)).alias("window_end"),
+        F.timestamp_micros(F.col(WINDOW) + windows.size).alias("window_end"),
         *smoothing.names,
     )
 
@@ -155,15 +156,16 @@ def _by_group(df: DataFrame, group: Sequence[str]) -> DataFrame:
     return df.repartition(*group).sortWithinPartitions(*group, *TICK_ORDER)
 
 
-def _schema(df: DataFrame, keep: Sequence[str], doubles: Sequence[str]) -> StructType:
-    return StructType([*[df.schema[name] for name in keep], *[StructField(name, DoubleType()) for name in doubles]])
+def _doubles(names: Sequence[str]) -> list[StructField]:
+    return [StructField(name, DoubleType()) for name in names]
 
 
 def _smooth_rows(
     ticks: DataFrame, smoothing: Smoothing, policy: SkewPolicy, with_before: bool = False
 ) -> DataFrame:
     priced, group, keep = _priced(ticks), ("symbol",), ticks.columns
-    schema = _schema(priced, keep, [*smoothing.names, *(smoothing.names_before if with_before else [])])
+    added = [*smoothing.names, *(smoothing.names_before if with_before else [])]
+    schema = StructType([*[priced.schema[name] for name in keep], *_doubles(added)])
 
     hot = find_hot(priced, group, policy, low=F.min("close"), high=F.max("close"))
     cold = priced if hot is None else hot.without(priced)
@@ -171,28 +173,45 @@ def _smooth_rows(
     result = _by_group(cold, group).mapInArrow(task, schema)
     if hot is not None:
         runs = ordered_runs(hot.only(priced), group, TICK_ORDER, hot.rows, policy)
-        carry, _ = _carries(runs, run_edges(runs, group, TICK_ORDER), hot, smoothing)
+        limits = _limits(hot, smoothing)
+        carry, _ = _carries(runs, run_edges(runs, group, TICK_ORDER), group, smoothing, limits.__getitem__)
         task = each_row(smoothing, group, keep, carry, with_before)
         result = result.unionByName(runs.mapInArrow(task, schema))
     return result
 
 
-def _hot_windows(source: DataFrame, placed: DataFrame, group: Sequence[str], policy: SkewPolicy) -> HotGroups | None:
-    """A window can only be hot if its symbol is, so symbols are counted first."""
+def _hot_blocks(source: DataFrame, placed: DataFrame, block: Sequence[str], policy: SkewPolicy) -> HotGroups | None:
+    """A block can only be hot if its symbol is, so symbols are counted first."""
     symbols = find_hot(source, ("symbol",), policy)
     if symbols is None:
         return None
-    return find_hot(symbols.only(placed), group, policy, low=F.min("close"), high=F.max("close"))
+    return find_hot(symbols.only(placed), block, policy, low=F.min("close"), high=F.max("close"))
+
+
+def _limits(hot: HotGroups, smoothing: Smoothing) -> dict[tuple, tuple[float, float]]:
+    """Per hot group, bounds that no average of its prices can leave.
+
+    Rounding may take an average past the lowest or highest price: all steps
+    together by at most the error of one divided by the weight of a price.
+    """
+    limits = {}
+    for row in hot.found:
+        slack = 16 * 2.0**-52 / smoothing.least_weight * max(abs(row["low"]), abs(row["high"]))
+        limits[tuple(row[name] for name in hot.group)] = (row["low"] - slack, row["high"] + slack)
+    return limits
 
 
 def _carries(
-    runs: DataFrame, edges: list[Edge], hot: HotGroups, smoothing: Smoothing
+    runs: DataFrame,
+    edges: list[Edge],
+    group: Sequence[str],
+    smoothing: Smoothing,
+    limits: Callable[[tuple], tuple[float, float]],
 ) -> tuple[dict[int, Carry], frozenset[int]]:
     """What each run goes on from, exactly, and which runs are gone on from.
 
     A run inside a hot group does not know the average it starts from, only
-    that it lies between the group's lowest and highest price, give or take
-    rounding. All runs are folded from both bounds at once; old prices fade, so
+    that it lies within the group's limits. All runs are folded from both bounds at once; old prices fade, so
     after a few thousand rows the two are the same number. A run whose bounds
     stay apart is folded again from the bounds its predecessor ended with,
     until all are settled; each round settles at least the next run of a group.
@@ -200,21 +219,20 @@ def _carries(
     before = {now.run: last for last, now in zip(edges, edges[1:]) if last.last_group == now.first_group}
     unfinished = frozenset(edge.run for edge in before.values())
     last_groups = {edge.run: edge.last_group for edge in edges}
-    limits = {tuple(row[name] for name in hot.group): _widened(row, smoothing) for row in hot.found}
 
     starts: dict[int, tuple] = {}
     for edge in edges:
         if edge.run in before and edge.first_group == edge.last_group:
-            low, high = limits[edge.first_group]
+            low, high = limits(edge.first_group)
             starts[edge.run] = ((low,) * smoothing.width, (high,) * smoothing.width)
     settled: dict[int, tuple] = {}
     ends: dict[int, tuple] = {}
     pending = set(unfinished)
     while pending:
-        found = _fold_bounds(runs, pending, starts, before, hot.group, smoothing)
+        found = _fold_bounds(runs, pending, starts, before, group, smoothing)
         for run, (certain, low, high) in found.items():
             if not certain:
-                low, high = ((limit,) * smoothing.width for limit in limits[last_groups[run]])
+                low, high = ((limit,) * smoothing.width for limit in limits(last_groups[run]))
             ends[run] = (low, high)
             if low == high:
                 settled[run] = low
@@ -226,13 +244,6 @@ def _carries(
     return carry, unfinished
 
 
-def _widened(row, smoothing: Smoothing) -> tuple[float, float]:
-    """Bounds no rounded average can leave: the error of all steps together is
-    at most that of one step divided by the weight of the newest price."""
-    slack = 16 * 2.0**-52 / smoothing.least_weight * max(abs(row["low"]), abs(row["high"]))
-    return row["low"] - slack, row["high"] + slack
-
-
 def _fold_bounds(runs, pending, starts, before, group, smoothing) -> dict[int, tuple]:
     """One job over the pending runs; at most one small row comes back per run."""
     width = smoothing.width

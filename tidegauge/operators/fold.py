@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 
 from ..functions.smoothing import alpha
 from .skew import RUN
+from .windows import BLOCK, WINDOW, WindowBlocks
 
 DAY_MICROS = 86_400_000_000
 
@@ -210,6 +211,51 @@ def each_row(
     return task
 
 
+class LastRows:
+    """The last row of every group with its averages, batch by batch.
+
+    ``unfinished`` names the runs whose last group goes on in the next run.
+    """
+
+    def __init__(
+        self,
+        smoothing: Smoothing,
+        group: Sequence[str],
+        columns: Sequence[str],
+        carry: dict[int, Carry] | None = None,
+        unfinished: frozenset[int] = frozenset(),
+    ):
+        self.fold = Fold(smoothing, group, carry)
+        self.columns = list(columns)
+        self.names = [*columns, *smoothing.names]
+        self.in_runs = carry is not None
+        self.unfinished = unfinished
+        self.pending: pa.RecordBatch | None = None
+
+    def feed(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        tail = self.fold.tail
+        starts, averages, _ = self.fold(batch)
+        result = pa.RecordBatch.from_arrays(
+            [*[batch.column(name) for name in self.columns], *map(pa.array, averages)], names=self.names
+        )
+        if starts[0]:
+            yield from self._release(tail)
+        ends = np.flatnonzero(starts[1:])
+        if self.in_runs and len(ends):
+            ends = ends[_closes(batch, ends, self.unfinished)]
+        if len(ends):
+            yield result.take(pa.array(ends))
+        self.pending = result.slice(batch.num_rows - 1)
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        yield from self._release(self.fold.tail)
+
+    def _release(self, tail: tuple | None) -> Iterator[pa.RecordBatch]:
+        if self.pending is not None and not (self.in_runs and tail[-1] in self.unfinished):
+            yield self.pending
+        self.pending = None
+
+
 def last_row(
     smoothing: Smoothing,
     group: Sequence[str],
@@ -217,37 +263,46 @@ def last_row(
     carry: dict[int, Carry] | None = None,
     unfinished: frozenset[int] = frozenset(),
 ):
-    """Task function: the last row of every group with its averages.
-
-    ``unfinished`` names the runs whose last group goes on in the next run.
-    """
-    names = [*columns, *smoothing.names]
+    """Task function: the last row of every group with its averages."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fold = Fold(smoothing, group, carry)
-        pending = None
+        last = LastRows(smoothing, group, columns, carry, unfinished)
+        for batch in batches:
+            if batch.num_rows:
+                yield from last.feed(batch)
+        yield from last.finish()
+
+    return task
+
 
-        def finished(row: pa.RecordBatch, tail: tuple) -> bool:
-            return carry is None or tail[-1] not in unfinished
+def last_row_of_windows(smoothing: Smoothing, windows: WindowBlocks):
+    """Task function: the last row of every (symbol, window) with its averages.
 
+    Rows come sorted by (symbol, block, event time). Sliding windows overlap,
+    but every ``per_size``-th of them do not: those are groups of adjacent rows
+    as they stand, so rows are swept once per such series and never copied.
+    """
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = ["symbol", WINDOW]
+        series = [LastRows(smoothing, group, group) for _ in range(windows.per_size)]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tail = fold.tail
-            starts, averages, _ = fold(batch)
-            result = pa.RecordBatch.from_arrays(
-                [*[batch.column(name) for name in columns], *map(pa.array, averages)], names=names
-            )
-            if pending is not None and starts[0] and finished(pending, tail):
-                yield pending
-            ends = np.flatnonzero(starts[1:])
-            if carry is not None and len(ends):
-                ends = ends[_closes(batch, ends, unfinished)]
-            if len(ends):
-                yield result.take(pa.array(ends))
-            pending = result.slice(batch.num_rows - 1)
-        if pending is not None and finished(pending, fold.tail):
-            yield pending
+            micros, block = _micros(batch.column("event_time")), batch.column(BLOCK).to_numpy()
+            pane = micros // windows.slide
+            for index, last in enumerate(series):
+                window = pane - (pane - index) % windows.per_size
+                inside = (window // windows.per_block == block) & (micros < window * windows.slide + windows.size)
+                if not inside.any():
+                    continue
+                rows = pa.RecordBatch.from_arrays(
+                    [batch.column("symbol"), pa.array(window * windows.slide), batch.column("close")],
+                    names=[*group, "close"],
+                )
+                yield from last.feed(rows if inside.all() else rows.filter(pa.array(inside)))
+        for last in series:
+            yield from last.finish()
 
     return task
 

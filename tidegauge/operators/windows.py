@@ -6,6 +6,8 @@ map side, so a hot key costs one partial row per task and window.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,58 @@ def duration_micros(duration: str) -> int:
     return pd.Timedelta(duration) // pd.Timedelta("1us")
 
 
+WINDOW = "_window"
+BLOCK = "_block"
+
+
+@dataclass(frozen=True)
+class WindowBlocks:
+    """Windows in blocks of neighbours, so that rows need not be copied per window.
+
+    A row lies in up to ``per_size`` windows. They belong to one block, or to
+    two for the few rows near a border, so a shuffle by block moves hardly more
+    than one copy of each row. All times are microseconds.
+    """
+
+    size: int
+    slide: int
+    per_size: int
+    per_block: int
+
+    @classmethod
+    def of(cls, size: str, slide: str | None) -> WindowBlocks:
+        length, step = duration_micros(size), duration_micros(slide or size)
+        if not 0 < step <= length:
+            raise ValueError("a slide is positive and at most the size of the window")
+        per_size = -(-length // step)
+        return cls(length, step, per_size, 1 if per_size == 1 else 16 * per_size)
+
+    def _pane(self, time: Column) -> Column:
+        micros = F.unix_micros(time)
+        return ((micros - F.pmod(micros, F.lit(self.slide))) / self.slide).cast("bigint")
+
+    def place(self, df: DataFrame, time: str = "event_time") -> DataFrame:
+        """Rows with ``_block``, twice if they count in two blocks."""
+        placed = df.filter(F.col(time).isNotNull())
+        pane = self._pane(F.col(time))
+        if self.per_size == 1:
+            return placed.withColumn(BLOCK, pane)
+        first, last = (F.floor(p / self.per_block).cast("bigint") for p in (pane - (self.per_size - 1), pane))
+        return placed.withColumn(BLOCK, F.explode(F.sequence(first, last)))
+
+    def unfold(self, placed: DataFrame, time: str = "event_time") -> DataFrame:
+        """Rows of blocks once per window of the block, with its start in ``_window``."""
+        pane, block = self._pane(F.col(time)), F.col(BLOCK)
+        first = F.greatest(pane - (self.per_size - 1), block * self.per_block)
+        last = F.least(pane, (block + 1) * self.per_block - 1)
+        unfolded = placed.withColumn(WINDOW, F.explode(F.sequence(first, last)))
+        started = unfolded.withColumn(WINDOW, F.col(WINDOW) * self.slide)
+        return started.filter(F.unix_micros(time) < F.col(WINDOW) + self.size)
+
+    def block_of(self, window: int) -> int:
+        return window // self.slide // self.per_block
+
+
 def in_windows(df: DataFrame, size: str, slide: str | None = None, time: str = "event_time") -> DataFrame:
     """Each row once per window it falls in, with window_start and window_end.
 
