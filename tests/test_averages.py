@@ -219,3 +219,20 @@ def test_windows_whether_cut_or_not(spark, size, slide):
     assert got(SkewPolicy()) == plain
     for policy in (SkewPolicy(hot_rows=50, run_rows=90), SkewPolicy(hot_rows=200, run_rows=40, max_runs=12)):
         assert got(policy) == plain
+
+
+def test_the_optimizer_leaves_the_fold_whole(spark):
+    """A filter or an aggregate on top must not reach the rows being folded."""
+    prices = _walk(21, 300)
+    frame = ticks(spark, [(s, i, p) for i, p in enumerate(prices) for s in "AB"])
+    fold = plain_fold(prices, 10)
+    for policy in (SkewPolicy(), SkewPolicy(hot_rows=50, run_rows=70)):
+        averaged = running_averages(frame, (10,), policy=policy)
+        late = averaged.filter((F.col("symbol") == "A") & (F.col("seq") >= 500))
+        assert [v for (v,) in by_seq(late, "ema10")] == fold[250:]
+        total = averaged.groupBy("symbol").agg(F.max("ema10").alias("top"), F.count("*").alias("n")).collect()
+        assert {tuple(row) for row in total} == {(s, max(fold), 300) for s in "AB"}
+        advised = tick_advice(frame, policy=policy).groupBy("symbol", "advise").count().collect()
+        wanted = plain_advice(prices)
+        assert {tuple(row) for row in advised} == {(s, a, wanted.count(a)) for s in "AB" for a in set(wanted)}
+        assert averaged.limit(5).count() == 5 and averaged.orderBy(F.desc("seq")).first().ema10 == fold[-1]

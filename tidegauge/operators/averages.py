@@ -17,7 +17,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 from ..functions.eventtime import emission_stamp
 from ..functions.smoothing import advice
 from ..schemas import TICK_ORDER
-from .fold import Carry, Smoothing, each_row, enclose, last_row, last_row_of_windows
+from .fold import Carry, Smoothing, each_row, enclose, last_row, last_row_of_windows, row_inputs
 from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, ordered_runs, run_edges, run_table
 from .windows import BLOCK, WINDOW, WindowBlocks
 
@@ -163,20 +163,21 @@ def _doubles(names: Sequence[str]) -> list[StructField]:
 def _smooth_rows(
     ticks: DataFrame, smoothing: Smoothing, policy: SkewPolicy, with_before: bool = False
 ) -> DataFrame:
-    priced, group, keep = _priced(ticks), ("symbol",), ticks.columns
+    priced, group = _priced(ticks), ("symbol",)
     added = [*smoothing.names, *(smoothing.names_before if with_before else [])]
-    schema = StructType([*[priced.schema[name] for name in keep], *_doubles(added)])
+
+    def averaged(df: DataFrame, carry: dict[int, Carry] | None = None) -> DataFrame:
+        inputs = row_inputs(smoothing, group, carry is not None)
+        averages = each_row(smoothing, group, carry, with_before)(*inputs)
+        return df.withColumn("_ema", averages).select(*ticks.columns, *[f"_ema.{name}" for name in added])
 
     hot = find_hot(priced, group, policy, low=F.min("close"), high=F.max("close"))
-    cold = priced if hot is None else hot.without(priced)
-    task = each_row(smoothing, group, keep, with_before=with_before)
-    result = _by_group(cold, group).mapInArrow(task, schema)
+    result = averaged(_by_group(priced if hot is None else hot.without(priced), group))
     if hot is not None:
         runs = ordered_runs(hot.only(priced), group, TICK_ORDER, hot.rows, policy)
         limits = _limits(hot, smoothing)
         carry, _ = _carries(runs, run_edges(runs, group, TICK_ORDER), group, smoothing, limits.__getitem__)
-        task = each_row(smoothing, group, keep, carry, with_before)
-        result = result.unionByName(runs.mapInArrow(task, schema))
+        result = result.unionByName(averaged(runs, carry))
     return result
 
 

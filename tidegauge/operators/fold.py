@@ -7,12 +7,15 @@ borders need no loop of their own. Memory is one batch, however long a group.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.smoothing import alpha
 from .skew import RUN
@@ -189,26 +192,34 @@ class Fold:
 
 
 def each_row(
-    smoothing: Smoothing,
-    group: Sequence[str],
-    columns: Sequence[str],
-    carry: dict[int, Carry] | None = None,
-    with_before: bool = False,
-):
-    """Task function: every row with its averages, and on request those before it."""
-    names = [*columns, *smoothing.names, *(smoothing.names_before if with_before else [])]
+    smoothing: Smoothing, group: Sequence[str], carry: dict[int, Carry] | None = None, with_before: bool = False
+) -> Callable[..., Column]:
+    """A column function: the averages of each row of a sorted partition, as a struct.
 
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only the columns it reads go to Python; the others wait in the JVM. It is
+    declared non-deterministic because a value depends on the rows before it:
+    so Spark neither drops the sort nor moves a filter below this column.
+    """
+    inputs = row_inputs(smoothing, group, carry is not None)
+    names = [*smoothing.names, *(smoothing.names_before if with_before else [])]
+
+    def averages_of(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         fold = Fold(smoothing, group, carry)
-        for batch in batches:
-            if batch.num_rows:
-                _, averages, before = fold(batch)
-                added = averages + before if with_before else averages
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(name) for name in columns], *map(pa.array, added)], names=names
-                )
+        for arrays in batches:
+            if not len(arrays[0]):
+                yield pa.StructArray.from_arrays([pa.array([], pa.float64())] * len(names), names=names)
+                continue
+            _, averages, before = fold(pa.RecordBatch.from_arrays(list(arrays), names=inputs))
+            added = averages + before if with_before else averages
+            yield pa.StructArray.from_arrays(list(map(pa.array, added)), names=names)
 
-    return task
+    result = StructType([StructField(name, DoubleType()) for name in names])
+    return arrow_udf(averages_of, result).asNondeterministic()
+
+
+def row_inputs(smoothing: Smoothing, group: Sequence[str], in_runs: bool) -> list[str]:
+    timed = [] if smoothing.spans else ["event_time"]
+    return [*group, *([RUN] if in_runs else []), "close", *timed]
 
 
 class LastRows:
