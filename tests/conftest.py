@@ -13,7 +13,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("P
 def spark():
     from tidegauge.session import local_session
 
-    session = local_session("tests", cpus=8)
+    session = local_session("tests", cpus=8, partitions=3)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TICK_ORDER
-from .skew import RUN, SkewPolicy, find_hot, ordered_runs, run_edges
+from .skew import RUN, HotGroups, SkewPolicy, find_hot, may_be_hot, ordered_runs
 
 FIRST_TIME = "first_time"
 
@@ -28,7 +28,7 @@ def latest_by_key(ticks: DataFrame) -> DataFrame:
 def latest_per_tick(ticks: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     """For each tick the time of its symbol's first tick and the latest close."""
     known = ticks.filter(F.col("close").isNotNull()).select("symbol", "event_time", "seq", F.col("close").alias("ema"))
-    hot = find_hot(known, ("symbol",), policy, **{FIRST_TIME: F.unix_micros(F.min("event_time"))})
+    hot = _hot_symbols(ticks, known, policy)
     cold = known if hot is None else hot.without(known)
     result = cold.withColumn(FIRST_TIME, F.first("event_time").over(_so_far()))
     if hot is not None:
@@ -46,7 +46,7 @@ def inactive_keys(ticks: DataFrame, timeout: str = "10 seconds", policy: SkewPol
     """
     known = ticks.filter(F.col("close").isNotNull() & F.col("event_time").isNotNull())
     known = known.select("symbol", "event_time", "seq", "close")
-    hot = find_hot(known, ("symbol",), policy, **{FIRST_TIME: F.unix_micros(F.min("event_time"))})
+    hot = _hot_symbols(ticks, known, policy)
     cold = known if hot is None else hot.without(known)
     following = Window.partitionBy("symbol").orderBy(*TICK_ORDER)
     result = _silent(
@@ -62,6 +62,12 @@ def inactive_keys(ticks: DataFrame, timeout: str = "10 seconds", policy: SkewPol
     return result
 
 
+def _hot_symbols(ticks: DataFrame, known: DataFrame, policy: SkewPolicy) -> HotGroups | None:
+    if not may_be_hot(ticks, policy):
+        return None
+    return find_hot(known, ("symbol",), policy, **{FIRST_TIME: F.unix_micros(F.min("event_time"))})
+
+
 def _so_far():
     return Window.partitionBy("symbol").orderBy(*TICK_ORDER).rowsBetween(Window.unboundedPreceding, 0)
 

@@ -18,7 +18,7 @@ from ..functions.eventtime import emission_stamp
 from ..functions.smoothing import advice
 from ..schemas import TICK_ORDER
 from .fold import Carry, Smoothing, each_row, enclose, last_row, last_row_of_windows, row_inputs
-from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, ordered_runs, run_edges, run_table
+from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, may_be_hot, ordered_runs, run_edges, run_table
 from .windows import BLOCK, WINDOW, WindowBlocks
 
 
@@ -97,7 +97,7 @@ def window_averages(
         [source.schema["symbol"], StructField(WINDOW, LongType()), *_doubles(smoothing.names)]
     )
 
-    hot = _hot_blocks(source, placed, block, policy)
+    hot = _hot_blocks(source, placed, block, policy) if may_be_hot(ticks, policy) else None
     cold = placed if hot is None else hot.without(placed)
     result = _by_group(cold, block).drop("seq").mapInArrow(last_row_of_windows(smoothing, windows), schema)
     if hot is not None:
@@ -171,7 +171,9 @@ def _smooth_rows(
         averages = each_row(smoothing, group, carry, with_before)(*inputs)
         return df.withColumn("_ema", averages).select(*ticks.columns, *[f"_ema.{name}" for name in added])
 
-    hot = find_hot(priced, group, policy, low=F.min("close"), high=F.max("close"))
+    hot = None
+    if may_be_hot(ticks, policy):
+        hot = find_hot(priced, group, policy, low=F.min("close"), high=F.max("close"))
     result = averaged(_by_group(priced if hot is None else hot.without(priced), group))
     if hot is not None:
         runs = ordered_runs(hot.only(priced), group, TICK_ORDER, hot.rows, policy)

@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, StructField
 
 from ..functions.smoothing import alpha
 from ..schemas import TICK_ORDER
-from .skew import RUN, Edge, SkewPolicy, find_hot, ordered_runs, run_edges, run_table
+from .skew import RUN, Edge, SkewPolicy, find_hot, may_be_hot, ordered_runs, run_edges, run_table
 
 EXPONENT = 300.0
 
@@ -30,7 +30,7 @@ def block_average(ticks: DataFrame, span: float, policy: SkewPolicy = SkewPolicy
     weight = alpha(span)
     if weight == 1:
         return known.withColumn(name, F.col("close"))
-    hot = find_hot(known, ("symbol",), policy)
+    hot = find_hot(known, ("symbol",), policy) if may_be_hot(ticks, policy) else None
     cold = known if hot is None else hot.without(known)
     result = _scan(cold.withColumn("_carry", F.lit(None).cast("double")), ["symbol"], weight, name)
     if hot is not None:

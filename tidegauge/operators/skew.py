@@ -75,6 +75,14 @@ class HotGroups:
         return joined.select(*[df[name] for name in df.columns], *stats)
 
 
+def may_be_hot(table: DataFrame, policy: SkewPolicy) -> bool:
+    """False where the whole table has too few rows for a hot group.
+
+    Needs no column, so files are only asked for their row counts.
+    """
+    return table.count() > policy.hot_rows
+
+
 def find_hot(df: DataFrame, group: Sequence[str], policy: SkewPolicy, **stats: Column) -> HotGroups | None:
     """Groups of ``df`` with more than ``policy.hot_rows`` rows, largest first.
 

@@ -13,6 +13,7 @@ processing-time trigger, not with ``availableNow``.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 from typing import Any
 
@@ -39,9 +40,35 @@ def _schema(symbol: bool = True, longs: Iterable[str] = (), doubles: Iterable[st
     )
 
 
-def _in_order(ticks: Iterator[Row]) -> list[Row]:
-    """By event time, then tie-breaker; a missing one comes first."""
-    return sorted(ticks, key=lambda tick: (tick.event_time, tick.seq is not None, tick.seq or 0))
+NO_SEQ = -(2**63)
+CHUNK = 10_000
+
+
+class Ticks:
+    """The ticks of one symbol in one micro-batch as arrays, 24 bytes each.
+
+    In the order of event time, then of the tie-breaker; a missing one is first.
+    """
+
+    def __init__(self, rows: Iterator[Row]):
+        times, seqs, closes = array("q"), array("q"), array("d")
+        for row in rows:
+            times.append(row.event_time)
+            seqs.append(NO_SEQ if row.seq is None else row.seq)
+            closes.append(row.close)
+        times, seqs, closes = np.frombuffer(times, np.int64), np.frombuffer(seqs, np.int64), np.frombuffer(closes)
+        order = np.lexsort((seqs, times))
+        self.micros, self.seqs, self.close = times[order], seqs[order], closes[order]
+
+    def last(self) -> tuple:
+        return next(self.rows(start=len(self.micros) - 1))
+
+    def rows(self, *more: np.ndarray, start: int = 0) -> Iterator[tuple]:
+        """(event_time, seq, ...) per tick; made in chunks as they are taken."""
+        for at in range(start, len(self.micros), CHUNK):
+            part = slice(at, at + CHUNK)
+            for micros, seq, *values in zip(*[column[part].tolist() for column in (self.micros, self.seqs, *more)]):
+                yield micros, None if seq == NO_SEQ else seq, *values
 
 
 def _plain(ticks: DataFrame, *more: str) -> DataFrame:
@@ -81,19 +108,17 @@ class TickAverages(StatefulProcessor):
         self.row = Row(*self.output.names)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = _in_order(rows)
-        price = np.array([tick.close for tick in ticks])
-        micros = np.array([tick.event_time for tick in ticks])
+        ticks = Ticks(rows)
         last = self.last.get()
-        starts = np.zeros(len(ticks), dtype=bool)
+        starts = np.zeros(len(ticks.close), dtype=bool)
         starts[0] = last is None
         fold = Fold(self.smoothing, ["symbol"])
         if last is not None:
             fold.micros, *fold.states = last
-        averages, before = fold.advance(price, micros, starts, {})
-        self.last.update((ticks[-1].event_time, *fold.states))
-        for tick, *values in zip(ticks, *[column.tolist() for column in averages + before]):
-            yield self.row(tick.symbol, tick.event_time, tick.seq, *values)
+        averages, before = fold.advance(ticks.close, ticks.micros, starts, {})
+        self.last.update((int(ticks.micros[-1]), *fold.states))
+        for values in ticks.rows(*averages, *before):
+            yield self.row(key[0], *values)
 
 
 class WindowsBefore(StatefulProcessor):
@@ -131,13 +156,13 @@ class FirstTime(StatefulProcessor):
         self.row = Row(*self.output.names)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = _in_order(rows)
+        ticks = Ticks(rows)
         first = self.first.get()
         if first is None:
-            first = (ticks[0].event_time,)
+            first = (int(ticks.micros[0]),)
             self.first.update(first)
-        for tick in ticks:
-            yield self.row(tick.symbol, first[0], tick.event_time, tick.seq, tick.close)
+        for values in ticks.rows(ticks.close):
+            yield self.row(key[0], *first, *values)
 
 
 class Silence(StatefulProcessor):
@@ -161,12 +186,12 @@ class Silence(StatefulProcessor):
         return micros // 1000 + self.timeout_ms
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = _in_order(rows)
-        latest, known = ticks[-1], self.last.get()
-        if known is None or latest.event_time >= known[1]:
-            first = ticks[0].event_time if known is None else known[0]
-            self.last.update((first, latest.event_time, latest.seq, latest.close))
-            self.handle.registerTimer(self._due(latest.event_time))
+        ticks, known = Ticks(rows), self.last.get()
+        micros, seq = ticks.last()
+        if known is None or micros >= known[1]:
+            first = int(ticks.micros[0]) if known is None else known[0]
+            self.last.update((first, micros, seq, float(ticks.close[-1])))
+            self.handle.registerTimer(self._due(micros))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
