@@ -107,7 +107,8 @@ def window_averages(
         carry, unfinished = _carries(
             runs, run_edges(runs, group, TICK_ORDER), group, smoothing, lambda g: limits[g[0], windows.block_of(g[1])]
         )
-        result = result.unionByName(runs.mapInArrow(last_row(smoothing, group, group, carry, unfinished), schema))
+        task = last_row(smoothing, group, group, carry, unfinished)
+        result = result.unionByName(runs.select(*row_inputs(smoothing, group, True)).mapInArrow(task, schema))
     return result.select(
         "symbol",
         F.timestamp_micros(WINDOW).alias("window_start"),
@@ -261,6 +262,7 @@ def _fold_bounds(runs, pending, starts, before, group, smoothing) -> dict[int, t
     wanted = F.broadcast(run_table(runs, {run: () for run in pending}, []))
     rows = (
         runs.join(wanted, RUN, "left_semi")
+        .select(*row_inputs(smoothing, group, True))
         .mapInArrow(enclose(smoothing, group, carries(0), carries(1)), schema)
         .collect()
     )

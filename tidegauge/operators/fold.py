@@ -140,6 +140,9 @@ class Fold:
         self.tail = row_group(batch, self.group, batch.num_rows - 1)
         return starts, *self.advance(price, micros, starts, resumed)
 
+    def follow(self, other: Fold) -> None:
+        self.states, self.tail, self.micros = list(other.states), other.tail, other.micros
+
     def advance(self, price: np.ndarray, micros: np.ndarray | None, starts: np.ndarray, resumed: dict[int, Carry]):
         averages, before = [], []
         for index, weight in enumerate(self._weights(len(price), micros, resumed)):
@@ -346,9 +349,15 @@ def enclose(smoothing: Smoothing, group: Sequence[str], low: dict[int, Carry], h
         for batch in batches:
             if not batch.num_rows:
                 continue
-            _, lows, lows_before = lower(batch)
-            _, highs, highs_before = upper(batch)
             runs = batch.column(RUN).to_numpy(zero_copy_only=False)
+            met = bool(ends) and lower.states == upper.states
+            if met and (runs == lower.tail[-1]).all():
+                _, lows, lows_before = lower(batch)
+                upper.follow(lower)
+                highs, highs_before = lows, lows_before
+            else:
+                _, lows, lows_before = lower(batch)
+                _, highs, highs_before = upper(batch)
             for row in np.flatnonzero(np.diff(runs, append=-1)):
                 ends[int(runs[row])] = tuple(float(v[row]) for v in (*lows, *highs))
             if smoothing.zero_unset:
