@@ -31,7 +31,7 @@ from ..operators import (
     window_rows,
     window_sum,
 )
-from ..session import pin_utc, ship_package
+from ..session import prepare
 from ..sources.ticks import decode_ticks, table_events, ticks_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,7 @@ def zone_free(df: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_events(ship_package(pin_utc(spark)), sf_dir)
+    return table_events(prepare(spark), sf_dir)
 
 
 def _ticks(spark: SparkSession, sf_dir: str, key: str = "user_id") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.codec import decode_json
 from ..operators import window_average_row, window_count, window_sum
 from ..schemas import AGGREGATED_SALE
-from ..session import fresh_folder, pin_utc, ship_package
+from ..session import fresh_folder, prepare
 from ..sources.ticks import GIGABYTE, stream_events, table_events, ticks_from_events
 from ..streaming import (
     stream_adaptive_average,
@@ -41,7 +41,7 @@ def drained(df: DataFrame, name: str, format: str = "parquet") -> DataFrame:
 
 def _stream(build: Callable[[DataFrame], DataFrame], key: str, name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ticks = ticks_from_events(stream_events(ship_package(pin_utc(spark)), sf_dir), key)
+        ticks = ticks_from_events(stream_events(prepare(spark), sf_dir), key)
         return zone_free(drained(build(ticks), name))
 
     return query
@@ -54,7 +54,7 @@ def _average_rows(ticks: DataFrame) -> DataFrame:
 
 
 def stream_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sales(stream_events(ship_package(pin_utc(spark)), sf_dir))
+    rows = sales(stream_events(prepare(spark), sf_dir))
     rows = rows.withColumn("event_time", F.timestamp_millis("sale_ts"))
     return zone_free(drained(window_sum(with_watermark(rows)), "window-sum"))
 
@@ -62,7 +62,7 @@ def stream_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _records(spark: SparkSession, sf_dir: str, text: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The event table as records of a topic, a JSON value and its offset, read as a stream."""
     path = fresh_folder(spark, "records")
-    text(table_events(ship_package(pin_utc(spark)), sf_dir)).write.parquet(path)
+    text(table_events(prepare(spark), sf_dir)).write.parquet(path)
     return spark.readStream.schema("value string, seq bigint").option("maxBytesPerTrigger", GIGABYTE).parquet(path)
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import shutil
+import sys
 import tempfile
 import uuid
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -27,21 +27,13 @@ def local_session(app: str = "tidegauge", cpus: str | int = "*", partitions: int
     )
 
 
-_shipped: set[str] = set()
-
-
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers, once per application.
+    """Send this package's functions to the Python workers along with each job.
 
-    Not needed where it is installed on all nodes or given by ``--py-files``.
+    Not needed where it is installed on all nodes. The worker that a stateful
+    stream starts beside the driver does not see ``addPyFile``, hence by value.
     """
-    application = spark.sparkContext.applicationId
-    if application not in _shipped:
-        package = Path(__file__).parent
-        base = Path(tempfile.mkdtemp(prefix="tidegauge-")) / package.name
-        archive = shutil.make_archive(str(base), "zip", package.parent, package.name)
-        spark.sparkContext.addPyFile(archive)
-        _shipped.add(application)
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     return spark
 
 
@@ -52,6 +44,17 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """A session ready for the registered queries.
+
+    On one machine the default of 200 shuffle partitions would open 200 state
+    stores per stream; there it becomes one per core. Other values are kept.
+    """
+    if spark.sparkContext.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return ship_package(pin_utc(spark))
+
+
 def use_rocksdb(spark: SparkSession) -> SparkSession:
     """Keep streaming state on disk instead of on the executor heap.
 
