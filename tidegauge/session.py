@@ -74,7 +74,7 @@ def shared_folder(spark: SparkSession) -> str:
     executor, so a missing setting is an error there.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
