@@ -203,7 +203,8 @@ def test_map_is_edited_sparingly():
     assert sum(a != b for a, b in zip(first, once)) < 200
     more = sharding.rebalanced(once, sizes, 11)
     moved = [s for s in range(2000) if more[s] != once[s]]
-    assert len(moved) < 450 and sum(more[s] == 10 for s in moved) > 0.8 * len(moved)
+    moved_bytes, total = sum(sizes[s] for s in moved), sum(sizes.values())
+    assert moved_bytes < 1.2 * total / 11 and sum(sizes[s] for s in moved if more[s] == 10) > 0.9 * moved_bytes
     fewer = sharding.rebalanced(more, sizes, 9)
     assert set(fewer) == set(range(9)) and sharding.rebalanced(first, {}, 10) == first
 
@@ -334,7 +335,7 @@ def test_pieces_as_merging_gives_them():
 def test_suffixes_are_sorted():
     rng = random.Random(9)
     for _ in range(30):
-        codes = np.array([rng.randint(0, 3) for _ in range(rng.randint(1, 200))], dtype=np.int32)
+        codes = np.array([rng.randint(1, 4) for _ in range(rng.randint(1, 200))], dtype=np.int32)
         order = pieces.suffix_array(codes, 16).tolist()
         keys = [codes[i : i + 16].tolist() for i in order]
         assert sorted(order) == list(range(len(codes))) and keys == sorted(keys)

@@ -2,8 +2,9 @@
 
 Words and pairs of neighbouring words are hashed into ``BUCKETS``. One pass over all documents
 counts the buckets of the raw corpus and of trusted rows; a second scores each document by the
-mean of log(p_trusted / p_raw) over its n-grams. The threshold is read off the scores of the
-trusted rows: all but ``TRUSTED_LOSS`` of them are above it. Every document is then decided alike.
+mean of log(p_trusted / p_raw) over its n-grams. Trusted rows are halved by hash: one half is
+counted, the threshold is read off the scores of the other, of which all but ``TRUSTED_LOSS``
+are above it. Every document is then decided alike.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import SPACED, workers_know
 
 BUCKETS = 1 << 15
-#: Trusted rows that are learned from, at most; those whose ids hash lowest.
+#: Trusted rows that are used, at most; those whose ids hash lowest.
 TRUSTED = 20_000
 #: Share of the trusted rows that may fall below the threshold, and the width in which scores are counted.
 TRUSTED_LOSS, STEP = 0.002, 0.01
@@ -104,15 +105,15 @@ def _counted():
     return run
 
 
-def trusted_ids(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
-    """Ids (``id``) of at most ``TRUSTED`` rows with label 1, chosen by hash."""
+def trusted_ids(labels: DataFrame, doc_id: str, label: str, half: int) -> DataFrame:
+    """Ids (``id``) of a half of at most ``TRUSTED`` rows with label 1, chosen by hash. Half 0 is for counts, 1 for the threshold."""
     known = labels.filter(F.col(label) == 1).select(F.col(doc_id).cast("long").alias("id")).filter("id IS NOT NULL").distinct()
-    return known.orderBy(F.xxhash64("id"), "id").limit(TRUSTED)
+    return known.orderBy(F.xxhash64("id"), "id").limit(TRUSTED).filter(F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)) == half)
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:
     """log(p_trusted / p_raw) of every bucket. Raw counts are those of all documents."""
-    ids = F.broadcast(trusted_ids(labels, doc_id, label).withColumn("trusted", F.lit(True)))  # at most TRUSTED ids
+    ids = F.broadcast(trusted_ids(labels, doc_id, label, 0).withColumn("trusted", F.lit(True)))  # at most TRUSTED ids
     rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     sums = rows.mapInArrow(_counted(), "bucket long, trusted long, raw long").groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw")).collect()
     counts = np.full((2, BUCKETS), SMOOTHING)
@@ -149,7 +150,7 @@ def threshold(judged: DataFrame, labels: DataFrame, doc_id: str = "doc_id", labe
     ``judged`` has ``doc_id`` and ``score``. Scores are counted in steps, so the result does
     not depend on how rows are dealt out.
     """
-    ids = trusted_ids(labels, doc_id, label).withColumnRenamed("id", "_id")
+    ids = trusted_ids(labels, doc_id, label, 1).withColumnRenamed("id", "_id")
     found = judged.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).filter("grams > 0")
     steps = sorted((row["step"], row["count"]) for row in found.groupBy(F.floor(F.col("score") / STEP).alias("step")).count().collect())
     room, out = TRUSTED_LOSS * sum(n for _, n in steps), -np.inf
