@@ -47,3 +47,24 @@ def lower_ascii(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     plain = F.octet_length(text) == F.char_length(text)
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER_CASE, LOWER_CASE))
+
+
+class Memory:
+    """What a worker remembers of words: the last ``size`` to twice as many that it met.
+
+    When the young half is full, it becomes the old one; what is met again moves back.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, words, age: bool = True) -> list:
+        """Those of ``words`` that are not remembered. All others are in ``young`` afterwards."""
+        if age and len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        new = [word for word in words if word not in self.young]
+        if self.old:
+            found = [word for word in new if word in self.old]
+            self.young.update(zip(found, map(self.old.__getitem__, found)))
+            new = [word for word in new if word not in self.old]
+        return new

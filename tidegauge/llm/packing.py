@@ -10,18 +10,20 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle, workers_know
+from .common import Memory, settle, workers_know
 
 WINDOW, END_ID, ID_BYTES = 2048, 1, 4
-#: Words a worker remembers the ids of. Beyond it starts anew; the ids are the same.
-REMEMBERED = 400_000
+#: Words a worker remembers the ids of, and words that are encoded as one text.
+REMEMBERED, JOINED = 300_000, 200
 #: A space beside other white space.
 BESIDE = re.compile(r" \s|\s ")
 TOKENS = "doc_id long, part int, within long, n long, ids binary"
@@ -41,25 +43,47 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.inner: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        #: Whether a token begins with a space, which this kind of vocabulary writes as U+0120.
+        self.spaced = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.spaced[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+        self.inner = Memory(REMEMBERED)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Words that follow a space, many to a text; a token that begins with a space begins a word.
+
+        A comma or full stop after a letter is always a token's beginning, so such
+        words are put together from two.
+        """
+        young = self.inner.young
+        ended = [x for x in words if x[-1] in ",." and x[-2:-1].isalpha()]
+        if ended:
+            self._learn(self.inner.missing({x[:-1] for x in ended}.union(words).difference(ended), False))
+            marks = dict(zip(",.", self._encode([",", "."])))
+            young.update([(x, young[x[:-1]] + marks[x[-1]]) for x in ended])
+            return
+        plain = [x for x in words if " " not in x]
+        for at in range(0, len(plain), JOINED):
+            some = plain[at : at + JOINED]
+            ids = np.frombuffer(self._encode([" " + " ".join(some)])[0], dtype="<u4")
+            cuts = [*(np.flatnonzero(self.spaced[ids]) * ID_BYTES).tolist(), len(ids) * ID_BYTES]
+            if len(cuts) != len(some) + 1:
+                raise ValueError("the vocabulary joins words")
+            data = ids.tobytes()
+            young.update(zip(some, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
+        odd = [x for x in words if " " in x]
+        young.update(zip(odd, self._encode([" " + x for x in odd])))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         cut = [words(text) for text in texts]
         firsts = self._encode([first for first, _ in cut])
-        if len(self.inner) > REMEMBERED:
-            self.inner = {}
-        new = [x for x in set().union(*(rest for _, rest in cut)) if x not in self.inner]
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            self.inner.update(zip(some, self._encode([" " + x for x in some])))
+        self._learn(self.inner.missing(set().union(*(rest for _, rest in cut))))
+        known = self.inner.young
         for first, (_, rest) in zip(firsts, cut):
-            yield first + b"".join(map(self.inner.__getitem__, rest))
+            yield first + b"".join(map(known.__getitem__, rest))
 
 
 def words(text: str) -> tuple[str, list[str]]:

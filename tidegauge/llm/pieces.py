@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import workers_know
+from .common import Memory, workers_know
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-#: Units a worker remembers; beyond it starts anew. Characters indexed at once, at least one unit.
-REMEMBERED, INDEXED = 500_000, 400_000
+#: Units a worker remembers. Characters indexed at once, at least one unit.
+REMEMBERED, INDEXED = 300_000, 400_000
 MEMO = 1 << 20
 
 
@@ -158,7 +158,7 @@ class Encoder:
         for row, piece in zip(self.matrix, by_char):
             row[: len(piece)] = [self.code[c] for c in piece]
         self.memo_keys, self.memo = np.full(MEMO, -1, dtype=np.int64), np.zeros(MEMO, dtype=bool)
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(REMEMBERED)
 
     def _ranges(self, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last place in ``order`` of the suffixes that begin with each piece, by binary search."""
@@ -265,17 +265,15 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         cut = [UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = [unit for unit in set().union(*cut) if unit not in self.known]
+        new = self.known.missing(set().union(*cut))
         some, size = [], 0
         for i, unit in enumerate(new):
             some.append(unit)
             size += len(unit) + 1
             if size >= INDEXED or i == len(new) - 1:
-                self.known.update(zip(some, self._match(some)))
+                self.known.young.update(zip(some, self._match(some)))
                 some, size = [], 0
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, units)), dtype="<i4") for units in cut]
+        return [np.frombuffer(b"".join(map(self.known.young.__getitem__, units)), dtype="<i4") for units in cut]
 
 
 class Decoder:
