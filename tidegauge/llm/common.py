@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,14 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER_CASE, LOWER_CASE))
 
 
+def kept(key, make):
+    """``make()``, once for all tasks of a Python worker. Functions travel by value, so this package cannot hold it."""
+    stash = sys.modules.setdefault("_tidegauge_kept", ModuleType("_tidegauge_kept")).__dict__
+    if key not in stash:
+        stash[key] = make()
+    return stash[key]
+
+
 class Memory:
     """What a worker remembers of words: the last ``size`` to twice as many that it met.
 

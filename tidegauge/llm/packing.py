@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle, workers_know
+from .common import kept, settle, workers_know
 
 WINDOW, END_ID, ID_BYTES = 2048, 1, 4
 #: Fixed values of byte-level vocabularies: how text is cut, and the byte that a character stands for.
@@ -54,7 +54,8 @@ def tokenised(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, within = Encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encode = kept(("ids", vocabulary), lambda: Encoder(vocabulary))
+        part, within = TaskContext.get().partitionId(), 0
         end = END_ID.to_bytes(ID_BYTES, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memory, workers_know
+from .common import Memory, kept, workers_know
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -278,8 +278,17 @@ class Encoder:
 
 class Decoder:
     def __init__(self, path: str):
-        v = Vocabulary(path)
-        self.parts = [b"" if i in v.special and i not in v.byte_of else bytes([v.byte_of[i]]) if i in v.byte_of else piece.replace(SPACE, " ").encode() for i, piece in enumerate(v.pieces)]
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.parts = [self._part(model, i) for i in range(model.get_piece_size())]
+
+    @staticmethod
+    def _part(model, i: int) -> bytes:
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            return bytes([int(piece[3:5], 16)])
+        return b"" if model.is_control(i) or model.is_unknown(i) else piece.replace(SPACE, " ").encode()
 
     def __call__(self, ids: list[int]) -> str:
         """The text; the space put before it when encoding is taken off again."""
@@ -295,7 +304,7 @@ def encoded(docs: DataFrame, model: str, text: str = "text", name: str = "ids")
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        of = Encoder(model)
+        of = kept(("pieces", model), lambda: Encoder(model))
         for batch in batches:
             parts = []
             for at in range(0, len(batch), 1000):
@@ -315,8 +324,8 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded"
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        of = Decoder(model)
+        of = kept(("parts", model), lambda: Decoder(model))
         for batch in batches:
-            yield pa.array([None if x is None else of(x) for x in batch.to_pylist()], pa.string())
+            yield pa.array([None if not x.is_valid else of(x.values.to_numpy().tolist()) for x in batch], pa.string())
 
     return workers_know(rows).withColumn(name, decode(F.col(ids)))
