@@ -19,8 +19,8 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "localhost:9092",
         "subscribe": "xcse",
         "startingOffsets": "earliest",
-        "kafka.group.id": "test_group",
     }
+    assert kafka_reader_options(group="mine")["kafka.group.id"] == "mine"
     assert kafka_reader_options(start="latest", group=None, max_offsets=5) == {
         "kafka.bootstrap.servers": "localhost:9092",
         "subscribe": "xcse",
@@ -86,11 +86,12 @@ def test_fan_out_keeps_and_releases_the_batch(spark):
 
 
 def test_command_line():
-    args = arguments(["ticks", "--kafka-brokers", "h:1", "--topics-in", "a", "--topics-out", "b"])
-    assert (args.kafka_brokers, args.topics_in, args.topics_out, args.kafka_group_id) == ("h:1", "a", "b", "test_group")
-    assert arguments(["sales"]).topics_in == "xcse"
-    with pytest.raises(SystemExit):
-        arguments(["nothing"])
+    args = arguments(["ticks", "--kafka-brokers", "h:1", "--topics-in", "a", "--topics-out", "b", "--checkpoint", "c"])
+    assert (args.kafka_brokers, args.topics_in, args.topics_out, args.kafka_group_id) == ("h:1", "a", "b", None)
+    assert arguments(["sales", "--checkpoint", "c"]).topics_in == "xcse"
+    for wrong in (["nothing", "--checkpoint", "c"], ["ticks"]):
+        with pytest.raises(SystemExit):
+            arguments(wrong)
 
 
 def test_shared_folder_and_settings(spark):

@@ -49,7 +49,7 @@ def fold_window(entries: Column, spans: Sequence[float]) -> Column:
 
     ``entries`` holds structs (event_time, seq, close). The first price seeds,
     the others are folded in order. For windows whose size is bounded, such as
-    the open windows of a stream; tables use :func:`window_ema`.
+    the open windows of a stream; tables use ``operators.window_averages``.
     """
     ordered = F.array_sort(entries)
     seed = F.element_at(ordered, 1)["close"]
@@ -64,3 +64,8 @@ def fold_window(entries: Column, spans: Sequence[float]) -> Column:
         F.struct(*[seed.alias(f"ema{span}") for span in spans]),
         merge,
     )
+
+
+def usable(time: Column, close: Column) -> Column:
+    """Whether a tick counts: it has a time and a finite price. The same in all forms, tables and streams."""
+    return time.isNotNull() & close.isNotNull() & (F.abs(close) < float("inf"))

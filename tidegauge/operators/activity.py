@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.smoothing import usable
 from ..schemas import TICK_ORDER
 from .skew import RUN, HotGroups, SkewPolicy, find_hot, may_be_hot, ordered_runs
 
@@ -16,7 +17,7 @@ def latest_by_key(ticks: DataFrame) -> DataFrame:
 
     An average over one period is the price itself, so ``ema`` is the close.
     """
-    known = ticks.filter(F.col("close").isNotNull())
+    known = ticks.filter(usable(F.col("event_time"), F.col("close")))
     place = F.struct(*TICK_ORDER)
     return known.groupBy("symbol").agg(
         F.min("event_time").alias(FIRST_TIME),
@@ -27,7 +28,7 @@ def latest_by_key(ticks: DataFrame) -> DataFrame:
 
 def latest_per_tick(ticks: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     """For each tick the time of its symbol's first tick and the latest close."""
-    known = ticks.filter(F.col("close").isNotNull()).select("symbol", "event_time", "seq", F.col("close").alias("ema"))
+    known = ticks.filter(usable(F.col("event_time"), F.col("close"))).select("symbol", "event_time", "seq", F.col("close").alias("ema"))
     hot = _hot_symbols(ticks, known, policy)
     cold = known if hot is None else hot.without(known)
     result = cold.withColumn(FIRST_TIME, F.first("event_time").over(_so_far()))
@@ -44,7 +45,7 @@ def inactive_keys(ticks: DataFrame, timeout: str = "10 seconds", policy: SkewPol
     standing, its time, and when the timeout fired. A gap of exactly the
     timeout is silence: the timer is due when the next tick arrives.
     """
-    known = ticks.filter(F.col("close").isNotNull() & F.col("event_time").isNotNull())
+    known = ticks.filter(usable(F.col("event_time"), F.col("close")))
     known = known.select("symbol", "event_time", "seq", "close")
     hot = _hot_symbols(ticks, known, policy)
     cold = known if hot is None else hot.without(known)

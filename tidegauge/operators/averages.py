@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from ..functions.eventtime import emission_stamp
-from ..functions.smoothing import advice
+from ..functions.smoothing import advice, usable
 from ..schemas import TICK_ORDER
 from .fold import Carry, Smoothing, each_row, enclose, last_row, last_row_of_windows, row_inputs
 from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, may_be_hot, ordered_runs, run_edges, run_table
@@ -150,7 +150,7 @@ def window_advice(
 
 
 def _priced(ticks: DataFrame) -> DataFrame:
-    return ticks.filter(F.col("close").isNotNull())
+    return ticks.filter(usable(F.col("event_time"), F.col("close")))
 
 
 def _by_group(df: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -240,6 +240,8 @@ def _carries(
             ends[run] = (low, high)
             if low == high:
                 settled[run] = low
+        if not pending & settled.keys():
+            raise RuntimeError("a round has settled no run, though prices are finite")
         pending -= settled.keys()
         for run in pending:
             starts[run] = ends[before[run].run]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from ..functions.smoothing import alpha
+from ..functions.smoothing import alpha, usable
 from ..schemas import TICK_ORDER
 from .skew import RUN, Edge, SkewPolicy, find_hot, may_be_hot, ordered_runs, run_edges, run_table
 
@@ -26,7 +26,7 @@ EXPONENT = 300.0
 def block_average(ticks: DataFrame, span: float, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     """Each tick with ``ema<span>`` of its symbol, started at the first price."""
     name = f"ema{span}"
-    known = ticks.filter(F.col("close").isNotNull())
+    known = ticks.filter(usable(F.col("event_time"), F.col("close")))
     weight = alpha(span)
     if weight == 1:
         return known.withColumn(name, F.col("close"))

@@ -33,7 +33,7 @@ def readable_ticks(values: DataFrame, unit: str = "ms") -> DataFrame:
 
 
 def rejected(values: DataFrame, unit: str = "ms") -> DataFrame:
-    """Records that are no tick, as text."""
+    """Records that are no tick or lack a symbol, a time or a finite price, as text."""
     return _decoded(values, unit).filter(F.col(REJECT).isNotNull()).select(F.col(REJECT).alias("value"))
 
 
@@ -64,6 +64,12 @@ def sales_rows(values: DataFrame) -> DataFrame:
     return sale.select("sale.seller_id", "sale.amount_usd", event_time(F.col("sale.sale_ts")).alias("event_time"))
 
 
+def rejected_sales(values: DataFrame) -> DataFrame:
+    """Records that are no sale, as text."""
+    sale = values.select("value", decode_json(F.col("value"), SALE).alias("sale"))
+    return sale.filter(F.col("sale").isNull() | F.col(f"sale.{REJECT}").isNotNull()).select("value")
+
+
 def sales_job(values: DataFrame, size: str = "60 seconds", delay: str = MONOTONOUS) -> DataFrame:
     """Sales per seller and window; a sum of integers is a long."""
     sales = sales_rows(values)

@@ -194,10 +194,9 @@ def closed(seconds: int) -> str:
 
 
 def _silent_stream(seconds: int, delay: int) -> str:
-    return f"""WITH l AS (SELECT CAST(user_id AS VARCHAR) AS symbol, min(ts) AS first_time, max(ts) AS event_time,
-  arg_max(event_id, ts) AS seq, arg_max(value, ts) AS ema FROM events GROUP BY user_id)
-SELECT *, event_time + INTERVAL {seconds} SECOND AS fired_at FROM l
-WHERE event_time + INTERVAL {seconds + delay} SECOND < (SELECT max(ts) FROM events)"""
+    return f"""SELECT * FROM ({inactivity("user_id", seconds)}) AS g
+WHERE event_time + INTERVAL {seconds + delay} SECOND < (SELECT max(ts) FROM events)
+   OR EXISTS (SELECT 1 FROM events e WHERE CAST(e.user_id AS VARCHAR) = g.symbol AND e.ts > g.event_time)"""
 
 
 def _as_record(query: str) -> str:

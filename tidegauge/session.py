@@ -45,11 +45,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """A session ready for the registered queries.
+    """A session of their own for the registered queries; the caller's settings stay as they are.
 
     On one machine the default of 200 shuffle partitions would open 200 state
     stores per stream; there it becomes one per core. Other values are kept.
     """
+    given, spark = spark, spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"):
+        spark.conf.set(name, given.conf.get(name))
     if spark.sparkContext.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return ship_package(pin_utc(spark))

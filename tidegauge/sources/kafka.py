@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 DEFAULT_BROKERS = "localhost:9092"
 DEFAULT_TOPIC = "xcse"
-DEFAULT_GROUP = "test_group"
 
 
 def kafka_reader_options(
     brokers: str = DEFAULT_BROKERS,
     topic: str = DEFAULT_TOPIC,
-    group: str | None = DEFAULT_GROUP,
+    group: str | None = None,
     start: str = "earliest",
     max_offsets: int | None = None,
 ) -> dict[str, str]:
@@ -26,7 +25,8 @@ def kafka_reader_options(
     ``start`` is ``earliest``, ``latest`` or ``committed``. Spark keeps
     committed positions in the checkpoint of the query: with a checkpoint
     every start resumes there, and ``committed`` without one means the
-    earliest record. ``max_offsets`` bounds one micro-batch.
+    earliest record. ``max_offsets`` bounds one micro-batch. Without ``group``
+    every query gets a group of its own, as it must to see all records.
     """
     if start not in ("earliest", "latest", "committed"):
         raise ValueError(f"unknown start position: {start}")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from ..functions.codec import REJECT, decode_json
 from ..functions.eventtime import event_time
-from ..functions.smoothing import to_number
+from ..functions.smoothing import to_number, usable
 from ..schemas import TICK_CAPITALISED, TICK_LOWER
 
 GIGABYTE = 1 << 30
@@ -39,27 +40,36 @@ def normalise_ticks(df: DataFrame, unit: str = "ms", seq: Column | None = None)
     )
 
 
+def _as_text(schema: StructType) -> StructType:
+    """Doubles as the text they are written in, quoted or not."""
+    kind = lambda f: StringType() if isinstance(f.dataType, (DoubleType, FloatType)) else f.dataType
+    return StructType([StructField(f.name, kind(f)) for f in schema.fields])
+
+
 def decode_ticks(df: DataFrame, unit: str = "ms", value: str = "value", seq: Column | None = None) -> DataFrame:
     """JSON text in either case of field names as canonical ticks.
 
-    Adds ``_unreadable``: the text of a record that is not JSON of the
-    declared type, else null. The lower-case layout is only parsed where the
+    Adds ``_unreadable``: the text of a record that is no JSON object or lacks a
+    symbol, a readable time or a finite price, else null. Numbers may be
+    quoted. The lower-case layout is only parsed where the
     capitalised one found no symbol.
     """
-    upper = decode_json(F.col(value), TICK_CAPITALISED)
+    upper = decode_json(F.col(value), _as_text(TICK_CAPITALISED))
     parsed = df.select("*", upper.alias("_upper"))
-    lower = F.when(F.col("_upper.Symbol").isNull(), decode_json(F.col(value), TICK_LOWER))
+    lower = F.when(F.col("_upper.Symbol").isNull(), decode_json(F.col(value), _as_text(TICK_LOWER)))
     parsed = parsed.select("*", lower.alias("_lower"))
 
     def field(name: str) -> Column:
         return F.coalesce(F.col(f"_upper.{name.capitalize()}"), F.col(f"_lower.{name}"))
 
+    symbol, time = field("symbol"), event_time(field("time"), unit)
+    whole = symbol.isNotNull() & usable(time, to_number(field("close")))
     return parsed.select(
         field("symbol").alias("symbol"),
         event_time(field("time"), unit).alias("event_time"),
         (F.col("_upper.Id") if seq is None else seq).cast("bigint").alias("seq"),
         *[to_number(field(name)).alias(name) for name in ("close", "high", "interest", "low", "open", "volume")],
-        F.coalesce(F.col(f"_upper.{REJECT}"), F.col(f"_lower.{REJECT}")).alias(REJECT),
+        F.when(~whole, F.col(value)).otherwise(F.coalesce(F.col(f"_upper.{REJECT}"), F.col(f"_lower.{REJECT}"))).alias(REJECT),
     )
 
 
@@ -78,6 +88,12 @@ def table_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str, max_bytes: int = GIGABYTE) -> DataFrame:
-    """The event table as a stream of files, ``max_bytes`` per micro-batch."""
+    """The event table as a stream of files, ``max_bytes`` per micro-batch.
+
+    A file source reads folders; a table that is one file is picked out of its own.
+    """
     reader = spark.readStream.schema(EVENT_TABLE).option("maxBytesPerTrigger", max_bytes)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return reader.parquet(f"{sf_dir}/events.parquet")
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)

@@ -50,8 +50,8 @@ def write_files(
     return writer.trigger(**trigger).start(path)
 
 
-def print_rows(df: DataFrame, rows: int = 20, mode: str = "append") -> StreamingQuery:
-    """Start a query that prints the first rows of each micro-batch."""
+def print_rows(df: DataFrame, rows: int = 2**31 - 1, mode: str = "append") -> StreamingQuery:
+    """Start a query that prints each micro-batch, or its first ``rows`` rows."""
     return df.writeStream.format("console").option("numRows", rows).option("truncate", False).outputMode(mode).start()
 
 

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions.eventtime import emission_stamp
-from ..functions.smoothing import advice
+from ..functions.smoothing import advice, usable
 from ..operators.fold import Fold, Smoothing
 from ..session import use_rocksdb
 from .windowed import stream_window_averages
@@ -74,7 +74,7 @@ class Ticks:
 def _plain(ticks: DataFrame, *more: str) -> DataFrame:
     """Priced ticks with event time as microseconds, which no time zone can shift."""
     kept = [F.col("event_time").alias(name) for name in more]
-    return ticks.filter(F.col("close").isNotNull()).select(
+    return ticks.filter(usable(F.col("event_time"), F.col("close"))).select(
         "symbol", F.unix_micros("event_time").alias("event_time"), "seq", "close", *kept
     )
 
@@ -166,9 +166,11 @@ class FirstTime(StatefulProcessor):
 
 
 class Silence(StatefulProcessor):
-    """Reports the last tick of a symbol when its timer runs out.
+    """Reports each tick of a symbol that none follows within the timeout, once.
 
-    A timer that a later tick has overtaken is left to run out and ignored.
+    A gap between ticks that have come is reported with them, however they are dealt out
+    to micro-batches; the open end waits for its timer. A timer that a later tick
+    has overtaken is left to run out and ignored, and so is a tick older than the last.
     """
 
     output = _schema(longs=["first_time", "event_time", "seq", "fired_at"], doubles=["ema"])
@@ -178,26 +180,36 @@ class Silence(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        state = _schema(symbol=False, longs=["first_time", "event_time", "seq"], doubles=["ema"])
+        state = _schema(symbol=False, longs=["first_time", "event_time", "seq", "reported"], doubles=["ema"])
         self.last = handle.getValueState("last", state)
         self.row = Row(*self.output.names)
 
     def _due(self, micros: int) -> int:
         return micros // 1000 + self.timeout_ms
 
+    def _silent(self, key: Any, first: int, micros: int, seq: int | None, close: float) -> Row:
+        return self.row(key[0], first, micros, seq, micros + self.timeout_ms * 1000, close)
+
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         ticks, known = Ticks(rows), self.last.get()
-        micros, seq = ticks.last()
-        if known is None or micros >= known[1]:
-            first = int(ticks.micros[0]) if known is None else known[0]
-            self.last.update((first, micros, seq, float(ticks.close[-1])))
-            self.handle.registerTimer(self._due(micros))
-        return iter(())
+        first = int(ticks.micros[0]) if known is None else known[0]
+        since = None if known is None else known[1]
+        newer = 0 if since is None else int(np.searchsorted(ticks.micros, since))
+        if newer == len(ticks.micros):
+            return
+        last = None if known is None or known[3] else (known[1], known[2], known[4])
+        for micros, seq, close in ticks.rows(ticks.close, start=newer):
+            if last is not None and micros - last[0] >= self.timeout_ms * 1000:
+                yield self._silent(key, first, *last)
+            last = micros, seq, close
+        self.last.update((first, last[0], last[1], 0, last[2]))
+        self.handle.registerTimer(self._due(last[0]))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        first, last, seq, ema = self.last.get()
-        if expiredTimerInfo.getExpiryTimeInMs() == self._due(last):
-            yield self.row(key[0], first, last, seq, last + self.timeout_ms * 1000, ema)
+        first, last, seq, reported, ema = self.last.get()
+        if not reported and expiredTimerInfo.getExpiryTimeInMs() == self._due(last):
+            self.last.update((first, last, seq, 1, ema))
+            yield self._silent(key, first, last, seq, ema)
 
 
 def _averaged(ticks: DataFrame, smoothing: Smoothing, ttl_ms: int | None) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.smoothing import fold_window
+from ..functions.smoothing import fold_window, usable
 from ..operators.windows import event_window
 
 
@@ -21,7 +21,7 @@ def stream_window_averages(
     until then and folded in the order of event time: state holds the open
     windows of a symbol and no more.
     """
-    priced = ticks.filter(F.col("close").isNotNull())
+    priced = ticks.filter(usable(F.col("event_time"), F.col("close")))
     grouped = priced.groupBy("symbol", event_window(size, slide).alias("_w")).agg(
         F.collect_list(F.struct("event_time", "seq", "close")).alias("_entries")
     )
