@@ -31,9 +31,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.converted(archives).withColumn("page_id", F.regexp_extract("uri", r"#page=(-?[0-9]*)$", 1))
     records = records.withColumn("page_id", F.when(F.col("page_id") != "", F.col("page_id").cast("long")))
     path = warc.write_warc(warc.with_revisits(records, "page_id"), "page_id")
-    return warc.read_warc(spark, path, payload=False).select(
-        F.col("key").alias("page_id"), "payload_bytes", F.col("payload_sha1").alias("payload_digest"), "record_type", "refers_to", "record_id", "date", "refers_id"
-    )
+    back = warc.read_warc(spark, path, payload=False)
+    return back.select(F.col("key").alias("page_id"), "payload_bytes", F.col("payload_sha1").alias("payload_digest"), "record_type", "refers_to")
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,5 +111,5 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256
 
 
 def llm_oracles() -> dict[str, str]:
-    """SQL for the exact operator alone returns the query's own columns; the others add columns that SQL has no word for."""
-    return {"op9_exact": EXACT_SQL}
+    """SQL where it gives all of a query's columns; the others have columns that SQL has no word for."""
+    return {"op1_warc": WARC_SQL, "op9_exact": EXACT_SQL}
