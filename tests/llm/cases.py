@@ -78,8 +78,10 @@ def print_of(text: str | None) -> int:
     return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
 
 
-def simhash(some, radius: int = 3) -> Counter:
+def simhash(some, radius: int = 3, least: float | None = None) -> Counter:
+    """With ``least``, sets of five-word shingles of that similarity link as well."""
     prints = [print_of(text) for _, text in some]
+    sets = [shingles_of(text) for _, text in some]
     label = list(range(len(some)))
 
     def root(i: int) -> int:
@@ -89,13 +91,22 @@ def simhash(some, radius: int = 3) -> Counter:
 
     for i in range(len(some)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= radius:
+            if (prints[i] ^ prints[j]).bit_count() <= radius or least and alike(sets[i], sets[j], least):
                 label[root(i)] = root(j)
-    least: dict[int, int] = {}
+    first: dict[int, int] = {}
     for i, (doc_id, _) in enumerate(some):
         if doc_id is not None:
-            least[root(i)] = min(doc_id, least.get(root(i), doc_id))
-    return Counter((doc_id, f"{prints[i]:016x}", least.get(root(i))) for i, (doc_id, _) in enumerate(some))
+            first[root(i)] = min(doc_id, first.get(root(i), doc_id))
+    return Counter((doc_id, f"{prints[i]:016x}", first.get(root(i))) for i, (doc_id, _) in enumerate(some))
+
+
+def shingles_of(text: str | None, size: int = 5) -> set[str]:
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+    return {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def alike(a: set[str], b: set[str], least: float) -> bool:
+    return bool(a) and len(a & b) >= least * len(a | b)
 
 
 def rules(some) -> Counter:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import cases
-from tidegauge.llm import components, exact, licenses, packing, pieces, pii, quality, sharding, simhash, toxicity, warc
+from tidegauge.llm import components, exact, licenses, packing, pieces, pii, quality, sharding, similar, simhash, toxicity, warc
 from tidegauge.llm.queries import vocabulary
 
 ROWS = cases.rows()
@@ -75,7 +75,7 @@ def test_simhash_keeps_one_of_each(given):
     docs, some = given
     kept = simhash.without_near_copies(docs)
     assert kept.columns == docs.columns
-    alone = {c for (_, _, c) in cases.simhash(some)}
+    alone = {c for (_, _, c) in cases.simhash(some, least=0.8)}
     assert {r.doc_id for r in kept.select("doc_id").collect()} >= alone
     assert kept.count() == len(alone)
 
@@ -114,6 +114,32 @@ def test_links_connect_as_all_pairs_do(spark, part):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+@pytest.mark.parametrize("part", [1024, 4])
+def test_similar_links_connect_as_all_pairs_do(spark, part):
+    rng, passage = random.Random(12), cases.prose(random.Random(13), 60)
+    texts = [cases.prose(rng, rng.randint(1, 80)) for _ in range(40)] + [None, "", " \n", "a b", "A  b", "a b c"]
+    texts += [passage + " " + cases.prose(rng, rng.randint(5, 40)) for _ in range(40)]  # a passage that many share
+    for text in texts[:30:3]:
+        words = text.split(" ")
+        for _ in range(8):  # chains of small edits
+            words[rng.randrange(len(words))] = cases.prose(rng, 1)
+            texts.append(" ".join(words))
+    grown = cases.prose(rng, 150).split(" ")
+    for n in range(150):  # a large group, not all of whose texts are like the first
+        texts.append(" ".join(["new" if (i * 7 + n) % 150 < n % 5 else w for i, w in enumerate(grown)]))
+    table = spark.createDataFrame(list(enumerate(texts)), "number long, text string").repartition(3)
+    rows = table.select("number", similar.sketched()(F.col("text")).alias("s")).select("number", "s.*").persist()
+    found = {r.node: r.root for r in components.components(similar.similar_links(rows, part=part)).collect()}
+    rows.unpersist()
+    sets, label = [cases.shingles_of(text) for text in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and cases.alike(sets[i], sets[j], 0.8):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert [found.get(i, i) for i in range(len(texts))] == label
+
+
 def test_tree_follows_only_edges_within_the_radius():
     prints = np.random.default_rng(2).integers(0, 2**63, 500, dtype=np.uint64)
     tree = simhash.BKTree(prints)

@@ -22,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import similar
+from .bktree import BKTree
 from .common import LOWER, settle, whole_row, workers_know
 from .components import components
 
@@ -54,33 +56,6 @@ def _fingerprinted():
     return fingerprinted
 
 
-class BKTree:
-    """A BK-tree over distinct fingerprints, as one node after the other would be inserted."""
-
-    def __init__(self, prints: np.ndarray, members: np.ndarray | None = None):
-        members = np.arange(len(prints)) if members is None else members
-        self.prints, self.node, self.children = prints, int(members[0]), {}
-        rest = members[1:]
-        if len(rest):
-            apart = np.bitwise_count(prints[rest] ^ prints[self.node])
-            for distance in np.unique(apart).tolist():
-                self.children[distance] = BKTree(prints, rest[apart == distance])
-
-    def near(self, queries: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(node, places of the queries within the radius of it), following edges within the radius only."""
-        todo = [(self, np.arange(len(queries)))]
-        while todo:
-            tree, asked = todo.pop()
-            apart = np.bitwise_count(queries[asked] ^ self.prints[tree.node]).astype(np.int64)
-            hits = asked[apart <= radius]
-            if len(hits):
-                yield tree.node, hits
-            for distance, child in tree.children.items():
-                on = asked[np.abs(apart - distance) <= radius]
-                if len(on):
-                    todo.append((child, on))
-
-
 def smallest_linked(prints: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     """For each of the distinct ``prints``, sorted, the place of the smallest it is connected with."""
     parent = np.arange(len(prints))
@@ -178,16 +153,24 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return rows.join(named, "print").select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of every component, that with the smallest doc_id; all columns unchanged.
+def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = similar.SHINGLE, least: float = similar.SIMILARITY) -> DataFrame:
+    """``docs`` with one row of every group of near copies, that with the smallest doc_id; all columns unchanged.
 
-    Texts are written once with their fingerprint and shuffled once, by row number.
+    Near copies have fingerprints within ``radius`` bits as in :func:`simhash_components`, or sets of
+    ``shingle``-word shingles with a similarity of ``least`` or more, which far larger radii
+    than a BK-tree can search would be needed for. A group is all that such links connect. A null
+    doc_id counts as larger than any. Texts are written once and shuffled once, by row number.
     """
-    rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), _fingerprinted()(F.col(text)).alias("print"), whole_row(docs))
-    rows = settle(rows.withColumn("number", F.monotonically_increasing_id()), "simhash")
-    light = rows.select("id", "print", "number")
-    prints = settle(_prints(light), "simhash-prints")
+    ours = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("words"), whole_row(docs))
+    rows = ours.withColumn("print", _fingerprinted()("words")).withColumn("s", similar.sketched(shingle)("words"))
+    rows = settle(rows.select("id", "print", "s.*", "_row", F.monotonically_increasing_id().alias("number")), "simhash")
+    prints = settle(_prints(rows.select("id", "print")), "simhash-prints")
     found, _ = _roots(prints, radius)
-    rooted = light.join(found, "print", "left").select("number", F.coalesce("root", "print").alias("root"), F.struct(F.col("id").isNull(), "id", "number").alias("rank"))
-    first = rooted.groupBy("root").agg(F.min("rank").alias("rank"))
+    rooted = rows.select("number", "print").join(found, "print", "left").select("number", F.coalesce("root", "print").alias("root"))
+    firsts = rooted.groupBy("root").agg(F.min("number").alias("b"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    equal = rooted.join(firsts, "root").select(F.col("number").alias("a"), "b")
+    groups = components(equal.unionByName(similar.similar_links(rows.select("number", "near", "hashes", "bands"), least)))
+    ranked = rows.select("id", "number").join(groups.withColumnRenamed("node", "number"), "number", "left")
+    ranked = ranked.select(F.coalesce("root", "number").alias("root"), F.struct(F.col("id").isNull(), "id", "number").alias("rank"))
+    first = ranked.groupBy("root").agg(F.min("rank").alias("rank"))
     return rows.join(first.select(F.col("rank.number").alias("number")), "number", "left_semi").select("_row.*")
