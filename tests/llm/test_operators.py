@@ -128,7 +128,7 @@ def test_similar_links_connect_as_all_pairs_do(spark, part):
     for n in range(150):  # a large group, not all of whose texts are like the first
         texts.append(" ".join(["new" if (i * 7 + n) % 150 < n % 5 else w for i, w in enumerate(grown)]))
     table = spark.createDataFrame(list(enumerate(texts)), "number long, text string").repartition(3)
-    rows = table.select("number", similar.sketched()(F.col("text")).alias("s")).select("number", "s.*").persist()
+    rows = table.select("number", "text", similar.sketched()(F.col("text")).alias("s")).select("number", "text", "s.*").persist()
     found = {r.node: r.root for r in components.components(similar.similar_links(rows, part=part)).collect()}
     rows.unpersist()
     sets, label = [cases.shingles_of(text) for text in texts], list(range(len(texts)))

@@ -159,18 +159,23 @@ def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     Near copies have fingerprints within ``radius`` bits as in :func:`simhash_components`, or sets of
     ``shingle``-word shingles with a similarity of ``least`` or more, which far larger radii
     than a BK-tree can search would be needed for. A group is all that such links connect. A null
-    doc_id counts as larger than any. Texts are written once and shuffled once, by row number.
+    doc_id counts as larger than any. Texts are written once; they are shuffled, by row number, only
+    where the list of rows to drop or to compare is too large for Spark to broadcast.
     """
-    ours = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("words"), whole_row(docs))
-    rows = ours.withColumn("print", _fingerprinted()("words")).withColumn("s", similar.sketched(shingle)("words"))
+    ours = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), whole_row(docs))
+    rows = ours.withColumn("print", _fingerprinted()("text")).withColumn("s", similar.sketched(shingle)("text"))
     rows = settle(rows.select("id", "print", "s.*", "_row", F.monotonically_increasing_id().alias("number")), "simhash")
     prints = settle(_prints(rows.select("id", "print")), "simhash-prints")
     found, _ = _roots(prints, radius)
     rooted = rows.select("number", "print").join(found, "print", "left").select("number", F.coalesce("root", "print").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("number").alias("b"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     equal = rooted.join(firsts, "root").select(F.col("number").alias("a"), "b")
-    groups = components(equal.unionByName(similar.similar_links(rows.select("number", "near", "hashes", "bands"), least)))
-    ranked = rows.select("id", "number").join(groups.withColumnRenamed("node", "number"), "number", "left")
-    ranked = ranked.select(F.coalesce("root", "number").alias("root"), F.struct(F.col("id").isNull(), "id", "number").alias("rank"))
-    first = ranked.groupBy("root").agg(F.min("rank").alias("rank"))
-    return rows.join(first.select(F.col("rank.number").alias("number")), "number", "left_semi").select("_row.*")
+    texts = rows.select("number", "near", "bands", F.col("_row").getField(text).alias("text"))
+    groups = components(equal.unionByName(similar.similar_links(texts, least, shingle)))
+    # Rows without a group stay, and so does the first row of every group.
+    named = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "number")
+    ranked = rows.select("id", "number").join(named, "number").select("root", F.struct(F.col("id").isNull(), "id", "number").alias("rank"))
+    ranked = settle(ranked, "simhash-groups")
+    first = ranked.groupBy("root").agg(F.min("rank").alias("first"))
+    dropped = settle(ranked.join(first, "root").filter("rank.number != first.number").select("rank.number"), "simhash-dropped")
+    return rows.join(dropped, "number", "left_anti").select("_row.*")

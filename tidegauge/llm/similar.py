@@ -28,7 +28,7 @@ BANDS, BAND_ROWS, AT_ONCE = 40, 8, 4096
 #: Bits in which fingerprints of similar texts differ at most: about 10 at a similarity of 0.8, with a deviation of 3.
 NEAR = 22
 PART = 1024
-SKETCH = "struct<near:bigint,hashes:binary,bands:array<bigint>>"
+SKETCH = "struct<near:bigint,bands:array<bigint>>"
 
 
 def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -81,22 +81,29 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def sketched(shingle: int = SHINGLE):
-    """Column function from a text to fingerprint, hashes and bands. A text without words has no bands."""
+    """Column function from a text to fingerprint and bands. A text without words has no bands."""
 
     @F.arrow_udf(SKETCH)
     def sketch(texts: pa.Array) -> pa.Array:
-        near, sets, bands = [], [], []
+        near, bands = [], []
         for text in texts:
             hashes = shingle_hashes(text.as_py(), shingle)
             near.append(simhash_of(hashes))
-            sets.append(hashes.tobytes())
             bands.append(band_keys(hashes).view(np.int64) if len(hashes) else [])
-        columns = [pa.array(np.array(near, dtype=np.uint64).view(np.int64)), pa.array(sets, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-        return pa.StructArray.from_arrays(columns, ["near", "hashes", "bands"])
+        columns = [pa.array(np.array(near, dtype=np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(columns, ["near", "bands"])
 
     return sketch
 
 
+def _hashed(shingle: int):
+    @F.arrow_udf("binary")
+    def hashed(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_hashes(text.as_py(), shingle).tobytes() for text in texts], pa.binary())
+
+    return hashed
+
+
 def _set(data) -> np.ndarray:
     return np.frombuffer(data.as_buffer(), dtype=np.uint64)
 
@@ -149,16 +156,21 @@ def _searched(least: float):
     return run
 
 
-def similar_links(rows: DataFrame, least: float = SIMILARITY, part: int = PART) -> DataFrame:
+def similar_links(rows: DataFrame, least: float = SIMILARITY, shingle: int = SHINGLE, part: int = PART) -> DataFrame:
     """Links (a, b) of numbers that connect just the rows with a chain of steps of similarity ``least`` or more.
 
-    ``rows``: a written table with number, near, hashes and bands as :func:`sketched` gives
-    them. Buckets of more than ``part`` rows are cut, and each pair of parts is searched.
+    ``rows``: a written table with number, text, and near and bands as :func:`sketched` gives
+    them. Sets are made of the texts that share a bucket with another one, and only they
+    are moved. Buckets of more than ``part`` rows are cut, and each pair of parts is searched.
     """
     keyed = rows.select("number", F.posexplode("bands").alias("place", "key")).select("number", F.xxhash64("place", "key").alias("band"))
     buckets = keyed.groupBy("band").agg(F.min("number").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = settle(keyed.join(buckets, "band"), "similar-buckets")
-    sets = rows.select("number", "hashes")
+    # Written tables tell their size, by which Spark chooses to broadcast or to shuffle.
+    busy = settle(shared.select("number").distinct(), "similar-numbers")
+    known = rows.select("number", "near", "text").join(busy, "number", "left_semi")
+    known = settle(known.select("number", "near", _hashed(shingle)("text").alias("hashes")), "similar-sets")
+    sets = known.select("number", "hashes")
     stars = shared.filter("number != hub").select("number", "hub").distinct().join(sets, "number")
     tested = stars.join(sets.select(F.col("number").alias("hub"), F.col("hashes").alias("others")), "hub")
     first = settle(tested.filter(_agreeing(least)("hashes", "others")).select(F.col("number").alias("a"), F.col("hub").alias("b")), "similar-stars")
@@ -168,8 +180,8 @@ def similar_links(rows: DataFrame, least: float = SIMILARITY, part: int = PART)
     mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("band")
     parts = F.ceil(F.col("size") / part)
     own = F.pmod(F.xxhash64("number"), parts)
-    busy = rooted.join(mixed, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    units = busy.select(F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "number", "root")
-    units = units.join(rows.select("number", "near", "hashes"), "number").select("unit", "number", "near", "root", "hashes")
+    crowd = rooted.join(mixed, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    units = crowd.select(F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "number", "root")
+    units = units.join(known, "number").select("unit", "number", "near", "root", "hashes")
     found = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_searched(least), "a long, b long").distinct()
     return first.unionByName(settle(found, "similar-found"))
