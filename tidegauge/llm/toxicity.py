@@ -12,8 +12,8 @@ each text, since a label speaks of the text and not of all of its windows.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,6 +57,49 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+@dataclass
+class Sample:
+    """Training windows as word numbers, four bytes a word, in the order of row and words.
+
+    ``windows`` is padded with the size of the vocabulary, which is sorted.
+    """
+
+    vocabulary: list[str]
+    owner: np.ndarray
+    labels: np.ndarray
+    windows: np.ndarray
+
+    @staticmethod
+    def of(rows: Iterable[tuple[int, int, list[str]]]) -> Sample:
+        """From (row, label, words), taken one at a time."""
+        number: dict[str, int] = {}
+        owner, labels, sizes, flat = array("q"), array("i"), array("i"), array("i")
+        for row, label, words in rows:
+            owner.append(row)
+            labels.append(label)
+            sizes.append(len(words))
+            flat.extend([number.setdefault(word, len(number)) for word in words])
+        vocabulary = sorted(number)
+        rank = np.empty(len(number), dtype=np.int32)
+        rank[[number[word] for word in vocabulary]] = np.arange(len(number), dtype=np.int32)
+        owners, sides, lengths = np.array(owner, np.int64), np.array(labels, np.int32), np.array(sizes, np.int32)
+        windows = np.full((len(owners), WIDTH), len(vocabulary), dtype=np.int32)
+        windows[np.arange(WIDTH) < lengths[:, None]] = rank[np.array(flat, np.int32)]
+        order = np.lexsort((*windows.T[::-1], owners))
+        return Sample(vocabulary, owners[order], sides[order], windows[order])
+
+    def firsts(self) -> np.ndarray:
+        """Where the windows of each row begin."""
+        return np.flatnonzero(np.diff(self.owner, prepend=self.owner[0] - 1))
+
+    def rows(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Label and distinct word numbers of each row."""
+        firsts = self.firsts().tolist()
+        for a, b in zip(firsts, [*firsts[1:], len(self.owner)]):
+            found = np.unique(self.windows[a:b])
+            yield int(self.labels[a]), found[found < len(self.vocabulary)]
+
+
 @dataclass
 class Evidence:
     """Log odds of words and of character n-grams, shrunk where few rows have them."""
@@ -65,21 +108,24 @@ class Evidence:
     grams: dict[str, float]
 
     @staticmethod
-    def learn(texts: list[set[str]], labels: np.ndarray) -> Evidence:
-        def odds(features: list[set[str]]) -> dict[str, float]:
-            sides = [Counter(), Counter()]
-            for found, label in zip(features, labels):
-                sides[int(label)].update(found)
-            ones, zeros = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
-            out = {}
-            for name in sides[0].keys() | sides[1].keys():
-                a, b = sides[1][name], sides[0][name]
-                if a + b >= SEEN_IN:
-                    value = np.log((a + 0.5) / (ones + 1)) - np.log((b + 0.5) / (zeros + 1))
-                    out[name] = float(value * (a + b) / (a + b + 8) / 3)
-            return out
-
-        return Evidence(odds(texts), odds([{g for word in found for g in grams(word)} for found in texts]))
+    def learn(sample: Sample) -> Evidence:
+        """Counts rows, one after the other, by numbers; only counts are held for all rows."""
+        number: dict[str, int] = {}
+        parts = [np.unique([number.setdefault(g, len(number)) for g in grams(word)]) for word in sample.vocabulary]
+        words, pieces = np.zeros((2, len(parts)), np.int64), np.zeros((2, len(number)), np.int64)
+        rows = np.zeros(2, np.int64)
+        for side, found in sample.rows():
+            rows[side] += 1
+            words[side, found] += 1
+            pieces[side, np.unique(np.concatenate([parts[i] for i in found]))] += 1
+
+        def odds(names, counts: np.ndarray) -> dict[str, float]:
+            both, (zeros, ones) = counts.sum(axis=0), np.maximum(rows, 1)
+            value = np.log((counts[1] + 0.5) / (ones + 1)) - np.log((counts[0] + 0.5) / (zeros + 1))
+            value = value * both / (both + 8) / 3
+            return {name: x for name, x, n in zip(names, value.tolist(), both.tolist()) if n >= SEEN_IN}
+
+        return Evidence(odds(sample.vocabulary, words), odds(number, pieces))
 
     def of(self, word: str) -> tuple[float, float, float, float]:
         marked, get = f"^{word}$", self.grams.get
@@ -183,23 +229,15 @@ class Network:
         return g
 
 
-def train(rows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network | None:
+def train(rows: Iterable[tuple[int, int, list[str]]], seed: int = 7) -> Network | None:
     """A network from windows (row, label, words). None unless both labels occur."""
-    rows = sorted(rows)
-    if len({label for _, label, _ in rows}) < 2:
+    sample = Sample.of(rows)
+    if len(np.unique(sample.labels)) < 2:
         return None
-    docs: dict[int, tuple[int, set[str]]] = {}
-    for row, label, words in rows:
-        docs.setdefault(row, (label, set()))[1].update(words)
-    network = Network(Evidence.learn([found for _, found in docs.values()], np.array([label for label, _ in docs.values()])), seed)
-    vocabulary = sorted({word for _, _, words in rows for word in words})
-    number = {word: i for i, word in enumerate(vocabulary)}
-    windows = np.full((len(rows), WIDTH), len(vocabulary), dtype=np.int64)
-    for i, (_, _, words) in enumerate(rows):
-        windows[i, : len(words)] = [number[word] for word in words]
-    table = network.table(vocabulary)
-    owner, labels = np.array([row for row, _, _ in rows]), np.array([label for _, label, _ in rows], dtype=np.float32)
-    first = np.flatnonzero(np.diff(owner, prepend=owner[0] - 1))
+    network = Network(Evidence.learn(sample), seed)
+    vocabulary, windows, owner = sample.vocabulary, sample.windows, sample.owner
+    labels = sample.labels.astype(np.float32)
+    table, first = network.table(vocabulary), sample.firsts()
     scores = table[0][:, :2].max(axis=1)[windows].max(axis=1)
     rng, moments, step = np.random.default_rng(seed), {}, 0
     for _ in range(ROUNDS):
@@ -307,7 +345,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
     one_text = rows.groupBy("id").agg(F.max("label").alias("label"), F.max("text").alias("text"))
     cut = one_text.select("id", "label", "text").mapInArrow(_windows(), "id long, label int, words string")
-    return train([(row.id, row.label, row.words.split(" ")) for row in cut.toLocalIterator()])
+    return train((row.id, row.label, row.words.split(" ")) for row in cut.toLocalIterator())
 
 
 def scored(docs: DataFrame, network: Network | None, text: str = "text", name: str = "score") -> DataFrame:
