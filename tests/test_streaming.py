@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from helpers import at, plain_fold, seconds, ticks
 from tidegauge.operators import tick_advice, window_advice, window_averages, window_count
+from tidegauge.plans import streamed
 from tidegauge.plans.jobs import rejected, sales_job, start_to, tick_job, window_job
-from tidegauge.session import ship_package
-from tidegauge.sources import read_json_lines
+from tidegauge.session import prepare, ship_package
+from tidegauge.sources import read_json_lines, table_events, ticks_from_events
 from tidegauge.streaming import (
     changelog,
     print_rows,
@@ -232,3 +233,20 @@ def test_print(feed):
     progress = query.lastProgress
     query.stop()
     assert query.exception() is None and "Console" in progress.sink.description
+
+
+def test_restarted_streams_use_what_they_kept(spark, monkeypatch):
+    events = table_events(prepare(spark), "/root/testdata/sf0.001")
+    parts, started = streamed.halves(events), []
+    monkeypatch.setattr(streamed, "write_files", lambda *a, **k: started.append(write_files(*a, **k)) or started[-1])
+    build = lambda some: stream_tick_advice(ticks_from_events(some, "event_type"))
+    rows = streamed.restarted(build, parts, "restart-test").count()
+    assert [sum(p["numInputRows"] for p in query.recentProgress) for query in started] == [part.count() for part in parts]
+    assert all(part.count() for part in parts) and rows == events.count()
+
+
+def test_halves_of_odd_tables(spark):
+    events = table_events(prepare(spark), "/root/testdata/sf0.001")
+    assert [part.count() for part in streamed.halves(events.limit(0))] == [0, 0]
+    timeless = events.limit(5).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    assert sum(part.count() for part in streamed.halves(timeless.unionByName(events.limit(1)))) == 6

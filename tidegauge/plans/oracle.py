@@ -188,6 +188,10 @@ SELECT symbol, window_start, window_end, ts AS event_time, seq, close FROM w""",
     }
 
 
+#: Half of the time that the events cover.
+HALF = "(SELECT make_timestamp(epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2) FROM events)"
+
+
 def closed(seconds: int) -> str:
     """Windows that a watermark this far behind the last event has passed."""
     return f"window_end <= (SELECT max(ts) FROM events) - INTERVAL {seconds} SECOND"
@@ -215,6 +219,10 @@ def stream_oracles() -> dict[str, str]:
         "stream_window_count": window_count("event_type", 30, where=closed(2)),
         "stream_window_avg_row": window_average_row(closed(2)),
         "stream_inactivity": _silent_stream(10, 2),
+        "stream_restart": advice("event_type"),
+        "stream_restart_windows": window_advice("event_type", 86400, 43200, closed(2)),
+        "stream_restart_inactivity": _silent_stream(10, 2),
+        "stream_late_windows": window_count("event_type", 30, where=f"{closed(2)} AND ts >= {HALF}"),
         "job_ticks": _as_record(advice("user_id")),
         "job_windows": _as_record(window_advice("user_id", 86400, 43200, closed(2))),
         "job_sales": window_sum(closed(0)),

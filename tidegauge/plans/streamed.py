@@ -47,6 +47,46 @@ def _stream(build: Callable[[DataFrame], DataFrame], key: str, name: str) -> Que
     return query
 
 
+def halves(events: DataFrame) -> list[DataFrame]:
+    """Events of the earlier and of the later half of the time covered; those without a time are in the first."""
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return [events, events.limit(0)]
+    early = F.coalesce(F.col("ts") < F.lit(low + (high - low) // 2).cast("timestamp_ntz"), F.lit(True))
+    return [events.filter(early), events.filter(~early)]
+
+
+def restarted(build: Callable[[DataFrame], DataFrame], parts: list[DataFrame], name: str) -> DataFrame:
+    """What a stream has written that is started once per part, each time from its checkpoint.
+
+    A part is added to the stream's folder when all before it are read, so state, windows and
+    the watermark of one start are needed by the next.
+    """
+    spark = parts[0].sparkSession
+    folder, path, checkpoint = (fresh_folder(spark, f"{name}{end}") for end in ("-source", "", "-checkpoint"))
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        source = spark.readStream.schema(part.schema).option("maxBytesPerTrigger", GIGABYTE).parquet(folder)
+        rows = build(source)
+        write_files(rows, path, checkpoint, once=True).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _restarted(build: Callable[[DataFrame], DataFrame], key: str, name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        parts = halves(table_events(prepare(spark), sf_dir))
+        return zone_free(restarted(lambda events: build(ticks_from_events(events, key)), parts, name))
+
+    return query
+
+
+def stream_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per window where the earlier half of the events comes last: windows then closed leave it out."""
+    parts = halves(table_events(prepare(spark), sf_dir))[::-1]
+    count = lambda events: window_count(with_watermark(ticks_from_events(events, "event_type")))
+    return zone_free(restarted(count, parts, "late-windows"))
+
+
 def _average_rows(ticks: DataFrame) -> DataFrame:
     readings = with_watermark(ticks).withColumnRenamed("close", "temperature")
     means = window_average_row(readings, "symbol", "temperature", "1 day")
@@ -120,6 +160,14 @@ def stream_queries() -> dict[str, Query]:
         "stream_inactivity": _stream(
             lambda t: stream_inactive_keys(with_watermark(t)), "user_id", "inactivity"
         ),
+        "stream_restart": _restarted(stream_tick_advice, "event_type", "restart"),
+        "stream_restart_windows": _restarted(
+            lambda t: stream_window_advice(with_watermark(t), *by_day), "event_type", "restart-windows"
+        ),
+        "stream_restart_inactivity": _restarted(
+            lambda t: stream_inactive_keys(with_watermark(t)), "user_id", "restart-inactivity"
+        ),
+        "stream_late_windows": stream_late_windows,
         "job_ticks": job_ticks,
         "job_windows": job_windows,
         "job_sales": job_sales,
