@@ -458,6 +458,17 @@ def test_toxicity_finds_held_out_texts(spark, monkeypatch):
     assert kept.columns == docs.columns and kept.count() < len(rows)
 
 
+def test_training_sample_counts_rows():
+    rows = [(2, 0, ["b", "abcd", "b"]), (1, 1, ["abcd", "c"]), (2, 0, ["abcd"]), (3, 1, ["abcd"])]
+    sample = toxicity.Sample.of(iter(rows))
+    assert sample.vocabulary == ["abcd", "b", "c"] and sample.owner.tolist() == [1, 2, 2, 3]
+    assert sample.windows[:, :3].tolist() == [[0, 2, 3], [0, 3, 3], [1, 0, 1], [0, 3, 3]]
+    evidence = toxicity.Evidence.learn(sample)
+    seen = (np.log(2.5 / 3) - np.log(1.5 / 2)) * 3 / 11 / 3  # by both toxic rows and the one other row
+    assert evidence.words == pytest.approx({"abcd": seen}) and evidence.grams == pytest.approx({g: seen for g in ("^abc", "abcd", "bcd$")})
+    assert toxicity.train(iter([])) is None and toxicity.train(iter(rows[:1])) is None
+
+
 def test_windows_cover_every_word():
     for count in range(0, 200):
         starts = toxicity.starts_of(count)
