@@ -255,6 +255,16 @@ def test_license_key_phrase_is_mandatory(spark):
     assert (found[1], found[2], found[3], found[4]) == ("mit-text", "", "mit-text", "")
 
 
+def _labels(spark, rows) -> dict[int, str]:
+    return {r.doc_id: r.labels for r in licenses.license_scan(cases.documents(spark, rows)).collect()}
+
+
+def test_license_that_most_documents_hold(spark):
+    notice = "All rights reserved."
+    rows = [(i, f"{cases.prose(random.Random(i), 20)} {notice if i % 5 else ''}") for i in range(50)]
+    assert _labels(spark, rows) == {i: "reserved" if i % 5 else "" for i in range(50)}
+
+
 def test_quality(given, labels):
     docs, some = given
     found = quality.quality(docs, labels)

@@ -1,11 +1,12 @@
 """Licence scans by a positional index of rare words, as column expressions only.
 
-The index holds every place of every word of the licence templates. How many documents
-have a licence word is counted over the whole table. A document then looks up its rarest
-licence words (highest inverse document frequency); each place of such a word, less the
-word's place in a template, is a place where the template may begin. Beginnings on which
-two places agree are kept, the template is compared word by word there, and its mandatory
-key phrases must stand where the template has them.
+How many documents have a licence word is counted over the whole table. The index holds, for
+each template, the places of the rarest words (highest inverse document frequency) of its
+mandatory key phrases. Each place of such a word in a document, less the word's place in
+the template, is a place where the template may begin. Beginnings on which all of the
+template's indexed places agree are kept, and the template is compared word by word there.
+A notice has all mandatory words in their places, so none is missed, however frequent its
+words are and whatever else the document holds.
 """
 
 from __future__ import annotations
@@ -36,10 +37,8 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the [Mozilla Public License] v 2 0",
     "reserved": "[All rights reserved]",
 }
-#: Rare words looked up in a document, places that must agree, share of a template's words that must match.
-RARE, AGREE, SHARE = 12, 2, 0.8
-#: A word of more than this share of all documents is no rare word.
-COMMON = 0.25
+#: Places of a template that are indexed and must agree, share of a template's words that must match.
+AGREE, SHARE = 2, 0.8
 BEHIND = 1 << 32
 
 
@@ -71,7 +70,7 @@ def _words_array(words: list[str]) -> Column:
 
 
 def rare_words(docs: DataFrame, text: str = "text") -> list[str]:
-    """Licence words from highest to lowest inverse document frequency over all of ``docs``, without common ones.
+    """The licence words that ``docs`` have, from highest to lowest inverse document frequency over all of them.
 
     One aggregate with at most a row per licence word and task; the driver sees
     at most a row per licence word.
@@ -82,7 +81,21 @@ def rare_words(docs: DataFrame, text: str = "text") -> list[str]:
     counts = {row["word"]: row["count"] for row in rows}
     total = counts.pop("", 0)
     idf = {word: math.log(total / n) for word, n in counts.items()}
-    return sorted((w for w in idf if counts[w] <= COMMON * total or counts[w] <= AGREE), key=lambda w: (-idf[w], w))
+    return sorted(idf, key=lambda w: (-idf[w], w))
+
+
+def indexed(ranked: list[str]) -> dict[str, list[tuple[str, int]]]:
+    """For each label the ``AGREE`` rarest words of its key phrases with their places in the template.
+
+    A template with a mandatory word that no document has is left out.
+    """
+    rank = {word: n for n, word in enumerate(ranked)}
+    out = {}
+    for label, phrases in key_phrases().items():
+        places = [(word, start + k) for start, phrase in phrases for k, word in enumerate(phrase)]
+        if all(word in rank for word, _ in places):
+            out[label] = sorted(places, key=lambda place: rank[place[0]])[:AGREE]
+    return out
 
 
 def _starts(words: Column, phrase: list[str]) -> Column:
@@ -92,10 +105,9 @@ def _starts(words: Column, phrase: list[str]) -> Column:
     return F.when(F.array_contains(words, phrase[0]) & F.array_contains(words, phrase[-1]), F.filter(places, lambda x: x.isNotNull())).otherwise(F.array().cast("array<int>"))
 
 
-def _candidates(words: Column, rare: Column) -> Column:
-    """label number * 2 ** 32 + beginning + 2 ** 31, once for each template and beginning on which places agree."""
-    index = [(word, n, at) for n, tpl in enumerate(template_words().values()) for at, word in enumerate(tpl)]
-    postings = F.array(*[F.struct(F.lit(word).alias("word"), F.lit(n * BEHIND + BEHIND // 2 - at).alias("base")) for word, n, at in index])
+def _candidates(words: Column, rare: Column, index: dict[str, list[tuple[str, int]]]) -> Column:
+    """label number * 2 ** 32 + beginning + 2 ** 31, once for each template and beginning on which its indexed places agree."""
+    postings = F.array(*[F.struct(F.lit(word).alias("word"), F.lit(n * BEHIND + BEHIND // 2 - at).alias("base")) for n, label in enumerate(TEMPLATES) for word, at in index.get(label, ())])
     hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda s: F.array_contains(rare, s["w"]))
     votes = F.flatten(F.transform(hits, lambda h: F.transform(F.filter(postings, lambda p: p["word"] == h["w"]), lambda p: p["base"] + h["i"])))
     ordered = F.array_sort(votes)
@@ -128,17 +140,22 @@ def _verified(words: Column, found: Column) -> Column:
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, rare_words.
 
+    ``rare_words`` are the indexed words that the document has, rarest first.
     ``score`` is the best share of a template's words that stand where they should, 1 where a base phrase was
     found. Null and empty texts have no words, no labels and score 0; repeated rows stay; other columns are
     ignored; an empty table gives no row. No shuffle but the count of licence words.
     """
     ranked = rare_words(docs, text)
+    index = indexed(ranked)
+    wanted = {word for places in index.values() for word, _ in places}
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), words_of(F.col(text)).alias("words"))
-    rows = rows.withColumn("rare", F.slice(F.array_intersect(_words_array(ranked), F.col("words")), 1, RARE))
+    rows = rows.withColumn("rare", F.array_intersect(_words_array([word for word in ranked if word in wanted]), F.col("words")))
     for n, phrase in enumerate(PHRASES):
         rows = rows.withColumn(f"p{n}", _starts(F.col("words"), phrase.split()))
     empty = F.array().cast("array<bigint>")
-    rows = rows.withColumn("found", F.when(F.size("rare") >= 1, _candidates(F.col("words"), F.col("rare"))).otherwise(empty))
+    whole = [reduce(lambda a, b: a & b, [F.array_contains("rare", word) for word, _ in places]) for places in index.values()]
+    found = F.when(reduce(lambda a, b: a | b, whole), _candidates(F.col("words"), F.col("rare"), index)).otherwise(empty) if index else empty
+    rows = rows.withColumn("found", found)
     verdict = F.when(F.size("found") > 0, _verified(F.col("words"), F.col("found")))
     rows = rows.withColumn("verdict", verdict)
     places = F.concat(*[F.col(f"p{n}") for n in range(len(PHRASES))])
