@@ -255,6 +255,19 @@ def test_license_key_phrase_is_mandatory(spark):
     assert (found[1], found[2], found[3], found[4]) == ("mit-text", "", "mit-text", "")
 
 
+def _notices(text: str) -> str:
+    """Labels of the templates that hold at any place of a text without base phrases."""
+    words, out = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", cases.lowered(text)), []
+    for label, template in licenses.template_words().items():
+        key = {k + j: w for k, phrase in licenses.key_phrases()[label] for j, w in enumerate(phrase)}
+        first, word = min(key.items())
+        for start in (i - first for i, w in enumerate(words) if w == word):
+            at = [words[start + k] if 0 <= start + k < len(words) else None for k in range(len(template))]
+            if all(at[k] == w for k, w in key.items()) and sum(a == w for a, w in zip(at, template)) >= licenses.SHARE * len(template):
+                out.append(label)
+    return ",".join(sorted({*out}))
+
+
 def _labels(spark, rows) -> dict[int, str]:
     return {r.doc_id: r.labels for r in licenses.license_scan(cases.documents(spark, rows)).collect()}
 
@@ -265,6 +278,24 @@ def test_license_that_most_documents_hold(spark):
     assert _labels(spark, rows) == {i: "reserved" if i % 5 else "" for i in range(50)}
 
 
+def test_licenses_beside_each_other_and_in_long_texts(spark):
+    rng = random.Random(8)
+    texts = {label: text.replace("[", "").replace("]", "") for label, text in licenses.TEMPLATES.items()}
+    plain = [label for label in texts if not _labels_of_phrases(texts[label])]
+    rows = [(100 * i + j, f"{texts[a]}. {texts[b]}") for i, a in enumerate(plain) for j, b in enumerate(plain)]
+    words = sorted({w for label in plain for w in texts[label].lower().split()})
+    chance = " ".join(rng.choice(words) for _ in range(100_000))
+    rows += [(5000, chance), (5001, f"{chance}. {texts['bsd-text']}. {texts['isc-text']}"), (5002, f"All rights reserved. {chance}")]
+    rows += [(6000 + i, cases.prose(rng, 30)) for i in range(150)]
+    found = _labels(spark, rows)
+    assert found == {i: _notices(text) for i, text in rows}
+    assert found[100 * plain.index("mit-text") + plain.index("reserved")] == "mit-text,reserved"
+
+
+def _labels_of_phrases(text: str) -> list[str]:
+    return [label for phrase, label in licenses.PHRASES.items() if phrase in text.lower()]
+
+
 def test_quality(given, labels):
     docs, some = given
     found = quality.quality(docs, labels)
