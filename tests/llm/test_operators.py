@@ -209,6 +209,18 @@ def test_encoder_gives_the_tokenizers_ids():
         assert np.frombuffer(of(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_of_long_white_space(monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain, of = Tokenizer.from_file(vocabulary("byte_bpe_50k.json")), packing.Encoder(vocabulary("byte_bpe_50k.json"))
+    same = lambda text: np.array_equal(np.frombuffer(of(text), dtype="<u4"), plain.encode(text, add_special_tokens=False).ids)
+    runs = [" " * 2_000_000, "\n" * 2_000_000]
+    assert all(same(text) for text in (runs[0], f"a{runs[0]}b", f"{runs[1]}a  b", f"a {runs[1]}!{runs[0]}"))
+    monkeypatch.setattr(packing, "LONG_RUN", 2)
+    rng, marks = random.Random(5), [*" \t\n\r\v\f\x1c\x1f\x85\xa0\u1680\u180e\u2003\u200b\u2028\u202f\u205f\u3000\ufeff", "a", "12", "!", "'s"]
+    assert all(same("".join(rng.choice(marks) for _ in range(rng.randint(1, 12)))) for _ in range(5000))
+
+
 def test_sharding(given):
     docs, some = given
     found = sharding.sharded(docs).collect()

@@ -8,8 +8,10 @@ crosses a cut gives one boundary record, here called a piece, on either side.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -22,6 +24,9 @@ WINDOW, END_ID, ID_BYTES = 2048, 1, 4
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_OF = {chr(b): b for b in SHOWN} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*SHOWN}))}
+#: White space as ``WORDS`` knows it. Runs from ``LONG_RUN`` characters are cut off here, since matching them takes a stack as long as they are.
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+LONG_RUN = 100_000
 TOKENS = "doc_id long, part int, within long, n long, ids binary"
 
 
@@ -43,6 +48,18 @@ class Encoder:
         self.encoding = tiktoken.Encoding("from file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
+        if len(text) < LONG_RUN:
+            return self._plain(text)
+        out, at = [], 0
+        for start, end in (run.span() for run in SPACES.finditer(text)):
+            if end - start >= LONG_RUN:
+                end -= end < len(text)  # ``\s+(?!\S)`` leaves the last one to what follows
+                ids = self.encoding._encode_single_piece(text[start:end])
+                out += [self._plain(text[at:start]), np.array(ids, dtype="<u4").tobytes()]
+                at = end
+        return b"".join([*out, self._plain(text[at:])])
+
+    def _plain(self, text: str) -> bytes:
         return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
