@@ -329,6 +329,26 @@ def test_quality_prefers_what_is_like_trusted_text(spark):
     assert sum(found[i].kept for i, _ in good) >= 195 and not any(found[i].kept for i, _ in junk)
 
 
+def test_quality_threshold_is_from_all_trusted_rows(spark):
+    ids = spark.range(60_000).withColumnRenamed("id", "doc_id")
+    low = F.xxhash64("doc_id") > int(0.96 * 2**63)  # one in fifty, all of them late in the order of hashes
+    judged = ids.select("doc_id", F.lit(1).alias("grams"), F.when(low, -1.0).otherwise(0.5).alias("score"))
+    assert quality.threshold(judged, ids.withColumn("quality", F.lit(1))) == -1.0
+
+
+def test_quality_counts_all_trusted_rows(spark):
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.xxhash64("id") > int(0.96 * 2**63), "late").otherwise("early").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(None, "no id"), (70_000, "no label")], "doc_id long, text string"))
+    ratios = quality.log_ratios(docs, docs.filter("doc_id < 60000").withColumn("quality", F.lit(1)))
+    assert all(abs(ratios[quality.Words([word]).buckets(0)[0]]) < 0.5 for word in ("late", "early"))
+
+
+def test_quality_filter_passes_every_id(spark):
+    ids = spark.range(20_000).filter("id % 2 = 0").union(spark.createDataFrame([(-5,), (2**62,)], "id long"))
+    passed = lambda some: some.filter(quality._may_be_in(ids)(quality._slot(F.col("id")))).count()
+    assert passed(ids) == ids.count() and passed(spark.range(10**6, 10**6 + 10_000)) < 100
+
+
 def test_repeated_words_against_plain():
     rng = random.Random(6)
     for _ in range(300):

@@ -1,8 +1,8 @@
 """Quality by hashed n-grams: a log-likelihood ratio between trusted and raw text, beside fixed rules.
 
 Words and pairs of neighbouring words are hashed into ``BUCKETS``. One pass over all documents
-counts the buckets of the raw corpus and of trusted rows; a second scores each document by the
-mean of log(p_trusted / p_raw) over its n-grams. Trusted rows are halved by hash: one half is
+counts the buckets of the raw corpus, one over trusted rows those of trusted text; a last
+one scores each document by the mean of log(p_trusted / p_raw) over its n-grams. Trusted rows are halved by hash: one half is
 counted, the threshold is read off the scores of the other, of which all but ``TRUSTED_LOSS``
 are above it. Every document is then decided alike.
 """
@@ -15,17 +15,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACED, workers_know
 
 BUCKETS = 1 << 15
-#: Trusted rows that are used, at most; those whose ids hash lowest.
-TRUSTED = 20_000
 #: Share of the trusted rows that may fall below the threshold, and the width in which scores are counted.
 TRUSTED_LOSS, STEP = 0.002, 0.01
 SMOOTHING = 1.0
+#: Bits of the filter that tells which texts may be trusted, in rows of ``ROW_BITS``, as many as Spark's bitmaps have.
+FILTER_BITS, ROW_BITS = 1 << 23, 1 << 15
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 SYMBOLS = "#*$%&|<>"
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -82,43 +82,62 @@ class Words:
 
 
 def _counted():
-    """Rows (bucket, trusted, raw) of a task's texts."""
+    """Rows (bucket, found) of a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, BUCKETS), dtype=np.int64)
+        sums = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                words = Words([x or "" for x in some.column(0).to_pylist()])
-                for i, trusted in enumerate(some.column(1).to_pylist()):
-                    found = np.bincount(words.buckets(i), minlength=BUCKETS) if len(words.codes[i]) * 4 > BUCKETS else None
-                    if found is None:
-                        np.add.at(sums[1], (picked := words.buckets(i)), 1)
-                        if trusted:
-                            np.add.at(sums[0], picked, 1)
+                words = Words([x or "" for x in batch.column(0).slice(at, 500).to_pylist()])
+                for i, codes in enumerate(words.codes):
+                    if len(codes) * 4 > BUCKETS:
+                        sums += np.bincount(words.buckets(i), minlength=BUCKETS)
                     else:
-                        sums[1] += found
-                        sums[0] += found * bool(trusted)
-        used = np.flatnonzero(sums[1])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[0][used]), pa.array(sums[1][used])], names=["bucket", "trusted", "raw"])
+                        np.add.at(sums, words.buckets(i), 1)
+        used = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], names=["bucket", "found"])
 
     return run
 
 
 def trusted_ids(labels: DataFrame, doc_id: str, label: str, half: int) -> DataFrame:
-    """Ids (``id``) of a half of at most ``TRUSTED`` rows with label 1, chosen by hash. Half 0 is for counts, 1 for the threshold."""
+    """Ids (``id``) of a half of the rows with label 1, chosen by hash. Half 0 is for counts, 1 for the threshold."""
     known = labels.filter(F.col(label) == 1).select(F.col(doc_id).cast("long").alias("id")).filter("id IS NOT NULL").distinct()
-    return known.orderBy(F.xxhash64("id"), "id").limit(TRUSTED).filter(F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)) == half)
+    return known.filter(F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)) == half)
+
+
+def _slot(id_: Column) -> Column:
+    return F.pmod(F.xxhash64(id_), F.lit(FILTER_BITS))
+
+
+def _may_be_in(ids: DataFrame):
+    """Column function from a slot to whether one of ``ids`` has it. The filter has ``FILTER_BITS`` bits, whatever the table."""
+    slots = ids.select(_slot(F.col("id")).alias("slot"))
+    rows = slots.groupBy(F.floor(F.col("slot") / ROW_BITS).alias("row")).agg(F.bitmap_construct_agg(F.col("slot") % ROW_BITS).alias("bits"))
+    filled = np.zeros((FILTER_BITS // ROW_BITS, ROW_BITS // 8), dtype=np.uint8)
+    for row in rows.collect():
+        filled[row["row"]] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    known = ids.sparkSession.sparkContext.broadcast(filled.ravel())
+
+    @F.arrow_udf("boolean")
+    def may_be_in(slots: pa.Array) -> pa.Array:
+        at = slots.to_numpy(zero_copy_only=False)
+        return pa.array((known.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+
+    return may_be_in
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:
-    """log(p_trusted / p_raw) of every bucket. Raw counts are those of all documents."""
-    ids = F.broadcast(trusted_ids(labels, doc_id, label, 0).withColumn("trusted", F.lit(True)))  # at most TRUSTED ids
-    rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    sums = rows.mapInArrow(_counted(), "bucket long, trusted long, raw long").groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw")).collect()
+    """log(p_trusted / p_raw) of every bucket. Raw counts are those of all documents, trusted ones those of half 0."""
+    rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     counts = np.full((2, BUCKETS), SMOOTHING)
-    for row in sums:  # at most BUCKETS rows
-        counts[:, row["bucket"]] += row["trusted"], row["raw"]
+    ids = trusted_ids(labels, doc_id, label, 0)
+    # The filter only spares the shuffle of other texts; the join decides.
+    trusted = rows.filter(_may_be_in(ids)(_slot(F.col("id")))).join(ids, "id", "left_semi")
+    for side, some in enumerate((trusted, rows)):
+        sums = some.select("text").mapInArrow(_counted(), "bucket long, found long").groupBy("bucket").agg(F.sum("found").alias("found"))
+        for row in sums.collect():  # at most BUCKETS rows
+            counts[side, row["bucket"]] += row["found"]
     return np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
 
 
@@ -145,13 +164,13 @@ def _judged(ratios):
 
 
 def threshold(judged: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> float:
-    """The highest step below which at most ``TRUSTED_LOSS`` of the trusted rows score; -inf without any.
+    """The highest step below which at most ``TRUSTED_LOSS`` of all trusted rows of half 1 score; -inf without any.
 
     ``judged`` has ``doc_id`` and ``score``. Scores are counted in steps, so the result does
     not depend on how rows are dealt out.
     """
     ids = trusted_ids(labels, doc_id, label, 1).withColumnRenamed("id", "_id")
-    found = judged.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).filter("grams > 0")
+    found = judged.join(ids, F.col("doc_id") == F.col("_id")).filter("grams > 0")
     steps = sorted((row["step"], row["count"]) for row in found.groupBy(F.floor(F.col("score") / STEP).alias("step")).count().collect())
     room, out = TRUSTED_LOSS * sum(n for _, n in steps), -np.inf
     for step, n in steps:
@@ -167,7 +186,8 @@ def quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: st
 
     Null and empty texts have no words, score 0 and fail the rules; repeated rows stay; without
     trusted rows the rules alone decide; other columns are ignored; an empty table gives no row.
-    Texts are read twice and never shuffled: what is shuffled is a row per bucket and task.
+    Texts are read three times. Those that may be counted as trusted are shuffled once, unless
+    the trusted ids are few enough to be broadcast.
     """
     from .common import settle
 
