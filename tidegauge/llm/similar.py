@@ -6,7 +6,7 @@ similar ones practically always. In each bucket every text is compared with the
 bucket's first one, which settles groups of copies without listing their pairs. A bucket
 whose texts are not all connected by that is searched whole: a BK-tree over the SimHash
 fingerprints of the shingles names who may be near, and only those not connected
-yet are compared. Every comparison is exact, over both sets of hashes.
+yet are compared; similar texts more than ``NEAR`` bits apart are missed there. Every comparison is exact, over both sets of hashes.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from .components import components
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
 BANDS, BAND_ROWS, AT_ONCE = 40, 8, 4096
-#: Bits in which fingerprints of similar texts differ at most: about 10 at a similarity of 0.8, with a deviation of 3.
+#: Bits within which fingerprints of similar texts are sought: they differ in about 10 at a similarity of 0.8, with a deviation of 3.
 NEAR = 22
 PART = 1024
 SKETCH = "struct<near:bigint,bands:array<bigint>>"
@@ -157,7 +157,10 @@ def _searched(least: float):
 
 
 def similar_links(rows: DataFrame, least: float = SIMILARITY, shingle: int = SHINGLE, part: int = PART) -> DataFrame:
-    """Links (a, b) of numbers that connect just the rows with a chain of steps of similarity ``least`` or more.
+    """Links (a, b) of numbers that connect only rows with a chain of steps of similarity ``least`` or more.
+
+    Steps are missed between texts that share no band, and in searched buckets between those
+    whose fingerprints differ in more than ``NEAR`` bits.
 
     ``rows``: a written table with number, text, and near and bands as :func:`sketched` gives
     them. Sets are made of the texts that share a bucket with another one, and only they
