@@ -49,3 +49,27 @@ root AS (SELECT h AS root FROM upper WHERE n = 1)
 SELECT w.doc_id, w.start AS leaf, s.subroot, root.root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = root.root AS verified
 FROM walk w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang, root WHERE w.top AND w.n = 1
 """
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (SELECT doc, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+vocabulary AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS lang_count FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+counted AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM words SEMI JOIN vocabulary USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(lang_count) AS n FROM vocabulary GROUP BY lang),
+groups AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN counted USING (lang, source) GROUP BY ALL),
+ps AS (
+  SELECT g.lang, g.source, w.term, coalesce(k.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(k.c, 0) + 1)) // (CAST(g.n AS HUGEINT) + s.v) AS p,
+    1 + (1000000000::HUGEINT * (w.lang_count + 1)) // (CAST(s.n AS HUGEINT) + s.v) AS q
+  FROM groups g JOIN sizes s USING (lang) JOIN vocabulary w USING (lang) LEFT JOIN counted k ON k.lang = g.lang AND k.source = g.source AND k.term = w.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM ps a JOIN ps b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM ps WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank FROM (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS place FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+WHERE part = 'pair' OR place <= 200
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, licenses, manifest, packing, pieces, pii, quality, sharding, simhash, toxicity, warc
-from .oracles import MANIFEST_SQL
+from . import divergence, exact, licenses, manifest, packing, pieces, pii, quality, sharding, simhash, toxicity, warc
+from .oracles import DIVERGENCE_SQL, MANIFEST_SQL
 
 #: The key of the registered queries. Real data need one from a secret store.
 SAMPLE_KEY = "sample key, not a secret"
@@ -81,6 +81,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
 
@@ -92,7 +96,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_warc, op2_licenses, op3_quality, op4_packing, op5_sharding, op6_pii, op7_simhash, op8_toxicity, op9_exact, op10_pieces, op13_manifest, pipeline)
+    found = (op1_warc, op2_licenses, op3_quality, op4_packing, op5_sharding, op6_pii, op7_simhash, op8_toxicity, op9_exact, op10_pieces, op12_divergence, op13_manifest, pipeline)
     return {query.__name__: query for query in found}
 
 
@@ -117,4 +121,4 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256
 
 def llm_oracles() -> dict[str, str]:
     """SQL where it gives all of a query's columns; the others have columns that SQL has no word for."""
-    return {"op1_warc": WARC_SQL, "op9_exact": EXACT_SQL, "op13_manifest": MANIFEST_SQL}
+    return {"op1_warc": WARC_SQL, "op9_exact": EXACT_SQL, "op12_divergence": DIVERGENCE_SQL, "op13_manifest": MANIFEST_SQL}
