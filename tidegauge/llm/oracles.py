@@ -35,7 +35,7 @@ runs AS (
   SELECT level, NULL, true, pos // 8, list(h ORDER BY pos) FROM upper WHERE n > 1 GROUP BY level, pos // 8),
 walk AS (
   SELECT lang, leaf AS start, pos AS place, 0 AS level, pos, n, false AS top, '' AS proof,
-    CASE WHEN {CRC32} % 3 = 0 THEN damaged ELSE leaf END AS h, doc_id FROM leaves
+    CASE WHEN doc_id IS NOT NULL AND {CRC32} % 3 = 0 THEN damaged ELSE leaf END AS h, doc_id FROM leaves
   UNION ALL
   SELECT w.lang, w.start, w.place,
     CASE WHEN w.n > 1 THEN w.level + 1 ELSE 0 END, CASE WHEN w.n > 1 THEN w.pos // 8 ELSE s.place END,

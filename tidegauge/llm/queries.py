@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, exact, licenses, manifest, packing, pieces, pii, quality, sharding, simhash, toxicity, warc
+from . import divergence, exact, language, licenses, manifest, packing, pieces, pii, quality, sharding, simhash, toxicity, warc
 from .oracles import DIVERGENCE_SQL, MANIFEST_SQL
 
 #: The key of the registered queries. Real data need one from a secret store.
@@ -81,6 +81,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -96,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_warc, op2_licenses, op3_quality, op4_packing, op5_sharding, op6_pii, op7_simhash, op8_toxicity, op9_exact, op10_pieces, op12_divergence, op13_manifest, pipeline)
+    found = (op1_warc, op2_licenses, op3_quality, op4_packing, op5_sharding, op6_pii, op7_simhash, op8_toxicity, op9_exact, op10_pieces, op11_language, op12_divergence, op13_manifest, pipeline)
     return {query.__name__: query for query in found}
 
 
