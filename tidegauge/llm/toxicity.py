@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SPACED, whole_row, workers_know
@@ -26,14 +26,15 @@ from .common import SPACED, whole_row, workers_know
 WIDTH, STEP = 32, 24
 HIDDEN, ATTENTION, BUCKETS, LEARNED, GRAM, START = 8, 8, 1024, 3, 4, 4
 EVIDENCE = 4
-#: Training rows of each label, and windows of each row, at most; chosen by hash.
-SAMPLE, SAMPLE_WINDOWS = 2000, 48
+#: Training rows of each label at most, chosen by hash. All windows of their texts are taken.
+SAMPLE = 2000
 #: Every round takes as many steps of ``BATCH`` windows, however small the sample.
 ROUNDS, STEPS, BATCH, RATE, DECAY, SEEN_IN = 5, 90, 128, 0.01, 1.0, 3
 THRESHOLD = 0.7
 #: Score of a text without words, which carries no evidence.
 EMPTY_SCORE = 0.0
-REMEMBERED = 400_000
+#: Words a worker remembers, 192 bytes each beside the word, and characters of the texts that it scores together, one text at least.
+REMEMBERED, CHARACTERS = 200_000, 1_000_000
 AT_ONCE = 4096
 
 
@@ -145,6 +146,13 @@ class Network:
             self.p |= {f"w{side}": mat(size, 3 * HIDDEN), f"u{side}": mat(HIDDEN, 3 * HIDDEN), f"c{side}": np.zeros(3 * HIDDEN, np.float32)}
         self.p |= {"a": mat(2 * HIDDEN, ATTENTION), "d": np.zeros(ATTENTION, np.float32), "v": mat(ATTENTION, 1)[:, 0], "o": mat(2 * HIDDEN, 1)[:, 0], "e": np.zeros(1, np.float32)}
 
+    @staticmethod
+    def of(words: dict[str, float], grams: dict[str, float], parameters: dict[str, np.ndarray]) -> Network:
+        """A trained network from its parts."""
+        out = Network(Evidence(words, grams))
+        out.p = parameters
+        return out
+
     def table(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Evidence and the two buckets of each word. The last row stands for padding."""
         facts = np.array([*map(self.evidence.of, words), (0.0,) * EVIDENCE], dtype=np.float32)
@@ -173,11 +181,11 @@ class Network:
             h = out[t] = after
         return out
 
-    def forward(self, table, windows: np.ndarray, keep: dict | None = None, projected=None) -> np.ndarray:
-        """Logits of windows, given as rows of word numbers; the table's last row is padding."""
-        p, mask = self.p, (windows != len(table[0]) - 1).astype(np.float32)
-        x = None if projected else self.vectors(table)
-        projected = projected or self.projected(x)
+    def forward(self, table, windows: np.ndarray, keep: dict | None = None, projected=None, pad: int | None = None) -> np.ndarray:
+        """Logits of windows, given as rows of word numbers; ``pad``, or else the table's last row, is padding."""
+        p, mask = self.p, (windows != (len(table[0]) - 1 if pad is None else pad)).astype(np.float32)
+        x = self.vectors(table) if projected is None else None
+        projected = self.projected(x) if projected is None else projected
         steps = range(windows.shape[1])
         traces = ([], []) if keep is not None else (None, None)
         f = self._run(projected[0], p["uf"], windows, mask, steps, traces[0])
@@ -261,7 +269,11 @@ def train(rows: Iterable[tuple[int, int, list[str]]], seed: int = 7) -> Network
 
 
 class Scorer:
-    """Scores of whole texts: the highest probability among a text's windows."""
+    """Scores of whole texts: the highest probability among a text's windows.
+
+    What the network needs of a word is kept in one array that grows in place; its first row stands
+    for padding. When it holds ``REMEMBERED`` words it starts anew.
+    """
 
     def __init__(self, network: Network | None):
         self.network = network
@@ -269,59 +281,72 @@ class Scorer:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.facts: list[np.ndarray] = []
-
-    def _learn(self, words: set[str]) -> None:
-        new = [word for word in words if word not in self.number]
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        facts, word, start = self.network.table(new)
-        self.facts.append(np.stack(self.network.projected(self.network.vectors((facts, word, start))))[:, :-1])
+        self.facts = np.zeros((2, 1024, 3 * HIDDEN), np.float32)
+
+    def _learn(self, words: list[str]) -> None:
+        first = len(self.number) + 1
+        self.number.update(zip(words, range(first, first + len(words))))
+        while self.facts.shape[1] <= len(self.number):
+            grown = np.zeros((2, min(2 * self.facts.shape[1], self.facts.shape[1] + 65_536), 3 * HIDDEN), np.float32)
+            grown[:, : self.facts.shape[1]] = self.facts
+            self.facts = grown
+        for side, values in enumerate(self.network.projected(self.network.vectors(self.network.table(words)))):
+            self.facts[side, first : first + len(words)] = values[:-1]
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         scores = np.full(len(texts), EMPTY_SCORE)
         if self.network is None:
             return scores
-        found = [words_of(text) for text in texts]
-        if len(self.number) > REMEMBERED:
-            self._forget()
-        self._learn(set().union(*found))
-        self.facts = [np.concatenate(self.facts, axis=1)]
-        blank = np.zeros((2, 1, 3 * HIDDEN), np.float32)
-        projected = tuple(np.concatenate([self.facts[0], blank], axis=1))
-        pad = len(projected[0]) - 1
-        owners, windows = [], []
-        for i, words in enumerate(found):
-            numbers = np.array([self.number[word] for word in words], dtype=np.int64)
+        owners, windows, used = [], np.zeros((AT_ONCE, WIDTH), dtype=np.int64), 0
+        for i, text in enumerate(texts):
+            words = words_of(text)
+            new = [word for word in dict.fromkeys(words) if word not in self.number]
+            if len(self.number) + len(new) > REMEMBERED and self.number:
+                self._score(owners, windows[:used], scores)  # by the numbers of words now forgotten
+                owners, used = [], 0
+                self._forget()
+                new = [*dict.fromkeys(words)]
+            for at in range(0, len(new), 50_000):
+                self._learn(new[at : at + 50_000])
+            numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
             for start in starts_of(len(words)):
+                some = numbers[start : start + WIDTH]
+                windows[used, : len(some)], windows[used, len(some) :] = some, 0
                 owners.append(i)
-                windows.append(numbers[start : start + WIDTH])
-                if len(owners) == AT_ONCE:
-                    self._score(projected, pad, owners, windows, scores)
-                    owners, windows = [], []
-        if owners:
-            self._score(projected, pad, owners, windows, scores)
+                used += 1
+                if used == AT_ONCE:
+                    self._score(owners, windows, scores)
+                    owners, used = [], 0
+        self._score(owners, windows[:used], scores)
         return scores
 
-    def _score(self, projected, pad: int, owners: list[int], windows: list[np.ndarray], scores: np.ndarray) -> None:
-        full = np.full((len(windows), WIDTH), pad, dtype=np.int64)
-        for row, some in zip(full, windows):
-            row[: len(some)] = some
-        table = (projected[0],)  # only its length is used
-        np.maximum.at(scores, owners, _sigmoid(self.network.forward(table, full, projected=projected)).astype(np.float64))
+    def _score(self, owners: list[int], windows: np.ndarray, scores: np.ndarray) -> None:
+        if owners:
+            found = _sigmoid(self.network.forward(None, windows, projected=self.facts, pad=0)).astype(np.float64)
+            np.maximum.at(scores, owners, found)
+
+    def all(self, texts: pa.Array) -> np.ndarray:
+        """Scores of a batch, some texts of ``CHARACTERS`` together at a time."""
+        out, some, size = [np.empty(0)], [], 0
+        for text in texts:
+            some.append(text.as_py())
+            size += len(some[-1] or "")
+            if size >= CHARACTERS:
+                out.append(self(some))
+                some, size = [], 0
+        return np.concatenate([*out, self(some)])
 
 
 def _windows():
-    """Up to ``SAMPLE_WINDOWS`` windows of each training row, chosen by hash over the whole text."""
+    """All windows of each training row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row, label, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = words_of(text)
-                starts = sorted(starts_of(len(words)), key=lambda start: zlib.crc32(b"%d" % start))
-                out += [(row, label, " ".join(words[start : start + WIDTH])) for start in starts[:SAMPLE_WINDOWS]]
-            columns = [*zip(*out)] or [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.string()))], names=["id", "label", "words"])
+            for row, label, text in zip(*batch.columns):
+                words = words_of(text.as_py())
+                cut = [" ".join(words[start : start + WIDTH]) for start in starts_of(len(words))]
+                columns = [pa.repeat(row, len(cut)), pa.repeat(label, len(cut)), pa.array(cut, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "label", "words"])
 
     return run
 
@@ -332,39 +357,48 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Network | None:
-    """A network from at most ``SAMPLE`` labelled rows of each label and ``SAMPLE_WINDOWS`` windows of each.
+    """A network from all windows of at most ``SAMPLE`` labelled rows of each label.
 
-    The sample is bounded whatever the table; it takes the rows whose ids hash lowest,
-    from those that are not held out. An id with two labels counts as toxic if one is.
+    The sample takes the documents whose ids hash lowest, from those that are labelled and not held
+    out; labels without a document count for nothing. An id with two labels counts as toxic if one
+    is, one with several texts gives its greatest. On the driver a word of the sample takes about six bytes.
     """
     known = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("label")).filter("label IN (0, 1) AND id IS NOT NULL")
     known = known.filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
+    rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    known = known.join(rows.select("id").distinct(), "id", "left_semi")
     # The lowest hashes of each label; both lists are bounded by SAMPLE.
     parts = [known.filter(F.col("label") == side).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for side in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
-    one_text = rows.groupBy("id").agg(F.max("label").alias("label"), F.max("text").alias("text"))
+    one_text = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("label").alias("label"), F.max("text").alias("text"))
     cut = one_text.select("id", "label", "text").mapInArrow(_windows(), "id long, label int, words string")
     return train((row.id, row.label, row.words.split(" ")) for row in cut.toLocalIterator())
 
 
-def scored(docs: DataFrame, network: Network | None, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 for every row, by the whole text alone.
-
-    A null or wordless text scores ``EMPTY_SCORE``; so does everything if training
-    rows of both labels were not to be had. The network, some hundred kB to a few MB
-    as bounded by the training sample, goes to the workers.
-    """
-    model = workers_know(docs).sparkSession.sparkContext.broadcast(network)
+def _scores(spark: SparkSession, network: Network | None):
+    """Column function from a text to its score. The network, some hundred kB to a few MB as bounded
+    by the training sample, goes to the workers as plain dictionaries and arrays, which need no package there."""
+    parts = network and (network.evidence.words, network.evidence.grams, network.p)
+    model = spark.sparkContext.broadcast(parts)
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        of = Scorer(model.value)
+        of = Scorer(model.value and Network.of(*model.value))
         for batch in batches:
-            parts = [of(batch.slice(at, 500).to_pylist()) for at in range(0, len(batch), 500)]
-            yield pa.array(np.concatenate([np.empty(0), *parts]))
+            yield pa.array(of.all(batch))
+
+    return score
 
-    return docs.withColumn(name, score(F.col(text)))
+
+def scored(docs: DataFrame, network: Network | None, text: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with a score from 0 to 1 for every row, by the whole text alone.
+
+    A null or wordless text scores ``EMPTY_SCORE``; so does everything if training
+    rows of both labels were not to be had. Repeated rows score alike; an empty table gives no row.
+    """
+    if name in docs.columns:
+        raise ValueError(f"there is a column {name} already")
+    return workers_know(docs).withColumn(name, _scores(docs.sparkSession, network)(F.col(f"`{text}`")))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -375,6 +409,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns unchanged."""
-    rows = docs.select(F.col(text).alias("text"), whole_row(docs))
-    return scored(rows, fit(docs, labels, doc_id, text)).filter(F.col("score") < threshold).select("_row.*")
+    """The rows of ``docs`` that score below the threshold, with all their columns unchanged.
+
+    Rows without words stay, and so does all if there is nothing to learn from. Repeated rows stay or go
+    alike; an empty table gives an empty one; columns of any name are kept.
+    """
+    network = fit(docs, labels, doc_id, text)
+    rows = workers_know(docs).select(whole_row(docs))  # holds the text once
+    score = _scores(docs.sparkSession, network)(F.col("_row").getField(text))
+    return rows.withColumn("score", score).filter(F.col("score") < threshold).select("_row.*")
