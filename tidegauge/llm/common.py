@@ -60,21 +60,29 @@ def kept(key, make):
 
 
 class Memory:
-    """What a worker remembers of words: the last ``size`` to twice as many that it met.
+    """What a worker remembers of words: the last ones met, of ``size`` bytes to twice as many.
 
     When the young half is full, it becomes the old one; what is met again moves back.
     """
 
+    #: Bytes of an entry beside those of the word and its value.
+    ENTRY = 200
+
     def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+        self.size, self.held, self.young, self.old = size, 0, {}, {}
+
+    def put(self, words, values) -> None:
+        for word, value in zip(words, values):
+            self.young[word] = value
+            self.held += self.ENTRY + 2 * len(word) + len(value)
 
-    def missing(self, words, age: bool = True) -> list:
+    def missing(self, words) -> list:
         """Those of ``words`` that are not remembered. All others are in ``young`` afterwards."""
-        if age and len(self.young) > self.size:
-            self.young, self.old = {}, self.young
+        if self.held > self.size:
+            self.young, self.old, self.held = {}, self.young, 0
         new = [word for word in words if word not in self.young]
         if self.old:
             found = [word for word in new if word in self.old]
-            self.young.update(zip(found, map(self.old.__getitem__, found)))
+            self.put(found, map(self.old.__getitem__, found))
             new = [word for word in new if word not in self.old]
         return new

@@ -24,8 +24,12 @@ from .common import Memory, kept, workers_know
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-#: Units a worker remembers. Characters indexed at once, at least one unit.
-REMEMBERED, INDEXED = 300_000, 400_000
+#: Bytes of units that a worker remembers. Characters indexed at once, at least one unit; an index takes some 640 bytes each.
+REMEMBERED, INDEXED = 40 << 20, 50_000
+#: Units from this length on are cut between characters that no piece has next to each other.
+LONG_UNIT = 64
+#: Characters of the texts that are encoded together, one text at least.
+CHARACTERS = 1_000_000
 MEMO = 1 << 20
 
 
@@ -64,6 +68,8 @@ class Vocabulary:
         self.pair_keys = np.array([k for k, _ in pairs], dtype=np.int64)
         self.pair_ranks = np.array([r for _, r in pairs], dtype=np.int64)
         self.longest = max(map(len, self.ids))
+        #: Pairs of characters within a piece.
+        self.inner = np.array(sorted({(ord(a) << 21) | ord(b) for piece in self.ids for a, b in zip(piece, piece[1:])}), dtype=np.int64)
 
     def _split(self, piece: str, halves: list[tuple[int, int]]) -> tuple[int, int]:
         if len(halves) == 1:
@@ -263,15 +269,29 @@ class Encoder:
         parts = [[self.v.bytes[b] for b in text[place].encode()] if i == self.v.unknown else [i] for i, place in zip(ids.tolist(), at.tolist())]
         return np.array([x for part in parts for x in part], dtype="<i4").tobytes()
 
+    def units(self, text: str) -> list[str]:
+        """Parts of a text that no piece crosses."""
+        found = UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        if not any(len(unit) >= LONG_UNIT for unit in found):
+            return found
+        return [part for unit in found for part in (self._cut(unit) if len(unit) >= LONG_UNIT else [unit])]
+
+    def _cut(self, unit: str) -> list[str]:
+        points = np.frombuffer(unit.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        pairs, inner = (points[:-1] << 21) | points[1:], self.v.inner
+        joined = inner[np.minimum(np.searchsorted(inner, pairs), len(inner) - 1)] == pairs
+        cuts = [0, *(np.flatnonzero(~joined) + 1).tolist(), len(unit)]
+        return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        cut = [self.units(text) for text in texts]
         new = self.known.missing(set().union(*cut))
         some, size = [], 0
         for i, unit in enumerate(new):
             some.append(unit)
             size += len(unit) + 1
             if size >= INDEXED or i == len(new) - 1:
-                self.known.young.update(zip(some, self._match(some)))
+                self.known.put(some, self._match(some))
                 some, size = [], 0
         return [np.frombuffer(b"".join(map(self.known.young.__getitem__, units)), dtype="<i4") for units in cut]
 
@@ -295,32 +315,57 @@ class Decoder:
         return b"".join(map(self.parts.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+def _groups(batch: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a batch, ``CHARACTERS`` together at a time."""
+    some, size = [], 0
+    for text in batch:
+        some.append(text.as_py())
+        size += len(some[-1] or "")
+        if size >= CHARACTERS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def _lists(ids: list[np.ndarray], missing: list[bool]) -> pa.Array:
+    sizes = np.cumsum([0, *map(len, ids)])
+    flat = np.concatenate([np.empty(0, dtype=np.int32), *ids])
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()), mask=pa.array(missing, pa.bool_()))
+
+
+def _joined(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
+def _new(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs``, unless it has one of the columns that are to be added."""
+    clash = set(names) & set(docs.columns)
+    if clash:
+        raise ValueError(f"there is a column {', '.join(sorted(clash))} already")
+    return workers_know(docs)
+
+
 def encoded(docs: DataFrame, model: str, text: str = "text", name: str = "ids") -> DataFrame:
-    """``docs`` with the ids of its text. Null gives null, an empty text no ids.
+    """``docs`` with the ids of its text. Null gives null, an empty text no ids; ``name`` must be a new column.
 
-    Texts are matched in each task's own batches, so memory is that of a batch and
-    of the units remembered; no shuffle, no broadcast but the path of the model.
+    Texts are matched in each task's own batches, so memory is that of a batch and of the
+    bytes of units remembered; no shuffle, no broadcast but the path of the model. A long text is
+    one step of its batch; repeated rows are encoded alike; an empty table gives no row.
     """
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = kept(("pieces", model), lambda: Encoder(model))
         for batch in batches:
-            parts = []
-            for at in range(0, len(batch), 1000):
-                texts = batch.slice(at, 1000).to_pylist()
-                ids = of([x or "" for x in texts])
-                sizes = np.cumsum([0, *map(len, ids)])
-                flat = np.concatenate([np.empty(0, dtype=np.int32), *ids])
-                missing = pa.array([x is None for x in texts] , pa.bool_())
-                parts.append(pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()), mask=missing))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            parts = [_lists(of([x or "" for x in texts]), [x is None for x in texts]) for texts in _groups(batch)]
+            yield _joined(parts, pa.list_(pa.int32()))
 
-    return workers_know(docs).withColumn(name, encode(F.col(text)))
+    return _new(docs, name).withColumn(name, encode(F.col(f"`{text}`")))
 
 
 def decoded(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``rows`` with the text that the ids stand for. Null gives null."""
+    """``rows`` with the text that the ids stand for. Null gives null; ``name`` must be a new column."""
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -328,4 +373,22 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded"
         for batch in batches:
             yield pa.array([None if not x.is_valid else of(x.values.to_numpy().tolist()) for x in batch], pa.string())
 
-    return workers_know(rows).withColumn(name, decode(F.col(ids)))
+    return _new(rows, name).withColumn(name, decode(F.col(f"`{ids}`")))
+
+
+def round_trips(docs: DataFrame, model: str, text: str = "text", names: tuple[str, str] = ("ids", "decoded")) -> DataFrame:
+    """``docs`` with the ids of its text and the text decoded from them, as :func:`encoded` and :func:`decoded` in one task."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode, decode = kept(("pieces", model), lambda: Encoder(model)), kept(("parts", model), lambda: Decoder(model))
+        for batch in batches:
+            lists, back = [], []
+            for texts in _groups(batch):
+                ids = encode([x or "" for x in texts])
+                lists.append(_lists(ids, [x is None for x in texts]))
+                back.append(pa.array([None if x is None else decode(y.tolist()) for x, y in zip(texts, ids)], pa.string()))
+            yield pa.StructArray.from_arrays([_joined(lists, pa.list_(pa.int32())), _joined(back, pa.string())], ["ids", "decoded"])
+
+    found = _new(docs, *names).select("*", both(F.col(f"`{text}`")).alias("_both"))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_both.ids").alias(names[0]), F.col("_both.decoded").alias(names[1]))

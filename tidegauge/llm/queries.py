@@ -77,7 +77,7 @@ def op9_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = vocabulary("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = pieces.decoded(pieces.encoded(docs, model), model)
+    rows = pieces.round_trips(docs, model)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
