@@ -236,3 +236,39 @@ def test_the_optimizer_leaves_the_fold_whole(spark):
         wanted = plain_advice(prices)
         assert {tuple(row) for row in advised} == {(s, a, wanted.count(a)) for s in "AB" for a in set(wanted)}
         assert averaged.limit(5).count() == 5 and averaged.orderBy(F.desc("seq")).first().ema10 == fold[-1]
+
+
+@pytest.mark.parametrize("zero_unset", [False, True])
+@pytest.mark.parametrize("prices", [[0.3] * 1600, [5.1] * 900 + [7.3] * 700, [0.1 + i // 400 for i in range(1600)], [0.0] * 1600])
+def test_flat_prices_take_three_rounds_at_most(spark, monkeypatch, prices, zero_unset):
+    """Bounds of averages never meet under flat prices; tables of the few doubles between them do instead."""
+    from tidegauge.operators import averages
+
+    rounds = []
+    for name in ("_fold_bounds", "_fold_tables"):
+        plain = getattr(averages, name)
+        monkeypatch.setattr(averages, name, lambda *args, plain=plain: rounds.append(1) or plain(*args))
+    policy = SkewPolicy(hot_rows=100, run_rows=100, max_runs=16)
+    frame = ticks(spark, [("HOT", i, price) for i, price in enumerate(prices)] + [("B", i, 1.0) for i in range(9)])
+    found = running_averages(frame, zero_unset=zero_unset, policy=policy).filter("symbol = 'HOT'")
+    folded = [plain_fold(prices, span, zero_unset=zero_unset) for span in (10, 100)]
+    assert by_seq(found, "ema10", "ema100") == list(zip(*folded))
+    assert len(rounds) <= 3
+
+
+def test_flat_prices_with_adaptive_weights(spark):
+    rows = [("HOT", i * (1 + i % 3), 2.7) for i in range(1200)]
+    policy = SkewPolicy(hot_rows=100, run_rows=100, max_runs=12)
+    cut, whole = (by_seq(adaptive_average(ticks(spark, rows), policy=p), "ema") for p in (policy, SkewPolicy()))
+    assert cut == whole
+
+
+def test_doubles_between():
+    import numpy as np
+
+    from tidegauge.operators.fold import count_between, doubles_between
+
+    for low, high in ((1.0, np.nextafter(1.0, 2)), (-5e-324, 5e-324), (0.0, 0.0), (-1.0, np.nextafter(-1.0, 0)), (0.1, 0.1 + 1e-15)):
+        found = doubles_between(low, high)
+        assert found[0] == low and found[-1] == high and (np.diff(found) >= 0).all() and len(found) == count_between(low, high)
+        assert len(set(found.tolist())) >= len(found) - 1

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
@@ -17,10 +18,13 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 from ..functions.eventtime import emission_stamp
 from ..functions.smoothing import advice, usable
 from ..schemas import TICK_ORDER
-from .fold import Carry, Smoothing, each_row, enclose, last_row, last_row_of_windows, row_inputs
+from .fold import Carry, Smoothing, count_between, doubles_between, each_row, enclose, last_row, last_row_of_windows, row_inputs, tabulate
 from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, may_be_hot, ordered_runs, run_edges, run_table
 from .windows import BLOCK, WINDOW, WindowBlocks
 
+#: Doubles that an average may start a run from, at most, for all of them to be folded.
+MOST_STARTS = 256
+
 
 def running_averages(
     ticks: DataFrame,
@@ -216,9 +220,12 @@ def _carries(
 
     A run inside a hot group does not know the average it starts from, only
     that it lies within the group's limits. All runs are folded from both bounds at once; old prices fade, so
-    after a few thousand rows the two are the same number. A run whose bounds
-    stay apart is folded again from the bounds its predecessor ended with,
-    until all are settled; each round settles at least the next run of a group.
+    after a few thousand rows the two are the same number. Under flat prices they
+    stay apart, but stop a few doubles from each other. The run after is then folded from
+    every double between them, which gives a table of starts and ends; the tables of a
+    group, one after the other, tell all averages from the first. A run whose start is still open is
+    folded again from the bounds its predecessor ended with, until all are settled; each
+    round settles at least the next run of a group.
     """
     before = {now.run: last for last, now in zip(edges, edges[1:]) if last.last_group == now.first_group}
     unfinished = frozenset(edge.run for edge in before.values())
@@ -231,6 +238,7 @@ def _carries(
             starts[edge.run] = ((low,) * smoothing.width, (high,) * smoothing.width)
     settled: dict[int, tuple] = {}
     ends: dict[int, tuple] = {}
+    tables: dict[int, list[dict[float, float]]] = {}
     pending = set(unfinished)
     while pending:
         found = _fold_bounds(runs, pending, starts, before, group, smoothing)
@@ -240,9 +248,18 @@ def _carries(
             ends[run] = (low, high)
             if low == high:
                 settled[run] = low
-        if not pending & settled.keys():
-            raise RuntimeError("a round has settled no run, though prices are finite")
+        progress = len(pending)
+        pending -= settled.keys()
+        few = {run: ends[before[run].run] for run in pending - tables.keys() if _are_few(ends[before[run].run])}
+        if few:
+            tables |= _fold_tables(runs, few, before, group, smoothing)
+        for run in sorted(pending & tables.keys()):  # in the order of their groups
+            start = settled.get(before[run].run)
+            if start is not None:
+                settled[run] = tuple(table[value] for table, value in zip(tables[run], start))
         pending -= settled.keys()
+        if len(pending) == progress:
+            raise RuntimeError("a round has settled no run, though prices are finite")
         for run in pending:
             starts[run] = ends[before[run].run]
 
@@ -269,3 +286,23 @@ def _fold_bounds(runs, pending, starts, before, group, smoothing) -> dict[int, t
         .collect()
     )
     return {row[RUN]: (row["certain"], tuple(row)[2 : 2 + width], tuple(row)[2 + width :]) for row in rows}
+
+
+def _are_few(bounds: tuple[tuple, tuple]) -> bool:
+    """Whether few doubles lie between the bounds of each average."""
+    return all(count_between(low, high) <= MOST_STARTS for low, high in zip(*bounds))
+
+
+def _fold_tables(runs, bounds: dict[int, tuple], before, group, smoothing) -> dict[int, list[dict[float, float]]]:
+    """One job over the runs named: per average a table from each possible start to the end.
+
+    At most ``MOST_STARTS`` doubles come back per run and average.
+    """
+    wanted = F.broadcast(run_table(runs, {run: () for run in bounds}, []))
+    task = tabulate(smoothing, bounds, {run: before[run].last_micros for run in bounds})
+    rows = runs.join(wanted, RUN, "left_semi").select(*row_inputs(smoothing, group, True))
+    tables: dict[int, list[dict[float, float]]] = {run: [{}] * smoothing.width for run in bounds}
+    for row in rows.mapInArrow(task, f"{RUN} long, average int, ends binary").collect():
+        low, high = (side[row["average"]] for side in bounds[row[RUN]])
+        tables[row[RUN]][row["average"]] = dict(zip(doubles_between(low, high).tolist(), np.frombuffer(row["ends"]).tolist()))
+    return tables

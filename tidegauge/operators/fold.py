@@ -368,3 +368,72 @@ def enclose(smoothing: Smoothing, group: Sequence[str], low: dict[int, Carry], h
             yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows)], names=names)
 
     return task
+
+
+def _rank(value: float) -> int:
+    """Place of a double among all doubles in their order; -0.0 comes right before 0.0."""
+    bits = int(np.float64(value).view(np.int64))
+    return bits if bits >= 0 else bits ^ 0x7FFF_FFFF_FFFF_FFFF
+
+
+def count_between(low: float, high: float) -> int:
+    return _rank(high) - _rank(low) + 1
+
+
+def doubles_between(low: float, high: float) -> np.ndarray:
+    """All doubles from ``low`` to ``high``, in order."""
+    ranks = np.arange(_rank(low), _rank(high) + 1, dtype=np.int64)
+    return np.where(ranks >= 0, ranks, ranks ^ 0x7FFF_FFFF_FFFF_FFFF).view(np.float64)
+
+
+def _advance_all(y: np.ndarray, weight: np.ndarray, price: np.ndarray, zero_unset: bool) -> np.ndarray:
+    """Many averages taken through the same prices, each step rounded as in :class:`Fold`.
+
+    Neighbouring steps that are alike are taken until nothing changes, so flat prices take a step or a few.
+    """
+    steps, kept = weight * price, 1 - weight
+    alike = (np.diff(steps) == 0) & (np.diff(kept) == 0) & (np.diff(price) == 0)
+    cuts = np.concatenate([[0], np.flatnonzero(~alike) + 1, [len(price)]])
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+        step, keep, seed = steps[a], kept[a], price[a]
+        for _ in range(b - a):
+            after = step + keep * (np.where(y == 0, seed, y) if zero_unset else y)
+            if (after == y).all():
+                break
+            y = after
+    return y
+
+
+def tabulate(smoothing: Smoothing, bounds: dict[int, tuple[tuple, tuple]], last: dict[int, int]):
+    """Task function: what each average of a run becomes, for every double it may start from.
+
+    ``bounds`` has for runs within one group the lowest and highest start of each average, ``last`` the time of
+    the row before. One row per run and average: its number and the ends, in the order of the starts.
+    """
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[int, list[np.ndarray]] = {}
+        times = dict(last)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            runs = batch.column(RUN).to_numpy(zero_copy_only=False)
+            price = batch.column("close").to_numpy(zero_copy_only=False)
+            micros = None if smoothing.spans else _micros(batch.column("event_time"))
+            cuts = np.append(np.flatnonzero(np.diff(runs, prepend=-1)), len(runs))
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+                run = int(runs[a])
+                if run not in states:
+                    states[run] = [doubles_between(low, high) for low, high in zip(*bounds[run])]
+                if smoothing.spans:
+                    weights = [np.full(b - a, alpha(span)) for span in smoothing.spans]
+                else:
+                    weights = [gap_weight(np.diff(micros[a:b], prepend=times[run]))]
+                    times[run] = int(micros[b - 1])
+                states[run] = [_advance_all(y, w, price[a:b], smoothing.zero_unset) for y, w in zip(states[run], weights)]
+        rows = [(run, i, y.tobytes()) for run, ys in states.items() for i, y in enumerate(ys)]
+        if rows:
+            kinds = (pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[RUN, "average", "ends"])
+
+    return task

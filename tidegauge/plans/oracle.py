@@ -12,8 +12,8 @@ ADVISE = """CASE WHEN (ema10 - ema100) * (b10 - b100) >= 0 THEN 'Stay'
   WHEN ema10 - ema100 > b10 - b100 THEN 'Buy' ELSE 'Sell' END"""
 
 
-def _ticks(key: str) -> str:
-    return f"""t AS (SELECT CAST({key} AS VARCHAR) AS symbol, ts, event_id AS seq, value AS close,
+def _ticks(key: str, price: str = "value") -> str:
+    return f"""t AS (SELECT CAST({key} AS VARCHAR) AS symbol, ts, event_id AS seq, {price} AS close,
   row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) AS rn FROM events)"""
 
 
@@ -21,8 +21,8 @@ def _step(weight: str, price: str, before: str) -> str:
     return f"{weight} * {price} + (1e0 - {weight}) * {before}"
 
 
-def _folded(key: str) -> str:
-    return f"""WITH RECURSIVE {_ticks(key)},
+def _folded(key: str, price: str = "value") -> str:
+    return f"""WITH RECURSIVE {_ticks(key, price)},
 r AS (
   SELECT symbol, ts, seq, rn, close AS b10, close AS b100,
     {_step(A10, 'close', 'close')} AS ema10, {_step(A100, 'close', 'close')} AS ema100
@@ -34,8 +34,8 @@ r AS (
 """
 
 
-def advice(key: str) -> str:
-    return _folded(key) + f'SELECT symbol, ts AS "timestamp", seq, ema10, ema100, {ADVISE} AS advise FROM r'
+def advice(key: str, price: str = "value") -> str:
+    return _folded(key, price) + f'SELECT symbol, ts AS "timestamp", seq, ema10, ema100, {ADVISE} AS advise FROM r'
 
 
 def _averages(key: str, columns: str) -> str:
@@ -161,6 +161,7 @@ FROM (SELECT event_id, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FR
         "ema_advice": advice("user_id"),
         "ema_advice_by_type": advice("event_type"),
         "ema_advice_cut": advice("event_type"),
+        "ema_advice_flat_cut": advice("event_type", "CAST(length(event_type) AS DOUBLE) / 7e0"),
         "ema_advice_zero_unset": _advice_zero_unset(),
         "ema_block_scan": _averages("user_id", "round(ema10, 6) AS ema10, round(ema100, 6) AS ema100"),
         "ema_block_scan_cut": _averages("event_type", "round(ema10, 6) AS ema10, round(ema100, 6) AS ema100"),

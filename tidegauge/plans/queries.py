@@ -160,6 +160,12 @@ def _advice(key: str, **options) -> Query:
     return query
 
 
+def ema_advice_flat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advice where each type has one price throughout, so that bounds of averages never meet."""
+    flat = F.length("symbol").cast("double") / F.lit(7.0)
+    return zone_free(tick_advice(_ticks(spark, sf_dir, "event_type").withColumn("close", flat), policy=CUT_EARLY))
+
+
 def _block_scan(key: str, policy: SkewPolicy = SkewPolicy()) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ticks = _ticks(spark, sf_dir, key)
@@ -243,6 +249,7 @@ def table_queries() -> dict[str, Query]:
         "ema_advice": _advice("user_id"),
         "ema_advice_by_type": _advice("event_type"),
         "ema_advice_cut": _advice("event_type", policy=CUT_EARLY),
+        "ema_advice_flat_cut": ema_advice_flat_cut,
         "ema_advice_zero_unset": _advice("user_id", zero_unset=True),
         "ema_block_scan": _block_scan("user_id"),
         "ema_block_scan_cut": _block_scan("event_type", CUT_EARLY),

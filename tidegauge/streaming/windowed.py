@@ -3,13 +3,92 @@ the functions of ``operators.windows`` work on streams with a watermark."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
-from ..functions.smoothing import fold_window, usable
-from ..operators.windows import event_window
+from ..functions.smoothing import usable
+from ..operators.fold import Fold, Smoothing
+from ..operators.windows import WindowBlocks
+from ..session import use_rocksdb
+from .state_rows import Ticks
+
+TICK = np.dtype([("micros", "<i8"), ("seq", "<i8"), ("close", "<f8")])
+
+
+class PaneWindows(StatefulProcessor):
+    """Averages of sliding windows over panes, the stretches between two window starts.
+
+    State holds each tick once, 24 bytes, in the pane it falls in, however many windows
+    overlap there. A micro-batch adds one entry to each pane it has ticks for and rewrites none.
+    A window has a timer at its end; when the watermark passes it, the window's panes are read, put in
+    order and folded, and the pane that no later window needs is dropped.
+    """
+
+    def __init__(self, smoothing: Smoothing, size: int, slide: int):
+        self.smoothing, self.size, self.slide = smoothing, size, slide
+
+    @property
+    def output(self) -> StructType:
+        longs = [StructField(name, LongType()) for name in ("window_start", "window_end")]
+        return StructType([StructField("symbol", StringType()), *longs, *[StructField(name, DoubleType()) for name in self.smoothing.names]])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pane, number = StructField("pane", LongType()), StructField("number", LongType())
+        self.handle = handle
+        self.entries = handle.getMapState("entries", StructType([pane]), StructType([number]))
+        self.ticks = handle.getMapState("ticks", StructType([pane, number]), StructType([StructField("data", BinaryType())]))
+        self.row = Row(*self.output.names)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        ticks = Ticks(rows)
+        passed = timerValues.getCurrentWatermarkInMs()
+        panes = ticks.micros // self.slide
+        for pane in np.unique(panes).tolist():
+            start = pane * self.slide
+            ends = [end for end in range(start + self.slide, start + self.size + 1, self.slide) if self._due(end) >= passed]
+            if not ends:
+                continue  # late for all of its windows
+            some = panes == pane
+            packed = np.empty(int(some.sum()), TICK)
+            packed["micros"], packed["seq"], packed["close"] = ticks.micros[some], ticks.seqs[some], ticks.close[some]
+            number = self.entries.getValue((pane,))[0] if self.entries.containsKey((pane,)) else 0
+            self.ticks.updateValue((pane, number), (packed.tobytes(),))
+            self.entries.updateValue((pane,), (number + 1,))
+            for end in ends:
+                self.handle.registerTimer(self._due(end))
+        return iter(())
+
+    @staticmethod
+    def _due(end: int) -> int:
+        """The timer of a window, in ms; it fires when the watermark is later."""
+        return -(-end // 1000) - 1
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        end = (expiredTimerInfo.getExpiryTimeInMs() + 1) * 1000 // self.slide * self.slide
+        start = end - self.size
+        parts = []
+        for pane in range(start // self.slide, end // self.slide):
+            if self.entries.containsKey((pane,)):
+                parts += [np.frombuffer(bytes(self.ticks.getValue((pane, n))[0]), TICK) for n in range(self.entries.getValue((pane,))[0])]
+        first = start // self.slide
+        if self.entries.containsKey((first,)):
+            for n in range(self.entries.getValue((first,))[0]):
+                self.ticks.removeKey((first, n))
+            self.entries.removeKey((first,))
+        if parts:
+            ticks = np.concatenate(parts)
+            ticks = ticks[np.lexsort((ticks["seq"], ticks["micros"]))]
+            starts = np.zeros(len(ticks), dtype=bool)
+            starts[0] = True
+            fold = Fold(self.smoothing, ["symbol"])
+            fold.advance(np.ascontiguousarray(ticks["close"]), None, starts, {})
+            yield self.row(key[0], start, end, *fold.states)
 
 
 def stream_window_averages(
@@ -17,17 +96,20 @@ def stream_window_averages(
 ) -> DataFrame:
     """The averages of each closed (symbol, window) of a stream with a watermark.
 
-    Rows may come in any order until the window closes, so its prices are kept
-    until then and folded in the order of event time: state holds the open
-    windows of a symbol and no more.
+    Rows may come in any order until a window closes and are folded in the order of event time; a row
+    late for one window still counts in those open. State is the ticks of the open windows of a
+    symbol, each once. What one task holds in memory is one window of one symbol.
     """
-    priced = ticks.filter(usable(F.col("event_time"), F.col("close")))
-    grouped = priced.groupBy("symbol", event_window(size, slide).alias("_w")).agg(
-        F.collect_list(F.struct("event_time", "seq", "close")).alias("_entries")
+    windows = WindowBlocks.of(size, slide)
+    if windows.size % windows.slide or windows.slide % 1000:
+        raise ValueError("a window must be a whole number of slides, and a slide one of milliseconds")
+    processor = PaneWindows(Smoothing(tuple(spans), seed_step=False), windows.size, windows.slide)
+    use_rocksdb(ticks.sparkSession)
+    # Without the column that has the watermark, Spark leaves late rows to the processor, which judges them by window.
+    plain = ticks.filter(usable(F.col("event_time"), F.col("close"))).select(
+        "symbol", F.unix_micros("event_time").alias("event_time"), "seq", "close"
+    )
+    out = plain.groupBy("symbol").transformWithState(
+        statefulProcessor=processor, outputStructType=processor.output, outputMode="append", timeMode="EventTime"
     )
-    return grouped.select(
-        "symbol",
-        F.col("_w.start").alias("window_start"),
-        F.col("_w.end").alias("window_end"),
-        fold_window(F.col("_entries"), spans).alias("_ema"),
-    ).select("symbol", "window_start", "window_end", "_ema.*")
+    return out.withColumns({name: F.timestamp_micros(name) for name in ("window_start", "window_end")})
