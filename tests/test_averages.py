@@ -239,7 +239,7 @@ def test_the_optimizer_leaves_the_fold_whole(spark):
 
 
 @pytest.mark.parametrize("zero_unset", [False, True])
-@pytest.mark.parametrize("prices", [[0.3] * 1600, [5.1] * 900 + [7.3] * 700, [0.1 + i // 400 for i in range(1600)], [0.0] * 1600])
+@pytest.mark.parametrize("prices", [[0.3] * 24_000, [5.1] * 13_000 + [7.3] * 11_000, [0.1 + i // 6000 for i in range(24_000)], [0.0] * 24_000])
 def test_flat_prices_take_three_rounds_at_most(spark, monkeypatch, prices, zero_unset):
     """Bounds of averages never meet under flat prices; tables of the few doubles between them do instead."""
     from tidegauge.operators import averages
@@ -248,7 +248,7 @@ def test_flat_prices_take_three_rounds_at_most(spark, monkeypatch, prices, zero_
     for name in ("_fold_bounds", "_fold_tables"):
         plain = getattr(averages, name)
         monkeypatch.setattr(averages, name, lambda *args, plain=plain: rounds.append(1) or plain(*args))
-    policy = SkewPolicy(hot_rows=100, run_rows=100, max_runs=16)
+    policy = SkewPolicy(hot_rows=1000, run_rows=3000, max_runs=8)
     frame = ticks(spark, [("HOT", i, price) for i, price in enumerate(prices)] + [("B", i, 1.0) for i in range(9)])
     found = running_averages(frame, zero_unset=zero_unset, policy=policy).filter("symbol = 'HOT'")
     folded = [plain_fold(prices, span, zero_unset=zero_unset) for span in (10, 100)]

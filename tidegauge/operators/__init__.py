@@ -1,7 +1,7 @@
 """Operators on tables of ticks; each returns a DataFrame."""
 
 from .activity import inactive_keys, latest_by_key, latest_per_tick
-from .averages import adaptive_average, running_averages, tick_advice, window_advice, window_averages
+from .averages import adaptive_average, last_averages, running_averages, tick_advice, window_advice, window_averages
 from .blockscan import block_average
 from .skew import SkewPolicy
 from .windows import in_windows, window_average_row, window_count, window_rows, window_sum
@@ -12,6 +12,7 @@ __all__ = [
     "block_average",
     "in_windows",
     "inactive_keys",
+    "last_averages",
     "latest_by_key",
     "latest_per_tick",
     "running_averages",

@@ -18,12 +18,14 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 from ..functions.eventtime import emission_stamp
 from ..functions.smoothing import advice, usable
 from ..schemas import TICK_ORDER
-from .fold import Carry, Smoothing, count_between, doubles_between, each_row, enclose, last_row, last_row_of_windows, row_inputs, tabulate
+from .fold import Carry, Smoothing, count_between, each_row, enclose, last_row, last_row_of_windows, row_inputs, tabulate
 from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, may_be_hot, ordered_runs, run_edges, run_table
 from .windows import BLOCK, WINDOW, WindowBlocks
 
 #: Doubles that an average may start a run from, at most, for all of them to be folded.
-MOST_STARTS = 256
+MOST_STARTS = 512
+#: The lowest start and the end for each double from there on.
+Table = tuple[float, np.ndarray]
 
 
 def running_averages(
@@ -40,6 +42,16 @@ def running_averages(
     return _smooth_rows(ticks, Smoothing(tuple(spans), zero_unset=zero_unset), policy)
 
 
+def last_averages(
+    ticks: DataFrame, spans: Sequence[float] = (10, 100), zero_unset: bool = False, policy: SkewPolicy = SkewPolicy()
+) -> DataFrame:
+    """symbol, event_time and the averages after the last tick of each symbol: what a stream may go on from."""
+    names = [f"ema{span}" for span in spans]
+    rows = running_averages(ticks.select("symbol", "event_time", "seq", "close"), spans, zero_unset, policy)
+    last = F.max(F.struct(*TICK_ORDER, *names)).alias("_last")
+    return rows.groupBy("symbol").agg(last).select("symbol", "_last.event_time", *[f"_last.{name}" for name in names])
+
+
 def adaptive_average(ticks: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     """Each tick with ``ema``, whose weight depends on the time since the last.
 
@@ -238,7 +250,7 @@ def _carries(
             starts[edge.run] = ((low,) * smoothing.width, (high,) * smoothing.width)
     settled: dict[int, tuple] = {}
     ends: dict[int, tuple] = {}
-    tables: dict[int, list[dict[float, float]]] = {}
+    tables: dict[int, list[Table]] = {}
     pending = set(unfinished)
     while pending:
         found = _fold_bounds(runs, pending, starts, before, group, smoothing)
@@ -256,7 +268,8 @@ def _carries(
         for run in sorted(pending & tables.keys()):  # in the order of their groups
             start = settled.get(before[run].run)
             if start is not None:
-                settled[run] = tuple(table[value] for table, value in zip(tables[run], start))
+                settled[run] = tuple(map(_looked_up, tables[run], start))
+                ends[run] = (settled[run], settled[run])
         pending -= settled.keys()
         if len(pending) == progress:
             raise RuntimeError("a round has settled no run, though prices are finite")
@@ -293,7 +306,12 @@ def _are_few(bounds: tuple[tuple, tuple]) -> bool:
     return all(count_between(low, high) <= MOST_STARTS for low, high in zip(*bounds))
 
 
-def _fold_tables(runs, bounds: dict[int, tuple], before, group, smoothing) -> dict[int, list[dict[float, float]]]:
+def _looked_up(table: Table, start: float) -> float:
+    low, ends = table
+    return float(ends[count_between(low, start) - 1])
+
+
+def _fold_tables(runs, bounds: dict[int, tuple], before, group, smoothing) -> dict[int, list[Table]]:
     """One job over the runs named: per average a table from each possible start to the end.
 
     At most ``MOST_STARTS`` doubles come back per run and average.
@@ -301,8 +319,8 @@ def _fold_tables(runs, bounds: dict[int, tuple], before, group, smoothing) -> di
     wanted = F.broadcast(run_table(runs, {run: () for run in bounds}, []))
     task = tabulate(smoothing, bounds, {run: before[run].last_micros for run in bounds})
     rows = runs.join(wanted, RUN, "left_semi").select(*row_inputs(smoothing, group, True))
-    tables: dict[int, list[dict[float, float]]] = {run: [{}] * smoothing.width for run in bounds}
+    tables: dict[int, list[Table]] = {run: [(0.0, np.empty(0))] * smoothing.width for run in bounds}
     for row in rows.mapInArrow(task, f"{RUN} long, average int, ends binary").collect():
-        low, high = (side[row["average"]] for side in bounds[row[RUN]])
-        tables[row[RUN]][row["average"]] = dict(zip(doubles_between(low, high).tolist(), np.frombuffer(row["ends"]).tolist()))
+        i = row["average"]
+        tables[row[RUN]][i] = (bounds[row[RUN]][0][i], np.frombuffer(bytes(row["ends"])))
     return tables

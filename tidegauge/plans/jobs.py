@@ -7,15 +7,16 @@ are left out here; ``rejected`` gives them for a quarantine output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.codec import REJECT, decode_json
 from ..functions.eventtime import event_time
+from ..functions.smoothing import usable
 from ..operators import tick_advice, window_advice, window_sum
 from ..schemas import AGGREGATED_SALE, SALE
-from ..sources.ticks import decode_ticks
+from ..sources.ticks import MALFORMED, decode_ticks
 from ..streaming.lateness import BOUNDED, MONOTONOUS, with_watermark
 from ..streaming.sinks import BatchWriter, fan_out
 from ..streaming.stateful import stream_tick_advice, stream_window_advice
@@ -24,8 +25,8 @@ ADVICE_COLUMNS = ("symbol", "timestamp", "ema10", "ema100", "advise")
 SALE_COLUMNS = tuple(AGGREGATED_SALE.names)
 
 
-def _decoded(values: DataFrame, unit: str) -> DataFrame:
-    return decode_ticks(values, unit, seq=F.col("seq"))
+def _decoded(values: DataFrame, unit: str, kept: tuple[str, ...] = ()) -> DataFrame:
+    return decode_ticks(values, unit, seq=F.col("seq"), kept=kept)
 
 
 def readable_ticks(values: DataFrame, unit: str = "ms") -> DataFrame:
@@ -59,15 +60,53 @@ def window_job(
     return window_advice(ticks, size, slide, stamp=stamp)
 
 
+REASON = "reason"
+
+
+def _blank(value: Column) -> Column:
+    """No text at all, which the JSON reader takes for a record without fields."""
+    return value.isNull() | (F.trim(value) == "")
+
+
+def judged_ticks(values: DataFrame, unit: str = "ms") -> DataFrame:
+    """Every record, decoded once: the columns of a tick, its text ``value``, and ``reason``, null for a tick.
+
+    Reasons: ``unreadable`` (no JSON object, or a field of another type), ``no_symbol``, ``no_time``, ``no_price``.
+    """
+    rows = _decoded(values, unit, kept=("value",))
+    reason = (
+        F.when(_blank(F.col("value")) | F.col(MALFORMED), "unreadable")
+        .when(F.col("symbol").isNull(), "no_symbol")
+        .when(F.col("event_time").isNull(), "no_time")
+        .when(~usable(F.col("event_time"), F.col("close")), "no_price")
+        .when(F.col(REJECT).isNotNull(), "unreadable")
+    )
+    return rows.withColumn(REASON, reason).drop(REJECT, MALFORMED)
+
+
+def judged_sales(values: DataFrame) -> DataFrame:
+    """Every record, decoded once: seller_id, amount_usd, event_time, its text ``value``, and ``reason``, null for a sale.
+
+    Reasons: ``unreadable``, ``no_seller``, ``no_time``, ``no_amount``.
+    """
+    rows = values.select("value", decode_json(F.col("value"), SALE).alias("sale"))
+    rows = rows.select("value", "sale.*", event_time(F.col("sale.sale_ts")).alias("event_time"))
+    reason = (
+        F.when(_blank(F.col("value")) | F.col(REJECT).isNotNull(), "unreadable")
+        .when(F.col("seller_id").isNull(), "no_seller")
+        .when(F.col("event_time").isNull(), "no_time")
+        .when(F.col("amount_usd").isNull(), "no_amount")
+    )
+    return rows.select("seller_id", "amount_usd", "event_time", "value", reason.alias(REASON))
+
+
 def sales_rows(values: DataFrame) -> DataFrame:
-    sale = values.select(decode_json(F.col("value"), SALE).alias("sale")).filter(F.col(f"sale.{REJECT}").isNull())
-    return sale.select("sale.seller_id", "sale.amount_usd", event_time(F.col("sale.sale_ts")).alias("event_time"))
+    return judged_sales(values).filter(F.col(REASON).isNull()).select("seller_id", "amount_usd", "event_time")
 
 
 def rejected_sales(values: DataFrame) -> DataFrame:
-    """Records that are no sale, as text."""
-    sale = values.select("value", decode_json(F.col("value"), SALE).alias("sale"))
-    return sale.filter(F.col("sale").isNull() | F.col(f"sale.{REJECT}").isNotNull()).select("value")
+    """Records that are no sale or lack a seller, a time or an amount, as text."""
+    return judged_sales(values).filter(F.col(REASON).isNotNull()).select("value")
 
 
 def sales_job(values: DataFrame, size: str = "60 seconds", delay: str = MONOTONOUS) -> DataFrame:

@@ -208,6 +208,13 @@ def _as_record(query: str) -> str:
     return f"""SELECT symbol, epoch_us("timestamp") // 1000 AS "timestamp", ema10, ema100, advise FROM ({query})"""
 
 
+REJECTS = """SELECT kind, CASE event_id % 7 WHEN 0 THEN 'unreadable' WHEN 2 THEN 'no_time'
+  WHEN 1 THEN CASE kind WHEN 'tick' THEN 'no_symbol' ELSE 'no_seller' END
+  WHEN 4 THEN CASE kind WHEN 'tick' THEN 'no_symbol' ELSE 'no_seller' END
+  WHEN 3 THEN CASE kind WHEN 'tick' THEN 'no_price' ELSE 'no_amount' END ELSE 'kept' END AS reason, count(*) AS n
+FROM events, (VALUES ('tick'), ('sale')) AS k(kind) GROUP BY ALL"""
+
+
 def stream_oracles() -> dict[str, str]:
     return {
         "stream_tick_advice": advice("user_id"),
@@ -215,6 +222,7 @@ def stream_oracles() -> dict[str, str]:
         "stream_adaptive": adaptive("user_id"),
         "stream_latest_per_tick": table_oracles()["latest_per_tick"],
         "stream_window_averages": window_averages("event_type", 86400, 43200, closed(2)),
+        "stream_pane_windows": window_averages("event_type", 86400, 3600, closed(2)),
         "stream_window_advice": window_advice("event_type", 86400, 43200, closed(2)),
         "stream_window_sum": window_sum(closed(2)),
         "stream_window_count": window_count("event_type", 30, where=closed(2)),
@@ -224,6 +232,11 @@ def stream_oracles() -> dict[str, str]:
         "stream_restart_windows": window_advice("event_type", 86400, 43200, closed(2)),
         "stream_restart_inactivity": _silent_stream(10, 2),
         "stream_late_windows": window_count("event_type", 30, where=f"{closed(2)} AND ts >= {HALF}"),
+        "stream_state": _folded("user_id")
+        + """SELECT symbol, max(ts) AS event_time, arg_max(ema10, rn) AS ema10, arg_max(ema100, rn) AS ema100 FROM r GROUP BY symbol""",
+        "stream_from_history": f"""SELECT * FROM ({advice("event_type")}) WHERE "timestamp" >= {HALF}""",
+        "stream_rejects": REJECTS,
+        "stream_fan_out": f"""SELECT c.*, target FROM ({window_count("event_type", 30, where=closed(2))}) AS c, (VALUES ('first'), ('second')) AS t(target)""",
         "job_ticks": _as_record(advice("user_id")),
         "job_windows": _as_record(window_advice("user_id", 86400, 43200, closed(2))),
         "job_sales": window_sum(closed(0)),

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codec import decode_json
-from ..operators import window_average_row, window_count, window_sum
+from ..functions.codec import decode_json, encode_json
+from ..operators import last_averages, window_average_row, window_count, window_sum
 from ..schemas import AGGREGATED_SALE
 from ..session import fresh_folder, prepare
 from ..sources.ticks import GIGABYTE, stream_events, table_events, ticks_from_events
 from ..streaming import (
+    averages_in_state,
     stream_adaptive_average,
     stream_inactive_keys,
     stream_latest_per_tick,
@@ -27,7 +28,8 @@ from ..streaming import (
     with_watermark,
     write_files,
 )
-from .jobs import ADVICE_COLUMNS, SALE_COLUMNS, sales_job, tick_job, window_job
+from ..streaming.sinks import fan_out_once, folder_batch, split_by
+from .jobs import ADVICE_COLUMNS, REASON, SALE_COLUMNS, judged_sales, judged_ticks, sales_job, tick_job, window_job
 from .queries import Query, sale_json, sales, tick_json, zone_free
 
 
@@ -56,14 +58,15 @@ def halves(events: DataFrame) -> list[DataFrame]:
     return [events.filter(early), events.filter(~early)]
 
 
-def restarted(build: Callable[[DataFrame], DataFrame], parts: list[DataFrame], name: str) -> DataFrame:
+def restarted(build: Callable[[DataFrame], DataFrame], parts: list[DataFrame], name: str, checkpoint: str | None = None) -> DataFrame:
     """What a stream has written that is started once per part, each time from its checkpoint.
 
     A part is added to the stream's folder when all before it are read, so state, windows and
     the watermark of one start are needed by the next.
     """
     spark = parts[0].sparkSession
-    folder, path, checkpoint = (fresh_folder(spark, f"{name}{end}") for end in ("-source", "", "-checkpoint"))
+    folder, path = fresh_folder(spark, f"{name}-source"), fresh_folder(spark, name)
+    checkpoint = checkpoint or fresh_folder(spark, f"{name}-checkpoint")
     for part in parts:
         part.write.mode("append").parquet(folder)
         source = spark.readStream.schema(part.schema).option("maxBytesPerTrigger", GIGABYTE).parquet(folder)
@@ -87,6 +90,82 @@ def stream_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_free(restarted(count, parts, "late-windows"))
 
 
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The averages in the state store of a stream that was started twice."""
+    parts = halves(table_events(prepare(spark), sf_dir))
+    session = parts[0].sparkSession
+    checkpoint = fresh_folder(session, "state-checkpoint")
+    restarted(lambda events: stream_tick_advice(ticks_from_events(events)), parts, "state", checkpoint)
+    return zone_free(averages_in_state(session, checkpoint))
+
+
+def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advice for the later half of the events, by a stream that goes on from the averages of the earlier half, a table."""
+    early, late = halves(table_events(prepare(spark), sf_dir))
+    history = last_averages(ticks_from_events(early, "event_type"))
+    return zone_free(restarted(lambda events: stream_tick_advice(ticks_from_events(events, "event_type"), history=history), [late], "from-history"))
+
+
+def _damaged(whole: Column, broken: dict[int, Column]) -> Column:
+    """Records of which some kinds are broken, told by their number."""
+    for rest, text in broken.items():
+        whole = F.when(F.col("seq") % 7 == rest, text).otherwise(whole)
+    return whole
+
+
+def _mixed_ticks(events: DataFrame) -> DataFrame:
+    fields = {"Symbol": F.col("user_id").cast("string"), "Time": F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), "Close": F.col("value")}
+    text = lambda **other: encode_json(*[other.get(n, c).alias(n) for n, c in fields.items()])
+    none = F.lit(None).cast("string")
+    broken = {0: F.concat(F.lit("tick "), F.col("seq").cast("string")), 1: text(Symbol=none), 2: text(Time=F.lit("soon")), 3: text(Close=none), 4: F.lit('{"foo": 1}')}
+    return events.withColumn("seq", F.col("event_id")).select(_damaged(text(), broken).alias("value"), "seq")
+
+
+def _mixed_sales(events: DataFrame) -> DataFrame:
+    rows = events.withColumn("seq", F.col("event_id"))
+    fields = {"seller_id": F.col("user_id").cast("string"), "amount_usd": F.col("event_id").cast("int"), "sale_ts": F.unix_millis(F.col("ts").cast("timestamp"))}
+    text = lambda **other: encode_json(*[other.get(n, c).alias(n) for n, c in fields.items()])
+    none = F.lit(None).cast("string")
+    broken = {0: F.lit("{"), 1: text(seller_id=none), 2: text(sale_ts=none), 3: text(amount_usd=none), 4: F.lit('{"foo": 1}')}
+    return rows.select(_damaged(text(), broken).alias("value"), "seq")
+
+
+def quarantined(judged: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """What a stream of judged records has written once it has read all there is: good ones, and others with their reason."""
+    spark = judged.sparkSession
+    folders, frames = [fresh_folder(spark, f"{name}-{side}") for side in ("good", "bad")], [judged.drop(REASON), judged]
+    for path, frame in zip(folders, frames):  # read even if no micro-batch comes
+        folder_batch(path)(spark.createDataFrame([], frame.schema), -1)
+    writer = judged.writeStream.option("checkpointLocation", fresh_folder(spark, f"{name}-checkpoint")).trigger(availableNow=True)
+    writer.foreachBatch(split_by(REASON, *map(folder_batch, folders))).start().awaitTermination()
+    return tuple(spark.read.schema(frame.schema).parquet(path) for path, frame in zip(folders, frames))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records kept and rejected, by reason, of topics in which some are broken; each is decoded once."""
+    spark, counts = prepare(spark), None
+    for kind, text, judge in (("tick", _mixed_ticks, judged_ticks), ("sale", _mixed_sales, judged_sales)):
+        good, bad = quarantined(judge(_records(spark, sf_dir, text)), f"rejects-{kind}")
+        rows = good.select(F.lit("kept").alias("reason")).unionByName(bad.select("reason"))
+        rows = rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "reason", "n")
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per window in two folders at once, with a ledger of what each has been given."""
+    spark = prepare(spark)
+    counts = window_count(with_watermark(ticks_from_events(stream_events(spark, sf_dir), "event_type")))
+    folders = {name: fresh_folder(spark, f"fan-out-{name}") for name in ("first", "second")}
+    for path in folders.values():
+        folder_batch(path)(spark.createDataFrame([], counts.schema), -1)
+    ledger, checkpoint = fresh_folder(spark, "fan-out-ledger"), fresh_folder(spark, "fan-out-checkpoint")
+    writer = counts.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer.foreachBatch(fan_out_once(ledger, **{name: folder_batch(path) for name, path in folders.items()})).start().awaitTermination()
+    read = lambda name: spark.read.schema(counts.schema).parquet(folders[name]).withColumn("target", F.lit(name))
+    return zone_free(read("first").unionByName(read("second")))
+
+
 def _average_rows(ticks: DataFrame) -> DataFrame:
     readings = with_watermark(ticks).withColumnRenamed("close", "temperature")
     means = window_average_row(readings, "symbol", "temperature", "1 day")
@@ -149,6 +228,9 @@ def stream_queries() -> dict[str, Query]:
         "stream_window_averages": _stream(
             lambda t: stream_window_averages(with_watermark(t), *by_day), "event_type", "window-averages"
         ),
+        "stream_pane_windows": _stream(
+            lambda t: stream_window_averages(with_watermark(t), "1 day", "1 hour"), "event_type", "pane-windows"
+        ),
         "stream_window_advice": _stream(
             lambda t: stream_window_advice(with_watermark(t), *by_day), "event_type", "window-advice"
         ),
@@ -168,6 +250,10 @@ def stream_queries() -> dict[str, Query]:
             lambda t: stream_inactive_keys(with_watermark(t)), "user_id", "restart-inactivity"
         ),
         "stream_late_windows": stream_late_windows,
+        "stream_state": stream_state,
+        "stream_from_history": stream_from_history,
+        "stream_rejects": stream_rejects,
+        "stream_fan_out": stream_fan_out,
         "job_ticks": job_ticks,
         "job_windows": job_windows,
         "job_sales": job_sales,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
@@ -11,6 +13,8 @@ from ..functions.eventtime import event_time
 from ..functions.smoothing import to_number, usable
 from ..schemas import TICK_CAPITALISED, TICK_LOWER
 
+#: Marks records that are no JSON object of the declared types.
+MALFORMED = "_malformed"
 GIGABYTE = 1 << 30
 
 EVENT_TABLE = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -46,13 +50,14 @@ def _as_text(schema: StructType) -> StructType:
     return StructType([StructField(f.name, kind(f)) for f in schema.fields])
 
 
-def decode_ticks(df: DataFrame, unit: str = "ms", value: str = "value", seq: Column | None = None) -> DataFrame:
+def decode_ticks(df: DataFrame, unit: str = "ms", value: str = "value", seq: Column | None = None, kept: Sequence[str] = ()) -> DataFrame:
     """JSON text in either case of field names as canonical ticks.
 
     Adds ``_unreadable``: the text of a record that is no JSON object or lacks a
     symbol, a readable time or a finite price, else null. Numbers may be
     quoted. The lower-case layout is only parsed where the
-    capitalised one found no symbol.
+    capitalised one found no symbol. With ``kept``, these columns stay and ``_malformed`` tells
+    whether the text as a whole could not be read.
     """
     upper = decode_json(F.col(value), _as_text(TICK_CAPITALISED))
     parsed = df.select("*", upper.alias("_upper"))
@@ -70,6 +75,7 @@ def decode_ticks(df: DataFrame, unit: str = "ms", value: str = "value", seq: Col
         (F.col("_upper.Id") if seq is None else seq).cast("bigint").alias("seq"),
         *[to_number(field(name)).alias(name) for name in ("close", "high", "interest", "low", "open", "volume")],
         F.when(~whole, F.col(value)).otherwise(F.coalesce(F.col(f"_upper.{REJECT}"), F.col(f"_lower.{REJECT}"))).alias(REJECT),
+        *([F.coalesce(F.col(f"_upper.{REJECT}").isNotNull(), F.lit(True)).alias(MALFORMED), *kept] if kept else []),
     )
 
 

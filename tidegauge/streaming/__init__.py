@@ -13,6 +13,7 @@ from .sinks import (
     write_kafka,
 )
 from .stateful import (
+    averages_in_state,
     stream_adaptive_average,
     stream_inactive_keys,
     stream_latest_per_tick,
@@ -26,6 +27,7 @@ __all__ = [
     "MONOTONOUS",
     "RELAXED",
     "JdbcTarget",
+    "averages_in_state",
     "changelog",
     "fan_out",
     "kafka_writer_options",

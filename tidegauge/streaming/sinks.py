@@ -140,6 +140,66 @@ def fan_out(*writers: BatchWriter) -> BatchWriter:
     return write
 
 
+class Ledger:
+    """Which target has been given which micro-batch: an empty file each, in a folder that outlives the query."""
+
+    def __init__(self, folder: str):
+        self.folder = folder.rstrip("/")
+
+    def _file(self, df: DataFrame, target: str, batch: int):
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{target}/{batch}")
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+    def has(self, df: DataFrame, target: str, batch: int) -> bool:
+        files, path = self._file(df, target, batch)
+        return files.exists(path)
+
+    def add(self, df: DataFrame, target: str, batch: int) -> None:
+        files, path = self._file(df, target, batch)
+        files.create(path, True).close()
+
+
+def fan_out_once(ledger: str, **targets: BatchWriter) -> BatchWriter:
+    """As :func:`fan_out` to named targets, by a ledger: a micro-batch that is run again goes to those that lack it.
+
+    A failure between a write and its entry repeats that one write; :func:`folder_batch` then replaces its own output.
+    """
+    entries = Ledger(ledger)
+
+    def write(df: DataFrame, batch: int) -> None:
+        missing = [name for name in targets if not entries.has(df, name, batch)]
+
+        def noted(name: str) -> BatchWriter:
+            def once(rows: DataFrame, number: int) -> None:
+                targets[name](rows, number)
+                entries.add(rows, name, number)
+
+            return once
+
+        if missing:
+            fan_out(*map(noted, missing))(df, batch)
+
+    return write
+
+
+def split_by(reason: str, good: BatchWriter, bad: BatchWriter) -> BatchWriter:
+    """A batch writer for judged records: those without a reason go to ``good``, the others to ``bad``, from one decode."""
+    return fan_out(
+        lambda df, batch: good(df.filter(F.col(reason).isNull()).drop(reason), batch),
+        lambda df, batch: bad(df.filter(F.col(reason).isNotNull()), batch),
+    )
+
+
+def folder_batch(path: str, format: str = "parquet") -> BatchWriter:
+    """A batch writer that keeps each micro-batch in a folder of its own, so that a repeated one replaces itself."""
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").format(format).save(f"{path.rstrip('/')}/batch={batch}")
+
+    return write
+
+
 def kafka_batch(brokers: str = DEFAULT_BROKERS, topic: str = "ema", **encoding) -> BatchWriter:
     """A batch writer that appends rows to a topic as JSON."""
 

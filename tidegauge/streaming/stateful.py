@@ -13,11 +13,11 @@ processing-time trigger, not with ``availableNow``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -52,10 +52,14 @@ def _timed(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.timestamp_micros(name) for name in names})
 
 
-def _with_state(df: DataFrame, processor: StatefulProcessor, time_mode: str = "None") -> DataFrame:
+def _with_state(df: DataFrame, processor: StatefulProcessor, time_mode: str = "None", initial: DataFrame | None = None) -> DataFrame:
     use_rocksdb(df.sparkSession)
     return df.groupBy("symbol").transformWithState(
-        statefulProcessor=processor, outputStructType=processor.output, outputMode="append", timeMode=time_mode
+        statefulProcessor=processor,
+        outputStructType=processor.output,
+        outputMode="append",
+        timeMode=time_mode,
+        initialState=None if initial is None else initial.groupBy("symbol"),
     )
 
 
@@ -76,6 +80,10 @@ class TickAverages(StatefulProcessor):
         self.last = handle.getValueState("last", state, self.ttl_ms)
         self.row = Row(*self.output.names)
 
+    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+        """A row of :func:`operators.last_averages`, with its time in microseconds."""
+        self.last.update((initialState.micros, *(initialState[name] for name in self.smoothing.names)))
+
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         ticks = Ticks(rows)
         last = self.last.get()
@@ -181,9 +189,23 @@ class Silence(StatefulProcessor):
             yield self._silent(key, first, last, seq, ema)
 
 
-def _averaged(ticks: DataFrame, smoothing: Smoothing, ttl_ms: int | None) -> DataFrame:
-    out = _with_state(_plain(ticks), TickAverages(smoothing, ttl_ms), "ProcessingTime" if ttl_ms else "None")
-    return _timed(out, "event_time")
+def _averaged(ticks: DataFrame, smoothing: Smoothing, ttl_ms: int | None, history: DataFrame | None = None) -> DataFrame:
+    initial = None
+    if history is not None:
+        initial = history.select("symbol", F.unix_micros("event_time").alias("micros"), *smoothing.names)
+    mode = "ProcessingTime" if ttl_ms else "None"
+    return _timed(_with_state(_plain(ticks), TickAverages(smoothing, ttl_ms), mode, initial), "event_time")
+
+
+def averages_in_state(spark: SparkSession, checkpoint: str, spans: Sequence[float] = (10, 100)) -> DataFrame:
+    """symbol, event_time and the last averages that a stopped :func:`stream_tick_advice` will go on from.
+
+    Read from the state store in its checkpoint, as of the last micro-batch; a row per symbol.
+    """
+    use_rocksdb(spark)
+    rows = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint)
+    names = Smoothing(tuple(spans)).names
+    return _timed(rows.select("key.symbol", F.col("value.micros").alias("event_time"), *[f"value.{name}" for name in names]), "event_time")
 
 
 def stream_tick_advice(
@@ -193,12 +215,15 @@ def stream_tick_advice(
     eps: float = 0.0,
     stamp: str = "event",
     ttl_ms: int | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """``operators.tick_advice`` on a stream without a watermark.
 
-    With ``ttl_ms`` a symbol without ticks for that long starts again.
+    With ``ttl_ms`` a symbol without ticks for that long starts again. ``history``, as
+    ``operators.last_averages`` gives it, is what symbols go on from when the query first starts; a
+    restart has its checkpoint.
     """
-    out = _averaged(ticks, Smoothing(tuple(spans), zero_unset=zero_unset), ttl_ms)
+    out = _averaged(ticks, Smoothing(tuple(spans), zero_unset=zero_unset), ttl_ms, history)
     fast, slow = (F.col(f"ema{span}") for span in spans)
     fast_before, slow_before = (F.col(f"ema{span}_before") for span in spans)
     if zero_unset:

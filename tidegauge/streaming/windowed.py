@@ -4,6 +4,7 @@ the functions of ``operators.windows`` work on streams with a watermark."""
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from math import gcd
 from typing import Any
 
 import numpy as np
@@ -19,19 +20,26 @@ from ..session import use_rocksdb
 from .state_rows import Ticks
 
 TICK = np.dtype([("micros", "<i8"), ("seq", "<i8"), ("close", "<f8")])
+#: Bytes of panes that a task keeps at hand while windows that share them close.
+CACHED = 64 << 20
 
 
 class PaneWindows(StatefulProcessor):
     """Averages of sliding windows over panes, the stretches between two window starts.
 
     State holds each tick once, 24 bytes, in the pane it falls in, however many windows
-    overlap there. A micro-batch adds one entry to each pane it has ticks for and rewrites none.
+    overlap there; a pane is as wide as the greatest stretch that divides size and slide. A micro-batch adds one entry to each pane it has ticks for and rewrites none.
     A window has a timer at its end; when the watermark passes it, the window's panes are read, put in
     order and folded, and the pane that no later window needs is dropped.
     """
 
     def __init__(self, smoothing: Smoothing, size: int, slide: int):
-        self.smoothing, self.size, self.slide = smoothing, size, slide
+        self.smoothing, self.size, self.slide, self.pane = smoothing, size, slide, gcd(size, slide)
+
+    def _ends(self, pane: int) -> list[int]:
+        """Ends of the windows that hold a pane."""
+        last = pane * self.pane // self.slide * self.slide
+        return [start + self.size for start in range(last, (pane + 1) * self.pane - self.size - 1, -self.slide)]
 
     @property
     def output(self) -> StructType:
@@ -44,14 +52,32 @@ class PaneWindows(StatefulProcessor):
         self.entries = handle.getMapState("entries", StructType([pane]), StructType([number]))
         self.ticks = handle.getMapState("ticks", StructType([pane, number]), StructType([StructField("data", BinaryType())]))
         self.row = Row(*self.output.names)
+        self.cache: dict[tuple, np.ndarray] = {}
+        self.cached = 0
+
+    def _read(self, key: Any, pane: int) -> np.ndarray:
+        if (key[0], pane) not in self.cache:
+            numbers = range(self.entries.getValue((pane,))[0]) if self.entries.containsKey((pane,)) else ()
+            parts = [np.frombuffer(bytes(self.ticks.getValue((pane, n))[0]), TICK) for n in numbers]
+            if self.cached > CACHED:
+                self.cache, self.cached = {}, 0
+            self.cache[key[0], pane] = np.concatenate([np.empty(0, TICK), *parts])
+            self.cached += self.cache[key[0], pane].nbytes + 200
+        return self.cache[key[0], pane]
+
+    def _drop(self, key: Any, pane: int) -> None:
+        self.cache.pop((key[0], pane), None)
+        if self.entries.containsKey((pane,)):
+            for n in range(self.entries.getValue((pane,))[0]):
+                self.ticks.removeKey((pane, n))
+            self.entries.removeKey((pane,))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         ticks = Ticks(rows)
         passed = timerValues.getCurrentWatermarkInMs()
-        panes = ticks.micros // self.slide
+        panes, timers = ticks.micros // self.pane, set()
         for pane in np.unique(panes).tolist():
-            start = pane * self.slide
-            ends = [end for end in range(start + self.slide, start + self.size + 1, self.slide) if self._due(end) >= passed]
+            ends = [end for end in self._ends(pane) if self._due(end) >= passed]
             if not ends:
                 continue  # late for all of its windows
             some = panes == pane
@@ -60,29 +86,26 @@ class PaneWindows(StatefulProcessor):
             number = self.entries.getValue((pane,))[0] if self.entries.containsKey((pane,)) else 0
             self.ticks.updateValue((pane, number), (packed.tobytes(),))
             self.entries.updateValue((pane,), (number + 1,))
-            for end in ends:
-                self.handle.registerTimer(self._due(end))
+            self.cache.pop((key[0], pane), None)
+            timers.update(map(self._due, ends))
+        for due in timers:
+            self.handle.registerTimer(due)
         return iter(())
 
     @staticmethod
     def _due(end: int) -> int:
         """The timer of a window, in ms; it fires when the watermark is later."""
-        return -(-end // 1000) - 1
+        return end // 1000 - 1
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        end = (expiredTimerInfo.getExpiryTimeInMs() + 1) * 1000 // self.slide * self.slide
+        end = (expiredTimerInfo.getExpiryTimeInMs() + 1) * 1000
         start = end - self.size
-        parts = []
-        for pane in range(start // self.slide, end // self.slide):
-            if self.entries.containsKey((pane,)):
-                parts += [np.frombuffer(bytes(self.ticks.getValue((pane, n))[0]), TICK) for n in range(self.entries.getValue((pane,))[0])]
-        first = start // self.slide
-        if self.entries.containsKey((first,)):
-            for n in range(self.entries.getValue((first,))[0]):
-                self.ticks.removeKey((first, n))
-            self.entries.removeKey((first,))
-        if parts:
-            ticks = np.concatenate(parts)
+        parts = [self._read(key, pane) for pane in range(start // self.pane, end // self.pane)]
+        for pane in range(start // self.pane, -(-(start + self.slide) // self.pane)):
+            if pane * self.pane < end:
+                self._drop(key, pane)  # this was its last window
+        ticks = np.concatenate(parts)
+        if len(ticks):
             ticks = ticks[np.lexsort((ticks["seq"], ticks["micros"]))]
             starts = np.zeros(len(ticks), dtype=bool)
             starts[0] = True
@@ -101,8 +124,8 @@ def stream_window_averages(
     symbol, each once. What one task holds in memory is one window of one symbol.
     """
     windows = WindowBlocks.of(size, slide)
-    if windows.size % windows.slide or windows.slide % 1000:
-        raise ValueError("a window must be a whole number of slides, and a slide one of milliseconds")
+    if windows.size % 1000 or windows.slide % 1000:
+        raise ValueError("windows begin and end at whole milliseconds")
     processor = PaneWindows(Smoothing(tuple(spans), seed_step=False), windows.size, windows.slide)
     use_rocksdb(ticks.sparkSession)
     # Without the column that has the watermark, Spark leaves late rows to the processor, which judges them by window.
