@@ -25,7 +25,7 @@ from .common import Memory, kept, workers_know
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Bytes of units that a worker remembers. Characters indexed at once, at least one unit; an index takes some 640 bytes each.
-REMEMBERED, INDEXED = 40 << 20, 50_000
+REMEMBERED, INDEXED = 80 << 20, 100_000
 #: Units from this length on are cut between characters that no piece has next to each other.
 LONG_UNIT = 64
 #: Characters of the texts that are encoded together, one text at least.
