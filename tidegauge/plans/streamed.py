@@ -138,7 +138,7 @@ def quarantined(judged: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         folder_batch(path)(spark.createDataFrame([], frame.schema), -1)
     writer = judged.writeStream.option("checkpointLocation", fresh_folder(spark, f"{name}-checkpoint")).trigger(availableNow=True)
     writer.foreachBatch(split_by(REASON, *map(folder_batch, folders))).start().awaitTermination()
-    return tuple(spark.read.schema(frame.schema).parquet(path) for path, frame in zip(folders, frames))
+    return tuple(spark.read.schema(frame.schema).parquet(path).drop("batch") for path, frame in zip(folders, frames))
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +162,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger, checkpoint = fresh_folder(spark, "fan-out-ledger"), fresh_folder(spark, "fan-out-checkpoint")
     writer = counts.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     writer.foreachBatch(fan_out_once(ledger, **{name: folder_batch(path) for name, path in folders.items()})).start().awaitTermination()
-    read = lambda name: spark.read.schema(counts.schema).parquet(folders[name]).withColumn("target", F.lit(name))
+    read = lambda name: spark.read.schema(counts.schema).parquet(folders[name]).drop("batch").withColumn("target", F.lit(name))
     return zone_free(read("first").unionByName(read("second")))
 
 
