@@ -35,17 +35,18 @@ class Encoder:
 
     They are those of the tokenizer in the file ``path``, a byte-level vocabulary whose ids
     are the ranks of its merges. Its merging is done by ``tiktoken``, which takes less
-    than half the time. Strings that look like special tokens are ordinary text.
+    than half the time. Text is split at the file's added tokens first, which get their ids;
+    with ``escape`` they are ordinary text, so that a document cannot write a control token.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, escape: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        special = {token.content for token in tokenizer.get_added_tokens_decoder().values()}
-        ranks = {bytes(map(BYTE_OF.__getitem__, name)): i for name, i in tokenizer.get_vocab().items() if name not in special}
-        self.encoding = tiktoken.Encoding("from file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        added = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
+        ranks = {bytes(map(BYTE_OF.__getitem__, name)): i for name, i in tokenizer.get_vocab().items() if name not in added}
+        self.encoding = tiktoken.Encoding("from file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={} if escape else added)
 
     def __call__(self, text: str) -> bytes:
         if len(text) < LONG_RUN:
@@ -60,10 +61,10 @@ class Encoder:
         return b"".join([*out, self._plain(text[at:])])
 
     def _plain(self, text: str) -> bytes:
-        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
-def tokenised(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def tokenised(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", escape: bool = False) -> DataFrame:
     """One row per document with its ids, the end id included, written to the shared folder.
 
     ``within`` counts the tokens of the same task before the document. A task
@@ -71,7 +72,7 @@ def tokenised(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = kept(("ids", vocabulary), lambda: Encoder(vocabulary))
+        encode = kept(("ids", vocabulary, escape), lambda: Encoder(vocabulary, escape))
         part, within = TaskContext.get().partitionId(), 0
         end = END_ID.to_bytes(ID_BYTES, "little")
         for batch in batches:
@@ -90,16 +91,17 @@ def tokenised(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: st
     return settle(rows.mapInArrow(run, TOKENS), "tokens")
 
 
-def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", escape: bool = False) -> DataFrame:
     """The pieces of all documents: doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every sequence but the last is full. A null text counts as empty and gives
     the end id alone; equal rows are packed as often as they occur; an empty
     table gives no row; other columns are ignored. Pieces of a sequence follow
     each other without a gap. The list of tasks is the one thing broadcast: a
-    number per task of pass 1, whatever the documents.
+    number per task of pass 1, whatever the documents. Added tokens of the vocabulary that
+    stand in a text get their ids; ``escape`` makes them ordinary text.
     """
-    tokens = tokenised(docs, vocabulary, doc_id, text)
+    tokens = tokenised(docs, vocabulary, doc_id, text, escape)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
