@@ -23,7 +23,7 @@ FIRST_DAY, YEARS, DAYS_LEFT, DAYS_RIGHT = "1700-01-01", (1700, 2099), 189, 773
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Kinds in the order they are tried at a place. Runs are possessive or bounded, so that no text takes long.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})",
+    "email": r"(?<![\p{L}\p{M}0-9._%+-])[\p{L}\p{M}0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,127}[A-Za-z]{2,24}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "access": r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:(?<![a-z0-9])(?:password|passwd|pwd|token|secret|api[_-]?key))\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,128}+",
@@ -128,8 +128,8 @@ def mod97(account: Column) -> Column:
 
 def _email(m: Column, key: str) -> Column:
     local, domain = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
-    # Names are the same in either case, so the pseudonym follows the lower-case form.
-    new = permuted_text(only(F.lower(local), "[^a-z0-9]"), by_class, key, "email")
+    # Names are the same in either case, so the pseudonym follows the lower-case form. Letters beyond A-Z stay.
+    new = permuted_text(only(F.translate(local, UPPER, LOWER), "[^a-z0-9]"), by_class, key, "email")
     return F.concat(let(new, lambda p: laid_out(local, p, "[A-Za-z0-9]")), F.lit("@"), domain)
 
 
