@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import settle
+from .order import AT, PART, numbered
 
 SLOTS, SHARDS, ROW_BYTES = 8192, 40, 16
 MAP = "version int, slot int, shard int"
@@ -63,21 +64,43 @@ def map_table(spark, versions: list[list[int]]) -> DataFrame:
     return settle(spark.createDataFrame(rows, MAP), "slot-map")
 
 
+def with_repeats(rows: DataFrame, *keys: str, repeat: str = "repeat") -> DataFrame:
+    """``rows``, as ``order.numbered`` gives them and written, with a number from 0 among the rows equal in ``keys``.
+
+    Rows are counted per task and key, and the counts of a key summed up over the tasks, so that a
+    third of all rows being equal is no more than a task's share in any one sort. Rows met once
+    are not sorted. Keys whose hashes collide are numbered together, which spreads them as well.
+    """
+    hashed = rows.withColumn("_key", F.xxhash64(*keys))
+    spans = hashed.groupBy("_key", PART).agg(F.count(F.lit(1)).alias("_rows"))
+    often = settle(spans.groupBy("_key").agg(F.sum("_rows").alias("_all")).filter("_all > 1").select("_key"), "repeated")
+    before = Window.partitionBy("_key").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    bases = spans.join(often, "_key").select("_key", PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    within = F.row_number().over(Window.partitionBy("_key", PART).orderBy(AT)) - 1
+    again = hashed.join(bases, ["_key", PART]).withColumn(repeat, F.col("_base") + within).drop("_base")
+    once = hashed.join(often, "_key", "left_anti").withColumn(repeat, F.lit(0).cast("long"))
+    return once.unionByName(again).drop("_key")
+
+
 def sharded(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version.
 
     ``size`` is the text's bytes in UTF-8 (null: none) plus 16 and ``slot`` the row's place in
     its shard, gapless from 0; the hashed slot is ``virtual_slot``. The law is ``bytes``: shards
-    differ by about a small slot, unless a single row or slot exceeds a fair share. A slot is
-    hashed from doc_id and text, so rows without an id spread; rows that repeat both share
-    a slot and get places of their own. Other columns are ignored; an empty table gives no row.
+    differ by about a small slot, unless a single row exceeds a fair share. A slot is
+    hashed from doc_id and text, so rows without an id spread; rows that repeat both are
+    numbered, and the number is hashed as well, so they spread too. Very long texts count by their size
+    and are hashed where they are read. Other columns are ignored; an empty table gives no row.
 
     Places are counted in two steps, within a slot and over the slots of a shard, so the
     largest sort is a slot's. Texts are never shuffled.
     """
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (F.octet_length(data) + ROW_BYTES).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
-    rows = settle(rows.withColumn("virtual_slot", slot_of(slots, F.col("doc_id"), F.col("text_crc32"), F.col("size"))), "sharded")
+    rows = with_repeats(settle(numbered(rows), "sharded-rows"), "doc_id", "text_crc32", "size").drop(PART, AT)
+    record = [F.col("doc_id"), F.col("text_crc32"), F.col("size")]
+    slot = F.when(F.col("repeat") == 0, slot_of(slots, *record)).otherwise(slot_of(slots, *record, F.col("repeat")))
+    rows = settle(rows.withColumn("virtual_slot", slot).drop("repeat"), "sharded")
     versions = [first_map(slots, shards)]
     versions.append(rebalanced(versions[0], slot_sizes(rows), shards))
     table = map_table(docs.sparkSession, versions).filter(F.col("version") == len(versions) - 1)
