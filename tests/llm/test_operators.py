@@ -128,8 +128,8 @@ def test_similar_links_connect_as_all_pairs_do(spark, part):
     for n in range(150):  # a large group, not all of whose texts are like the first
         texts.append(" ".join(["new" if (i * 7 + n) % 150 < n % 5 else w for i, w in enumerate(grown)]))
     table = spark.createDataFrame(list(enumerate(texts)), "number long, text string").repartition(3)
-    rows = table.select("number", "text", similar.sketched()(F.col("text")).alias("s")).select("number", "text", "s.*").persist()
-    found = {r.node: r.root for r in components.components(similar.similar_links(rows, part=part)).collect()}
+    rows = table.select("number", "text", similar.sketched()(F.col("text")).alias("bands")).persist()
+    found = {r.node: r.root for r in components.components(similar.similar_links(rows, part=part, part_hashes=2_000_000 if part > 4 else 500)).collect()}
     rows.unpersist()
     sets, label = [cases.shingles_of(text) for text in texts], list(range(len(texts)))
     for i in range(len(texts)):
@@ -140,6 +140,32 @@ def test_similar_links_connect_as_all_pairs_do(spark, part):
     assert [found.get(i, i) for i in range(len(texts))] == label
 
 
+@pytest.mark.parametrize("size", [1, 4, 5, 9, 16, 60, 400])
+def test_connected_loses_no_similar_pair(size):
+    """Also pairs at a similarity of just 0.8, whose fingerprints may differ in any number of bits."""
+    rng, sets = np.random.default_rng(size), []
+    for _ in range(12):
+        base = rng.choice(2**20, size, replace=False)
+        sets.append(np.sort(base).astype(np.uint64))
+        for _ in range(10):
+            swapped = base.copy()
+            some = rng.choice(size, size // 9 + int(rng.integers(0, 2)) if size > 1 else 0, replace=False)
+            swapped[some] = rng.integers(2**20, 2**40, len(some))
+            sets.append(np.sort(swapped).astype(np.uint64))
+    whole = [set(x.tolist()) for x in sets]
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if label[a] != label[b] and 5 * len(whole[a] & whole[b]) >= 4 * len(whole[a] | whole[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    found = list(range(len(sets)))
+    for a, b in similar.connected(sets, np.arange(len(sets))):
+        low, high = sorted((found[a], found[b]))
+        found = [low if x == high else x for x in found]
+    assert found == label
+
+
 def test_tree_follows_only_edges_within_the_radius():
     prints = np.random.default_rng(2).integers(0, 2**63, 500, dtype=np.uint64)
     tree = simhash.BKTree(prints)
@@ -160,7 +186,6 @@ def test_packing(given):
 
     docs, some = given
     plain = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     ids = {(d, t): [*plain.encode(t or "", add_special_tokens=False).ids, 1] for d, t in some}
     found = packing.pack(docs, vocabulary("byte_bpe_50k.json")).collect()
     of = defaultdict(list)
@@ -200,13 +225,16 @@ def test_encoder_gives_the_tokenizers_ids():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     rng, of = random.Random(4), packing.Encoder(vocabulary("byte_bpe_50k.json"))
+    assert np.frombuffer(of("a <|endoftext|> b"), dtype="<u4").tolist() == [64, 220, 50256, 275]
     marks = [" ", "  ", "\n", " \n", "\t", " ", " ", "\x1c", "a", "Bc", "é", "12", "'s", "'ll", "!?", "🎉", "<|endoftext|>", "你"]
     texts = ["", " ", "  a", "a  ", *("".join(rng.choice(marks) for _ in range(rng.randint(1, 25))) for _ in range(2000))]
     texts += ["a" * 20_000, "é 12" * 5000, "".join(map(chr, range(0x3000)))]
-    for text in texts:
-        assert np.frombuffer(of(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    escaped = packing.Encoder(vocabulary("byte_bpe_50k.json"), escape=True)
+    for of, escape in ((of, False), (escaped, True)):
+        plain.encode_special_tokens = escape
+        for text in texts:
+            assert np.frombuffer(of(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_encoder_of_long_white_space(monkeypatch):
@@ -232,6 +260,20 @@ def test_sharding(given):
     assert all(r.law == "bytes" and 0 <= r.shard < 40 and r.grown_shard is None for r in found)
 
 
+def test_repeated_rows_spread_over_shards(spark):
+    many = spark.range(0, 20_000, 1, 5).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("x").alias("repeat"), F.lit(1).alias("_key"))
+    few = spark.range(3000).select("id", F.concat(F.lit("text "), F.col("id").cast("string")), F.lit("y"), F.lit(2))
+    rows = sharding.sharded(many.union(few)).select("doc_id", "size", "shard", "slot", "virtual_slot").collect()
+    held = Counter()
+    for r in rows:
+        held[r.shard] += r["size"]
+    assert len(rows) == 23_000 and len(held) == 40
+    assert max(held.values()) - min(held.values()) <= 0.02 * sum(held.values()) / 40
+    assert max(Counter(r.virtual_slot for r in rows).values()) < 30
+    for shard in range(40):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
 def test_map_is_edited_sparingly():
     rng = random.Random(1)
     first = sharding.first_map(2000, 10)
@@ -499,6 +541,16 @@ def test_pseudonyms_link_and_leave_the_rest(given):
         assert not re.search(r"bo\.42@|555-3296|10\.0\.0\.1|1980-02-29", changed[600])
 
 
+def test_addresses_end_at_their_last_letter_label(spark):
+    given = ["bo.smith@ex.org-thanks", "bo.smith@ex.org- x", "bo.smith@ex.org2", "to bo.smith@ex.org.", "jörg.meier@ex.org, ja", "bo.smith@a-1.b2.ex.co.uk!"]
+    table = spark.createDataFrame(list(enumerate(given)), "n long, text string")
+    found = {r.n: r.text for r in pii.pseudonymise(table, "key").collect()}
+    names = {re.sub(r"^to |@.*", "", found[n]) for n in (0, 1, 2, 3, 5)}
+    assert len(names) == 1 and names != {"bo.smith"} and re.fullmatch(r"[a-z]{2}\.[a-z]{5}", *names)
+    assert [re.sub(r".*?@", "", found[n]) for n in range(6)] == [re.sub(r".*?@", "", x) for x in given]
+    assert re.fullmatch(r"[a-z]ö[a-z]{2}\.[a-z]{5}@ex\.org, ja", found[4]) and not found[4].startswith("jörg.meier")
+
+
 def test_what_is_not_valid_stays(spark):
     texts = ["4111111111111112", "000-12-3456", "2021-02-29", "2.0.1", "12345", "1.2.3.400", "AB12CD34EF56GH78", "a@b", "x" * 50_000, "@" * 2000, "a." * 5000 + "@", "1-" * 3000]
     table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")

@@ -43,7 +43,6 @@ def test_stages(spark, tmp_path):
     before, after = Counter(text["simhash_dedup"]), Counter(text["pii"])
     assert {d for d, _ in (after - before)} == {600, 601} and sum(after.values()) == sum(before.values())
     plain = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     pieces = found["packing"].collect()
     for doc_id, words in text["pii"]:
         ids = np.array([*plain.encode(words or "", add_special_tokens=False).ids, 1], dtype="<u4")

@@ -163,14 +163,14 @@ def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     where the list of rows to drop or to compare is too large for Spark to broadcast.
     """
     ours = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), whole_row(docs))
-    rows = ours.withColumn("print", _fingerprinted()("text")).withColumn("s", similar.sketched(shingle)("text"))
-    rows = settle(rows.select("id", "print", "s.*", "_row", F.monotonically_increasing_id().alias("number")), "simhash")
+    rows = ours.withColumn("print", _fingerprinted()("text")).withColumn("bands", similar.sketched(shingle)("text"))
+    rows = settle(rows.select("id", "print", "bands", "_row", F.monotonically_increasing_id().alias("number")), "simhash")
     prints = settle(_prints(rows.select("id", "print")), "simhash-prints")
     found, _ = _roots(prints, radius)
     rooted = rows.select("number", "print").join(found, "print", "left").select("number", F.coalesce("root", "print").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min("number").alias("b"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     equal = rooted.join(firsts, "root").select(F.col("number").alias("a"), "b")
-    texts = rows.select("number", "near", "bands", F.col("_row").getField(text).alias("text"))
+    texts = rows.select("number", "bands", F.col("_row").getField(text).alias("text"))
     groups = components(equal.unionByName(similar.similar_links(texts, least, shingle)))
     # Rows without a group stay, and so does the first row of every group.
     named = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "number")
