@@ -3,6 +3,7 @@
 from .activity import inactive_keys, latest_by_key, latest_per_tick
 from .averages import adaptive_average, last_averages, running_averages, tick_advice, window_advice, window_averages
 from .blockscan import block_average
+from .over_windows import over_windows, window_drawdown
 from .skew import SkewPolicy
 from .windows import in_windows, window_average_row, window_count, window_rows, window_sum
 
@@ -15,12 +16,14 @@ __all__ = [
     "last_averages",
     "latest_by_key",
     "latest_per_tick",
+    "over_windows",
     "running_averages",
     "tick_advice",
     "window_advice",
     "window_average_row",
     "window_averages",
     "window_count",
+    "window_drawdown",
     "window_rows",
     "window_sum",
 ]

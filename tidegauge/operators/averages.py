@@ -20,7 +20,7 @@ from ..functions.smoothing import advice, usable
 from ..schemas import TICK_ORDER
 from .fold import Carry, Smoothing, count_between, each_row, enclose, last_row, last_row_of_windows, row_inputs, tabulate
 from .skew import RUN, Edge, HotGroups, SkewPolicy, find_hot, may_be_hot, ordered_runs, run_edges, run_table
-from .windows import BLOCK, WINDOW, WindowBlocks
+from .windows import BLOCK, WINDOW, WindowBlocks, duration_micros
 
 #: Doubles that an average may start a run from, at most, for all of them to be folded.
 MOST_STARTS = 512
@@ -69,14 +69,15 @@ def tick_advice(
     eps: float = 0.0,
     stamp: str = "event",
     policy: SkewPolicy = SkewPolicy(),
+    expire_after: str | None = None,
 ) -> DataFrame:
     """Buy, Sell or Stay for each tick, from the crossing of two averages.
 
     With ``zero_unset`` an average of zero counts as not set: it starts again
     at the next price, and ticks that leave the fast average at zero are not
-    reported.
+    reported. ``expire_after``: a symbol silent for that long in event time starts again.
     """
-    smoothing = Smoothing(tuple(spans), zero_unset=zero_unset)
+    smoothing = Smoothing(tuple(spans), zero_unset=zero_unset, expire=expire_after and duration_micros(expire_after))
     needed = ticks.select("symbol", "event_time", "seq", "close")
     averaged = _smooth_rows(needed, smoothing, policy, with_before=True)
     fast, slow = (F.col(f"ema{span}") for span in spans)

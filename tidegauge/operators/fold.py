@@ -51,11 +51,22 @@ class Smoothing:
     ``seed_step``: the first price takes a smoothing step against itself, as
     every later one does; otherwise it is the first average as it stands.
     ``zero_unset``: an average of exactly zero counts as not yet set.
+    ``expire``: after a gap of that many microseconds or more, averages start again.
     """
 
     spans: tuple[float, ...] = (10, 100)
     seed_step: bool = True
     zero_unset: bool = False
+    expire: int | None = None
+
+    def __post_init__(self):
+        if self.zero_unset and self.expire is not None:
+            raise ValueError("averages that expire cannot count zero as not set")
+
+    @property
+    def timed(self) -> bool:
+        """Whether the fold needs the time of each tick."""
+        return not self.spans or self.expire is not None
 
     @property
     def width(self) -> int:
@@ -136,7 +147,7 @@ class Fold:
         starts = group_starts(batch, self.group, self.tail)
         resumed = self._resumed(batch)
         price = batch.column("close").to_numpy(zero_copy_only=False)
-        micros = None if self.smoothing.spans else _micros(batch.column("event_time"))
+        micros = _micros(batch.column("event_time")) if self.smoothing.timed else None
         self.tail = row_group(batch, self.group, batch.num_rows - 1)
         return starts, *self.advance(price, micros, starts, resumed)
 
@@ -145,7 +156,16 @@ class Fold:
 
     def advance(self, price: np.ndarray, micros: np.ndarray | None, starts: np.ndarray, resumed: dict[int, Carry]):
         averages, before = [], []
-        for index, weight in enumerate(self._weights(len(price), micros, resumed)):
+        gaps = None
+        if micros is not None:
+            gaps = np.diff(micros, prepend=self.micros)
+            for row, carry in resumed.items():
+                gaps[row] = micros[row] - carry.micros
+            self.micros = int(micros[-1])
+        if self.smoothing.expire is not None:
+            over = gaps >= self.smoothing.expire
+            starts, resumed = starts | over, {row: carry for row, carry in resumed.items() if not over[row]}
+        for index, weight in enumerate(self._weights(len(price), gaps)):
             seeds = {row: carry.states[index] for row, carry in resumed.items()}
             values, previous = self._one(price, weight, starts, seeds, self.states[index])
             self.states[index] = float(values[-1])
@@ -161,13 +181,9 @@ class Fold:
         opens = np.flatnonzero(np.diff(runs, prepend=-1 if self.tail is None else self.tail[-1]))
         return {int(row): self.carry[int(runs[row])] for row in opens if int(runs[row]) in self.carry}
 
-    def _weights(self, rows: int, micros: np.ndarray | None, resumed: dict[int, Carry]) -> list[np.ndarray]:
+    def _weights(self, rows: int, gaps: np.ndarray | None) -> list[np.ndarray]:
         if self.smoothing.spans:
             return [np.full(rows, alpha(span)) for span in self.smoothing.spans]
-        gaps = np.diff(micros, prepend=self.micros)
-        for row, carry in resumed.items():
-            gaps[row] = micros[row] - carry.micros
-        self.micros = int(micros[-1])
         return [gap_weight(gaps)]
 
     def _one(self, price, weight, starts, seeds: dict[int, float], state: float):
@@ -221,7 +237,7 @@ def each_row(
 
 
 def row_inputs(smoothing: Smoothing, group: Sequence[str], in_runs: bool) -> list[str]:
-    timed = [] if smoothing.spans else ["event_time"]
+    timed = ["event_time"] if smoothing.timed else []
     return [*group, *([RUN] if in_runs else []), "close", *timed]
 
 

@@ -38,6 +38,29 @@ def advice(key: str, price: str = "value") -> str:
     return _folded(key, price) + f'SELECT symbol, ts AS "timestamp", seq, ema10, ema100, {ADVISE} AS advise FROM r'
 
 
+def expiring(key: str, seconds: int) -> str:
+    """Advice where a symbol starts again after a gap; its ticks between two gaps are an island."""
+    return f"""WITH RECURSIVE g AS (SELECT CAST({key} AS VARCHAR) AS symbol, ts, event_id AS seq, value AS close,
+  CASE WHEN ts - lag(ts) OVER w >= INTERVAL {seconds} SECOND THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id)),
+i AS (SELECT *, sum(opens) OVER (PARTITION BY symbol ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS island FROM g),
+t AS (SELECT *, row_number() OVER (PARTITION BY symbol, island ORDER BY ts, seq) AS rn FROM i),
+r AS (
+  SELECT symbol, island, ts, seq, rn, close AS b10, close AS b100,
+    {_step(A10, 'close', 'close')} AS ema10, {_step(A100, 'close', 'close')} AS ema100
+  FROM t WHERE rn = 1
+  UNION ALL
+  SELECT t.symbol, t.island, t.ts, t.seq, t.rn, r.ema10, r.ema100,
+    {_step(A10, 't.close', 'r.ema10')}, {_step(A100, 't.close', 'r.ema100')}
+  FROM r JOIN t ON t.symbol = r.symbol AND t.island = r.island AND t.rn = r.rn + 1)
+SELECT symbol, ts AS "timestamp", seq, ema10, ema100, {ADVISE} AS advise FROM r"""
+
+
+def drawdown(key: str, size: int, slide: int | None = None) -> str:
+    return f"""WITH {_placed(key, size, slide)},
+m AS (SELECT *, max(close) OVER (PARTITION BY symbol, window_start ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS top FROM w)
+SELECT symbol, window_start, window_end, max(top - close) AS drawdown FROM m GROUP BY ALL"""
+
+
 def _averages(key: str, columns: str) -> str:
     return _folded(key) + f"SELECT symbol, seq, {columns} FROM r"
 
@@ -163,6 +186,8 @@ FROM (SELECT event_id, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FR
         "ema_advice_cut": advice("event_type"),
         "ema_advice_flat_cut": advice("event_type", "CAST(length(event_type) AS DOUBLE) / 7e0"),
         "ema_advice_zero_unset": _advice_zero_unset(),
+        "ema_advice_expiring": expiring("user_id", 86400),
+        "ema_advice_expiring_cut": expiring("event_type", 1800),
         "ema_block_scan": _averages("user_id", "round(ema10, 6) AS ema10, round(ema100, 6) AS ema100"),
         "ema_block_scan_cut": _averages("event_type", "round(ema10, 6) AS ema10, round(ema100, 6) AS ema100"),
         "ema_window_sliding": window_averages("user_id", 60, 30),
@@ -178,6 +203,8 @@ FROM (SELECT event_id, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FR
         "window_avg_row": window_average_row(),
         "window_rows": f"""WITH {_placed('user_id', 60, 30)}
 SELECT symbol, window_start, window_end, ts AS event_time, seq, close FROM w""",
+        "window_drawdown": drawdown("user_id", 86400),
+        "window_drawdown_sliding": drawdown("event_type", 86400, 43200),
         "ema_adaptive": adaptive("user_id"),
         "ema_adaptive_cut": adaptive("event_type"),
         "latest_close": """SELECT CAST(user_id AS VARCHAR) AS symbol, min(ts) AS first_time, max(ts) AS event_time,
@@ -236,6 +263,10 @@ def stream_oracles() -> dict[str, str]:
         + """SELECT symbol, max(ts) AS event_time, arg_max(ema10, rn) AS ema10, arg_max(ema100, rn) AS ema100 FROM r GROUP BY symbol""",
         "stream_from_history": f"""SELECT * FROM ({advice("event_type")}) WHERE "timestamp" >= {HALF}""",
         "stream_rejects": REJECTS,
+        "stream_ttl_event_time": expiring("user_id", 86400),
+        "stream_late_rows": f"""SELECT event_type AS symbol, ts AS event_time, event_id AS seq, value AS close, CASE WHEN ts < {HALF}
+  AND epoch_us(ts) // 30000000 * 30 + 30 <= (SELECT epoch(max(ts)) FROM events) - 2 THEN 'late' END AS reason FROM events""",
+        "stream_changelog": f"""SELECT seller_id, window_start, window_end, aggregated_amount, aggregated_amount AS summed FROM ({window_sum()})""",
         "stream_fan_out": f"""SELECT c.*, target FROM ({window_count("event_type", 30, where=closed(2))}) AS c, (VALUES ('first'), ('second')) AS t(target)""",
         "job_ticks": _as_record(advice("user_id")),
         "job_windows": _as_record(window_advice("user_id", 86400, 43200, closed(2))),

@@ -28,6 +28,7 @@ from ..operators import (
     window_average_row,
     window_averages,
     window_count,
+    window_drawdown,
     window_rows,
     window_sum,
 )
@@ -211,6 +212,13 @@ def window_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_free(window_rows(_ticks(spark, sf_dir), "1 minute", "30 seconds"))
 
 
+def _drawdown(key: str, size: str, slide: str | None = None) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return zone_free(window_drawdown(_ticks(spark, sf_dir, key), size, slide))
+
+    return query
+
+
 def _adaptive(key: str, policy: SkewPolicy = SkewPolicy()) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return adaptive_average(_ticks(spark, sf_dir, key), policy).select("symbol", "seq", "ema")
@@ -251,6 +259,8 @@ def table_queries() -> dict[str, Query]:
         "ema_advice_cut": _advice("event_type", policy=CUT_EARLY),
         "ema_advice_flat_cut": ema_advice_flat_cut,
         "ema_advice_zero_unset": _advice("user_id", zero_unset=True),
+        "ema_advice_expiring": _advice("user_id", expire_after="1 day"),
+        "ema_advice_expiring_cut": _advice("event_type", expire_after="30 minutes", policy=CUT_EARLY),
         "ema_block_scan": _block_scan("user_id"),
         "ema_block_scan_cut": _block_scan("event_type", CUT_EARLY),
         "ema_window_sliding": _window_averages("user_id", "1 minute", "30 seconds"),
@@ -265,6 +275,8 @@ def table_queries() -> dict[str, Query]:
         "window_count_by_type": _window_count("event_type", "1 day", "12 hours"),
         "window_avg_row": window_avg_row,
         "window_rows": window_rows_query,
+        "window_drawdown": _drawdown("user_id", "1 day"),
+        "window_drawdown_sliding": _drawdown("event_type", "1 day", "12 hours"),
         "ema_adaptive": _adaptive("user_id"),
         "ema_adaptive_cut": _adaptive("event_type", CUT_EARLY),
         "latest_close": latest_close,

@@ -18,16 +18,20 @@ from ..session import fresh_folder, prepare
 from ..sources.ticks import GIGABYTE, stream_events, table_events, ticks_from_events
 from ..streaming import (
     averages_in_state,
+    compacted,
+    judged_lateness,
     stream_adaptive_average,
     stream_inactive_keys,
     stream_latest_per_tick,
     stream_tick_advice,
     stream_window_advice,
     stream_window_averages,
+    stream_window_changes,
     to_kafka_value,
     with_watermark,
     write_files,
 )
+from ..streaming.changes import CHANGE, RETRACT
 from ..streaming.sinks import fan_out_once, folder_batch, split_by
 from .jobs import ADVICE_COLUMNS, REASON, SALE_COLUMNS, judged_sales, judged_ticks, sales_job, tick_job, window_job
 from .queries import Query, sale_json, sales, tick_json, zone_free
@@ -106,6 +110,31 @@ def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_free(restarted(lambda events: stream_tick_advice(ticks_from_events(events, "event_type"), history=history), [late], "from-history"))
 
 
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, the earlier half of which comes last, with ``late`` where their window was closed by then."""
+    parts = halves(table_events(prepare(spark), sf_dir))[::-1]
+    judge = lambda events: judged_lateness(with_watermark(ticks_from_events(events, "event_type")), "30 seconds")
+    return zone_free(restarted(judge, parts, "late-rows"))
+
+
+def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums per window from a log of changes: as its last rows give them, and as all of its rows add up.
+
+    Events come in two parts that share windows, within a watermark that closes none.
+    """
+    events = table_events(prepare(spark), sf_dir)
+    parts = [events.filter(F.col("event_id") % 2 == rest) for rest in (0, 1)]
+
+    def changed(part: DataFrame) -> DataFrame:
+        rows = sales(part).withColumn("event_time", F.timestamp_millis("sale_ts"))
+        return stream_window_changes(with_watermark(rows, "36500 days"), "seller_id", "amount_usd")
+
+    changes, keys = restarted(changed, parts, "changelog"), ["seller_id", "window_start", "window_end"]
+    signed = F.when(F.col(CHANGE) == RETRACT, -F.col("amount_usd")).otherwise(F.col("amount_usd"))
+    added = changes.groupBy(*keys).agg(F.sum(signed).alias("summed"))
+    return zone_free(compacted(changes, keys).withColumnRenamed("amount_usd", "aggregated_amount").join(added, keys))
+
+
 def _damaged(whole: Column, broken: dict[int, Column]) -> Column:
     """Records of which some kinds are broken, told by their number."""
     for rest, text in broken.items():
@@ -250,6 +279,11 @@ def stream_queries() -> dict[str, Query]:
             lambda t: stream_inactive_keys(with_watermark(t)), "user_id", "restart-inactivity"
         ),
         "stream_late_windows": stream_late_windows,
+        "stream_late_rows": stream_late_rows,
+        "stream_changelog": stream_changelog,
+        "stream_ttl_event_time": _restarted(
+            lambda t: stream_tick_advice(with_watermark(t), expire_after="1 day"), "user_id", "ttl-event-time"
+        ),
         "stream_state": stream_state,
         "stream_from_history": stream_from_history,
         "stream_rejects": stream_rejects,

@@ -1,6 +1,7 @@
 """The operators as Structured Streaming queries, and where results go."""
 
-from .lateness import BOUNDED, MONOTONOUS, RELAXED, with_watermark
+from .changes import compacted, stream_window_changes
+from .lateness import BOUNDED, MONOTONOUS, RELAXED, judged_lateness, with_watermark
 from .sinks import (
     JdbcTarget,
     changelog,
@@ -29,7 +30,9 @@ __all__ = [
     "JdbcTarget",
     "averages_in_state",
     "changelog",
+    "compacted",
     "fan_out",
+    "judged_lateness",
     "kafka_writer_options",
     "print_rows",
     "stream_adaptive_average",
@@ -38,6 +41,7 @@ __all__ = [
     "stream_tick_advice",
     "stream_window_advice",
     "stream_window_averages",
+    "stream_window_changes",
     "to_kafka_value",
     "with_watermark",
     "write_files",

@@ -25,6 +25,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from ..functions.eventtime import emission_stamp
 from ..functions.smoothing import advice, usable
 from ..operators.fold import Fold, Smoothing
+from ..operators.windows import duration_micros
 from ..session import use_rocksdb
 from .state_rows import Ticks
 from .windowed import stream_window_averages
@@ -64,7 +65,11 @@ def _with_state(df: DataFrame, processor: StatefulProcessor, time_mode: str = "N
 
 
 class TickAverages(StatefulProcessor):
-    """Averages of each tick; state is the last averages and their time."""
+    """Averages of each tick; state is the last averages and their time.
+
+    State that expires in event time has a timer, which drops it when the watermark is past the time from which
+    the next tick would start again anyway. A timer that a later tick has overtaken is ignored.
+    """
 
     def __init__(self, smoothing: Smoothing, ttl_ms: int | None = None):
         self.smoothing = smoothing
@@ -79,10 +84,22 @@ class TickAverages(StatefulProcessor):
         state = _schema(symbol=False, longs=["micros"], doubles=self.smoothing.names)
         self.last = handle.getValueState("last", state, self.ttl_ms)
         self.row = Row(*self.output.names)
+        self.handle = handle
+
+    def _due(self, micros: int) -> int:
+        return -(-(micros + self.smoothing.expire) // 1000)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        last = self.last.get()
+        if last is not None and self._due(last[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.last.clear()
+        return iter(())
 
     def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
         """A row of :func:`operators.last_averages`, with its time in microseconds."""
         self.last.update((initialState.micros, *(initialState[name] for name in self.smoothing.names)))
+        if self.smoothing.expire is not None:
+            self.handle.registerTimer(self._due(initialState.micros))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         ticks = Ticks(rows)
@@ -94,6 +111,8 @@ class TickAverages(StatefulProcessor):
             fold.micros, *fold.states = last
         averages, before = fold.advance(ticks.close, ticks.micros, starts, {})
         self.last.update((int(ticks.micros[-1]), *fold.states))
+        if self.smoothing.expire is not None:
+            self.handle.registerTimer(self._due(int(ticks.micros[-1])))
         for values in ticks.rows(*averages, *before):
             yield self.row(key[0], *values)
 
@@ -193,7 +212,7 @@ def _averaged(ticks: DataFrame, smoothing: Smoothing, ttl_ms: int | None, histor
     initial = None
     if history is not None:
         initial = history.select("symbol", F.unix_micros("event_time").alias("micros"), *smoothing.names)
-    mode = "ProcessingTime" if ttl_ms else "None"
+    mode = "ProcessingTime" if ttl_ms else "None" if smoothing.expire is None else "EventTime"
     return _timed(_with_state(_plain(ticks), TickAverages(smoothing, ttl_ms), mode, initial), "event_time")
 
 
@@ -216,14 +235,20 @@ def stream_tick_advice(
     stamp: str = "event",
     ttl_ms: int | None = None,
     history: DataFrame | None = None,
+    expire_after: str | None = None,
 ) -> DataFrame:
     """``operators.tick_advice`` on a stream without a watermark.
 
     With ``ttl_ms`` a symbol without ticks for that long starts again. ``history``, as
     ``operators.last_averages`` gives it, is what symbols go on from when the query first starts; a
-    restart has its checkpoint.
+    restart has its checkpoint. With ``expire_after`` a symbol silent for that long in event time starts
+    again, which gives the same rows whenever it runs; the stream then needs a watermark, by which state is dropped. Late
+    ticks still count, in the order they arrive. It cannot be had together with ``ttl_ms``.
     """
-    out = _averaged(ticks, Smoothing(tuple(spans), zero_unset=zero_unset), ttl_ms, history)
+    if ttl_ms and expire_after:
+        raise ValueError("state expires by the wall clock or in event time")
+    smoothing = Smoothing(tuple(spans), zero_unset=zero_unset, expire=expire_after and duration_micros(expire_after))
+    out = _averaged(ticks, smoothing, ttl_ms, history)
     fast, slow = (F.col(f"ema{span}") for span in spans)
     fast_before, slow_before = (F.col(f"ema{span}_before") for span in spans)
     if zero_unset:
