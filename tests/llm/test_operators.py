@@ -63,6 +63,9 @@ def test_fingerprints_compose():
     assert of(b"") == (0, 0, 0) and of(b"\0") != of(b"") and of(b"a\0") != of(b"a")
     plain = [sum((b + 1) * pow(base, len(b"hello") - 1 - i, p) for i, b in enumerate(b"hello")) % p for base, p in zip(of.bases, of.primes)]
     assert list(of(b"hello")) == plain
+    huge = rng.randbytes(3 * exact.HASHED + 777)
+    for size in (exact.HASHED, exact.HASHED + 1, len(huge)):
+        assert of(huge[:size]) == of._piece(huge[:size])
     assert exact.same_text("AÉ" * 100_000, "aÉ" * 100_000) and not exact.same_text("É", "é") and not exact.same_text("a", "ab")
 
 

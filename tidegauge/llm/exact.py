@@ -14,13 +14,15 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, settle, whole_row, workers_know
 
 PRIMES = (2**31 - 1, 2**31 - 19, 2**31 - 61)
 CHUNK = 1024
+#: Bytes hashed at once; a multiple of ``CHUNK``.
+HASHED = 1 << 21
 COMPARED = 65_536
 #: Copies that share one copy of their representative's text in the comparison.
 COPIES_PER_SALT = 1000
@@ -48,7 +50,7 @@ class Fingerprints:
         """The fingerprint of left followed by right, from theirs."""
         return tuple((int(a) * pow(base, right_bytes, p) + int(b)) % p for a, b, base, p in zip(left, right, self.bases, self.primes))
 
-    def __call__(self, data: bytes) -> tuple[int, ...]:
+    def _piece(self, data: bytes) -> tuple[int, ...]:
         hashes = self.chunks(data)
         out = tuple(int(x) for x in hashes[0])
         shifts = [pow(base, CHUNK, p) for base, p in zip(self.bases, self.primes)]
@@ -56,6 +58,14 @@ class Fingerprints:
             out = tuple((a * shift + int(b)) % p for a, shift, b, p in zip(out, shifts, row, self.primes))
         return out
 
+    def __call__(self, data: bytes) -> tuple[int, ...]:
+        """Pieces of ``HASHED`` bytes, one after the other, so that a huge text takes no more memory than they do."""
+        out = self._piece(data[:HASHED])
+        for at in range(HASHED, len(data), HASHED):
+            piece = data[at : at + HASHED]
+            out = self.combine(out, self._piece(piece), len(piece))
+        return out
+
 
 def same_text(left: str, right: str) -> bool:
     """Chunk by chunk up to the first difference; A-Z count as lower case."""
@@ -82,37 +92,42 @@ def _printed(primes: tuple[int, ...]):
 def _compared():
     @F.arrow_udf("boolean")
     def compared(texts: pa.Array, others: pa.Array) -> pa.Array:
-        return pa.array([same_text(a.as_py(), b.as_py()) for a, b in zip(texts, others)], pa.bool_())
+        return pa.array([same_text(a.as_py() or "", b.as_py() or "") for a, b in zip(texts, others)], pa.bool_())
 
     return compared
 
 
-def _marked(docs: DataFrame, doc_id: str, text: str, whole: bool, primes: tuple[int, ...]) -> DataFrame:
-    """A written table of all rows with number, fingerprint and size of the group of equal fingerprints.
+def _numbered(docs: DataFrame, doc_id: str, text: str, whole: bool, primes: tuple[int, ...]) -> DataFrame:
+    """A written table of all rows: number, id, print, bytes, sha, and the text (with ``whole`` all columns, which hold it)."""
+    body = whole_row(docs) if whole else F.col(text).alias("words")
+    rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), body)
+    rows = rows.withColumn("f", _printed(primes)(_words(text, whole)))
+    return settle(rows.select("id", "f.*", F.monotonically_increasing_id().alias("number"), "_row" if whole else "words"), "exact-prints")
 
-    Texts (or with ``whole`` all columns) are shuffled once, by fingerprint. Large
-    groups are divided by adaptive execution: the other side has one row for each.
-    """
-    rows = workers_know(docs).select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("words"), *([whole_row(docs)] if whole else []))
-    rows = rows.withColumn("f", _printed(primes)("words")).select("*", "f.*").drop("f")
+
+def _words(text: str, whole: bool) -> Column:
+    return F.col("_row").getField(text) if whole else F.col("words")
+
+
+def _members(rows: DataFrame) -> DataFrame:
+    """Rows that share their fingerprint with another one, without texts: number, id, print, bytes, sha, copies, top."""
     groups = rows.groupBy("print", "bytes").agg(F.count(F.lit(1)).alias("copies"), F.max("id").alias("top")).filter("copies > 1")
-    joined = rows.join(groups, ["print", "bytes"], "left")
-    if not whole:  # a text without a partner is not needed any more
-        joined = joined.withColumn("words", F.when(F.col("copies").isNotNull(), F.col("words")))
-    return settle(joined.withColumn("number", F.monotonically_increasing_id()), "exact")
+    # Written tables tell their size, by which Spark chooses to broadcast or to shuffle.
+    groups = settle(groups, "exact-groups")
+    return settle(rows.select("number", "id", "print", "bytes", "sha").join(groups, ["print", "bytes"]), "exact-members")
 
 
-def _classes(marked: DataFrame) -> DataFrame:
-    """Rows with partners: number, id, print, bytes, sha, kind. Equal texts, and only they, agree in all of the last three but sha.
+def _classes(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Members with their kind. Equal texts, and only they, agree in print, bytes and kind.
 
-    A representative is sent to as many tasks as its group needs, one for every
-    ``COPIES_PER_SALT`` copies.
+    Texts (number, words) come by row number, so a large group lies in no one task. A representative is
+    sent to as many tasks as its group needs, one for every ``COPIES_PER_SALT`` copies.
     """
-    members = marked.filter("copies > 1")
     salts = F.ceil(F.col("copies") / COPIES_PER_SALT)
-    heads = members.filter(F.col("id").eqNullSafe(F.col("top"))).groupBy("print", "bytes").agg(F.first("words").alias("head"), F.first("copies").alias("copies"))
+    heads = members.filter(F.col("id").eqNullSafe(F.col("top"))).groupBy("print", "bytes").agg(F.min("number").alias("number"), F.first("copies").alias("copies"))
+    heads = heads.join(texts.withColumnRenamed("words", "head"), "number")
     heads = heads.select("print", "bytes", "head", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
-    salted = members.select("number", "id", "print", "bytes", "sha", "words", F.pmod(F.xxhash64("number"), salts).alias("salt"))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("number"), salts)).join(texts, "number")
     pairs = salted.join(heads, ["print", "bytes", "salt"])
     kind = F.when(_compared()("words", "head"), F.lit("")).otherwise(F.col("sha"))
     return settle(pairs.select("number", "id", "print", "bytes", "sha", kind.alias("kind")), "exact-classes")
@@ -131,9 +146,10 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pr
     rows that repeat both doc_id and text one stays. Other columns are ignored;
     an empty table gives no row.
     """
-    marked = _marked(docs, doc_id, text, False, primes)
-    classes = _classes(marked)
-    alone = marked.filter("copies IS NULL").select(
+    rows = _numbered(docs, doc_id, text, False, primes)
+    members = _members(rows)
+    classes = _classes(members, rows.select("number", "words"))
+    alone = rows.select("number", "id", "sha").join(members.select("number"), "number", "left_anti").select(
         F.col("id").alias("doc_id"), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256")
     )
     grouped = classes.join(_kept(classes), ["print", "bytes", "kind"]).select(
@@ -143,8 +159,12 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pr
 
 
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", primes: tuple[int, ...] = PRIMES) -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns unchanged."""
-    marked = _marked(docs, doc_id, text, True, primes)
-    kept = _kept(_classes(marked)).select(F.col("best.number").alias("number"))
-    chosen = marked.filter("copies > 1").join(kept, "number", "left_semi")
-    return marked.filter("copies IS NULL").select("_row.*").unionByName(chosen.select("_row.*"))
+    """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns unchanged.
+
+    Whole rows are written once, and shuffled by row number only where the rows to drop are too many to be broadcast.
+    """
+    rows = _numbered(docs, doc_id, text, True, primes)
+    classes = _classes(_members(rows), rows.select("number", _words(text, True).alias("words")))
+    kept = _kept(classes).select(F.col("best.number").alias("kept"))
+    dropped = settle(classes.join(kept, F.col("number") == F.col("kept"), "left_anti").select("number"), "exact-dropped")
+    return rows.join(dropped, "number", "left_anti").select("_row.*")
