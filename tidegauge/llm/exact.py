@@ -109,26 +109,27 @@ def _words(text: str, whole: bool) -> Column:
     return F.col("_row").getField(text) if whole else F.col("words")
 
 
-def _members(rows: DataFrame) -> DataFrame:
-    """Rows that share their fingerprint with another one, without texts: number, id, print, bytes, sha, copies, top."""
+def _members(rows: DataFrame, words: Column) -> DataFrame:
+    """A written table of rows that share their fingerprint with another one: number, id, print, bytes, sha, copies, top, words.
+
+    Texts are shuffled once, by row number, so a large group lies in no one task.
+    """
     groups = rows.groupBy("print", "bytes").agg(F.count(F.lit(1)).alias("copies"), F.max("id").alias("top")).filter("copies > 1")
     # Written tables tell their size, by which Spark chooses to broadcast or to shuffle.
     groups = settle(groups, "exact-groups")
-    return settle(rows.select("number", "id", "print", "bytes", "sha").join(groups, ["print", "bytes"]), "exact-members")
+    members = rows.select("number", "id", "print", "bytes", "sha").join(groups, ["print", "bytes"])
+    return settle(members.hint("merge").join(rows.select("number", words.alias("words")), "number"), "exact-members")
 
 
-def _classes(members: DataFrame, texts: DataFrame) -> DataFrame:
+def _classes(members: DataFrame) -> DataFrame:
     """Members with their kind. Equal texts, and only they, agree in print, bytes and kind.
 
-    Texts (number, words) come by row number, so a large group lies in no one task. A representative is
-    sent to as many tasks as its group needs, one for every ``COPIES_PER_SALT`` copies.
+    A representative is sent to as many tasks as its group needs, one for every ``COPIES_PER_SALT`` copies.
     """
     salts = F.ceil(F.col("copies") / COPIES_PER_SALT)
-    heads = members.filter(F.col("id").eqNullSafe(F.col("top"))).groupBy("print", "bytes").agg(F.min("number").alias("number"), F.first("copies").alias("copies"))
-    heads = heads.join(texts.withColumnRenamed("words", "head"), "number")
+    heads = members.filter(F.col("id").eqNullSafe(F.col("top"))).groupBy("print", "bytes").agg(F.first("words").alias("head"), F.first("copies").alias("copies"))
     heads = heads.select("print", "bytes", "head", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("number"), salts)).join(texts, "number")
-    pairs = salted.join(heads, ["print", "bytes", "salt"])
+    pairs = members.withColumn("salt", F.pmod(F.xxhash64("number"), salts)).join(heads, ["print", "bytes", "salt"])
     kind = F.when(_compared()("words", "head"), F.lit("")).otherwise(F.col("sha"))
     return settle(pairs.select("number", "id", "print", "bytes", "sha", kind.alias("kind")), "exact-classes")
 
@@ -147,8 +148,8 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pr
     an empty table gives no row.
     """
     rows = _numbered(docs, doc_id, text, False, primes)
-    members = _members(rows)
-    classes = _classes(members, rows.select("number", "words"))
+    members = _members(rows, _words(text, False))
+    classes = _classes(members)
     alone = rows.select("number", "id", "sha").join(members.select("number"), "number", "left_anti").select(
         F.col("id").alias("doc_id"), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256")
     )
@@ -164,7 +165,7 @@ def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Whole rows are written once, and shuffled by row number only where the rows to drop are too many to be broadcast.
     """
     rows = _numbered(docs, doc_id, text, True, primes)
-    classes = _classes(_members(rows), rows.select("number", _words(text, True).alias("words")))
+    classes = _classes(_members(rows, _words(text, True)))
     kept = _kept(classes).select(F.col("best.number").alias("kept"))
     dropped = settle(classes.join(kept, F.col("number") == F.col("kept"), "left_anti").select("number"), "exact-dropped")
     return rows.join(dropped, "number", "left_anti").select("_row.*")
