@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tidegauge.plans.streamed import quarantined
 from tidegauge.session import fresh_folder
 from tidegauge.streaming import averages_in_state, stream_tick_advice, stream_window_averages, with_watermark, write_files
 from tidegauge.streaming.sinks import fan_out_once, folder_batch
+from tidegauge.streaming.state_rows import CHUNK, CHUNKS, NO_SEQ, Ticks, packed, unpacked
 
 TICKS = "symbol string, event_time timestamp, seq bigint, close double"
 
@@ -115,3 +117,28 @@ def test_a_failure_between_two_targets_repeats_only_what_is_missing(spark):
     run(first=writer("first"), second=writer("second"))
     for path in (first, second):
         assert sorted(r.n for r in spark.read.parquet(path).collect()) == list(range(8))
+
+
+def test_chunks_hold_every_tick(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["A", "", None, "é"]), rng.randrange(50), i if i % 3 else None, rng.uniform(1, 9)) for i in range(2000)]
+    rows += [("HOT", i // 2, i, float(i)) for i in range(25_000)]
+    ticks = spark.createDataFrame(rows, "symbol string, event_time long, seq long, close double").repartition(4)
+    chunks = packed(ticks)
+    assert chunks.agg(F.max(F.octet_length("data"))).first()[0] <= 24 * CHUNK
+    assert chunks.count() <= 4 * (5 + 3)  # a chunk per symbol and task, and more of the hot one
+    found = []
+    for symbol in ("A", "", None, "é", "HOT"):
+        some = Ticks.of_chunks(chunks.filter(F.col("symbol").eqNullSafe(F.lit(symbol))).collect())
+        found += [(symbol, *row) for row in some.rows(some.close)]
+        assert list(some.micros) == sorted(some.micros)
+    assert sorted(map(str, found)) == sorted(map(str, rows))
+    assert packed(ticks.limit(0)).count() == 0
+
+
+def test_chunks_come_back_as_rows(spark):
+    ticks = Ticks(np.array([3, 1, 2]), np.array([7, NO_SEQ, 9]), np.array([1.0, 2.0, float("nan")]))
+    chunks = [(s, bytearray(c)) for s in ("A", None) for c in ticks.chunks({"x": ticks.close, "y": ticks.close * 2}, {"first_time": 1})]
+    rows = unpacked(spark.createDataFrame(chunks, CHUNKS), ["x", "y"], ["first_time", "event_time", "seq"]).collect()
+    wanted = [(s, 1, t, seq, x, x * 2) for s in ("A", None) for t, seq, x in ((1, None, 2.0), (2, 9, float("nan")), (3, 7, 1.0))]
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, wanted))

@@ -1,15 +1,92 @@
-"""The rows of one key in one micro-batch, as arrays."""
+"""The ticks of one key in one micro-batch, as arrays.
+
+A stateful operator hands Python one row after the other, and a row costs far more than folding its
+price does. So ticks go there and come back in chunks, a row each: ``packed`` gathers the ticks of a
+symbol within a task, before the shuffle, and ``unpacked`` makes rows of the chunks that a processor returns.
+"""
 
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Row
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 NO_SEQ = -(2**63)
+#: Ticks in a chunk at most, and rows made at a time.
 CHUNK = 10_000
+#: Ticks a task gathers before it hands their chunks on.
+GATHERED = 1_000_000
+TICK = np.dtype([("micros", "<i8"), ("seq", "<i8"), ("close", "<f8")])
+DATA = "data"
+CHUNKS = StructType([StructField("symbol", StringType()), StructField(DATA, BinaryType())])
+
+
+def _binaries(rows: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of ``rows`` from each start to the next, not copied."""
+    offsets = (np.append(starts, len(rows)) * rows.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(rows.view(np.uint8))])
+
+
+def _chunks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(batches)
+    symbols = pa.concat_arrays(table["symbol"].chunks).dictionary_encode("encode")
+    codes = symbols.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    ticks, codes = np.empty(len(codes), TICK), codes[order]
+    for name, column in (("micros", table["event_time"]), ("seq", pc.fill_null(table["seq"], NO_SEQ)), ("close", table["close"])):
+        ticks[name] = column.to_numpy()[order]
+    first = np.append(0, np.flatnonzero(np.diff(codes)) + 1)
+    at = np.arange(len(codes)) - np.repeat(first, np.diff(np.append(first, len(codes))))
+    starts = np.flatnonzero(at % CHUNK == 0)
+    return pa.record_batch([symbols.dictionary.take(pa.array(codes[starts])), _binaries(ticks, starts)], names=CHUNKS.names)
+
+
+def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, rows = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+        if rows >= GATHERED:
+            yield _chunks(held)
+            held, rows = [], 0
+    if held:
+        yield _chunks(held)
+
+
+def packed(ticks: DataFrame) -> DataFrame:
+    """Rows (symbol, data) from rows (symbol, event_time in microseconds, seq, close), for ``Ticks.of_chunks``.
+
+    A chunk holds at most 10,000 ticks of one symbol (or of no symbol) that one task has read. No tick is left out; an empty
+    input gives no row.
+    """
+    return ticks.select("symbol", "event_time", "seq", "close").mapInArrow(_gather, CHUNKS)
+
+
+def _fields(doubles: Sequence[str], longs: Sequence[str]) -> np.dtype:
+    return np.dtype([*[(name, "<i8") for name in longs], *[(name, "<f8") for name in doubles]])
+
+
+def unpacked(chunks: DataFrame, doubles: Sequence[str], longs: Sequence[str] = ("event_time", "seq")) -> DataFrame:
+    """Rows (symbol, longs, doubles) from the chunks that ``Ticks.chunks`` gives; a missing ``seq`` is null again."""
+    dtype = _fields(doubles, longs)
+    types = [*[StructField(name, LongType()) for name in longs], *[StructField(name, DoubleType()) for name in doubles]]
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                data = np.frombuffer(batch.column(DATA)[row].as_buffer(), dtype)
+                columns = {name: np.ascontiguousarray(data[name]) for name in dtype.names}
+                arrays = [pa.array(values, mask=values == NO_SEQ) if name == "seq" else pa.array(values) for name, values in columns.items()]
+                symbol = batch.column("symbol").take(pa.array(np.full(len(data), row)))
+                yield pa.record_batch([symbol, *arrays], names=["symbol", *dtype.names])
+
+    return chunks.mapInArrow(rows, StructType([CHUNKS["symbol"], *types]))
 
 
 class Ticks:
@@ -18,18 +95,23 @@ class Ticks:
     In the order of event time, then of the tie-breaker; a missing one is first.
     """
 
-    def __init__(self, rows: Iterator[Row]):
+    def __init__(self, times: np.ndarray, seqs: np.ndarray, closes: np.ndarray):
+        order = np.lexsort((seqs, times))
+        self.micros, self.seqs, self.close = times[order], seqs[order], closes[order]
+
+    @classmethod
+    def of_rows(cls, rows: Iterable[Row]) -> Ticks:
         times, seqs, closes = array("q"), array("q"), array("d")
         for row in rows:
             times.append(row.event_time)
             seqs.append(NO_SEQ if row.seq is None else row.seq)
             closes.append(row.close)
-        times, seqs, closes = np.frombuffer(times, np.int64), np.frombuffer(seqs, np.int64), np.frombuffer(closes)
-        order = np.lexsort((seqs, times))
-        self.micros, self.seqs, self.close = times[order], seqs[order], closes[order]
+        return cls(np.frombuffer(times, np.int64), np.frombuffer(seqs, np.int64), np.frombuffer(closes))
 
-    def last(self) -> tuple:
-        return next(self.rows(start=len(self.micros) - 1))
+    @classmethod
+    def of_chunks(cls, rows: Iterable[Row]) -> Ticks:
+        ticks = np.frombuffer(b"".join(bytes(row[DATA]) for row in rows), TICK)
+        return cls(ticks["micros"], ticks["seq"], ticks["close"])
 
     def rows(self, *more: np.ndarray, start: int = 0) -> Iterator[tuple]:
         """(event_time, seq, ...) per tick; made in chunks as they are taken."""
@@ -37,3 +119,16 @@ class Ticks:
             part = slice(at, at + CHUNK)
             for micros, seq, *values in zip(*[column[part].tolist() for column in (self.micros, self.seqs, *more)]):
                 yield micros, None if seq == NO_SEQ else seq, *values
+
+    def chunks(self, doubles: dict[str, np.ndarray], longs: dict[str, int] | None = None) -> Iterator[bytes]:
+        """The ticks with more columns, as ``unpacked`` reads them; ``longs`` are the same for all."""
+        dtype = _fields(list(doubles), [*(longs or {}), "event_time", "seq"])
+        for at in range(0, len(self.micros), CHUNK):
+            part = slice(at, at + CHUNK)
+            data = np.empty(len(self.micros[part]), dtype)
+            data["event_time"], data["seq"] = self.micros[part], self.seqs[part]
+            for name, values in doubles.items():
+                data[name] = values[part]
+            for name, value in (longs or {}).items():
+                data[name] = value
+            yield data.tobytes()

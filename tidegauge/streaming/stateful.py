@@ -4,7 +4,8 @@ State lives in the RocksDB store (``session.use_rocksdb``), partitioned by
 symbol. Within one micro-batch the ticks of a symbol are folded in the order of
 event time; across micro-batches in the order they arrive. What one task holds
 in memory is one symbol's share of one micro-batch, so bound the batch at the
-source (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``).
+source (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``). Ticks go to the state
+and come back in chunks, see ``state_rows``.
 
 State that expires (``ttl_ms``) follows the wall clock. Such a query always has
 another micro-batch to run, so it never ends by itself: start it with a
@@ -27,7 +28,7 @@ from ..functions.smoothing import advice, usable
 from ..operators.fold import Fold, Smoothing
 from ..operators.windows import duration_micros
 from ..session import use_rocksdb
-from .state_rows import Ticks
+from .state_rows import CHUNKS, Ticks, packed, unpacked
 from .windowed import stream_window_averages
 
 
@@ -75,10 +76,12 @@ class TickAverages(StatefulProcessor):
         self.smoothing = smoothing
         self.ttl_ms = ttl_ms
 
+    output = CHUNKS
+
     @property
-    def output(self) -> StructType:
-        averages = [*self.smoothing.names, *self.smoothing.names_before]
-        return _schema(longs=["event_time", "seq"], doubles=averages)
+    def averages(self) -> list[str]:
+        """The columns that ``unpacked`` makes of the chunks."""
+        return [*self.smoothing.names, *self.smoothing.names_before]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         state = _schema(symbol=False, longs=["micros"], doubles=self.smoothing.names)
@@ -102,7 +105,7 @@ class TickAverages(StatefulProcessor):
             self.handle.registerTimer(self._due(initialState.micros))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = Ticks(rows)
+        ticks = Ticks.of_chunks(rows)
         last = self.last.get()
         starts = np.zeros(len(ticks.close), dtype=bool)
         starts[0] = last is None
@@ -113,8 +116,8 @@ class TickAverages(StatefulProcessor):
         self.last.update((int(ticks.micros[-1]), *fold.states))
         if self.smoothing.expire is not None:
             self.handle.registerTimer(self._due(int(ticks.micros[-1])))
-        for values in ticks.rows(*averages, *before):
-            yield self.row(key[0], *values)
+        for chunk in ticks.chunks(dict(zip(self.averages, [*averages, *before]))):
+            yield self.row(key[0], chunk)
 
 
 class WindowsBefore(StatefulProcessor):
@@ -145,20 +148,20 @@ class WindowsBefore(StatefulProcessor):
 class FirstTime(StatefulProcessor):
     """Remembers when a symbol was first seen; the latest close is the average."""
 
-    output = _schema(longs=["first_time", "event_time", "seq"], doubles=["ema"])
+    output = CHUNKS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", _schema(symbol=False, longs=["micros"]))
         self.row = Row(*self.output.names)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = Ticks(rows)
+        ticks = Ticks.of_chunks(rows)
         first = self.first.get()
         if first is None:
             first = (int(ticks.micros[0]),)
             self.first.update(first)
-        for values in ticks.rows(ticks.close):
-            yield self.row(key[0], *first, *values)
+        for chunk in ticks.chunks({"ema": ticks.close}, {"first_time": first[0]}):
+            yield self.row(key[0], chunk)
 
 
 class Silence(StatefulProcessor):
@@ -187,7 +190,7 @@ class Silence(StatefulProcessor):
         return self.row(key[0], first, micros, seq, micros + self.timeout_ms * 1000, close)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks, known = Ticks(rows), self.last.get()
+        ticks, known = Ticks.of_rows(rows), self.last.get()
         first = int(ticks.micros[0]) if known is None else known[0]
         since = None if known is None else known[1]
         newer = 0 if since is None else int(np.searchsorted(ticks.micros, since))
@@ -213,7 +216,8 @@ def _averaged(ticks: DataFrame, smoothing: Smoothing, ttl_ms: int | None, histor
     if history is not None:
         initial = history.select("symbol", F.unix_micros("event_time").alias("micros"), *smoothing.names)
     mode = "ProcessingTime" if ttl_ms else "None" if smoothing.expire is None else "EventTime"
-    return _timed(_with_state(_plain(ticks), TickAverages(smoothing, ttl_ms), mode, initial), "event_time")
+    processor = TickAverages(smoothing, ttl_ms)
+    return _timed(unpacked(_with_state(packed(_plain(ticks)), processor, mode, initial), processor.averages), "event_time")
 
 
 def averages_in_state(spark: SparkSession, checkpoint: str, spans: Sequence[float] = (10, 100)) -> DataFrame:
@@ -296,7 +300,8 @@ def stream_window_advice(
 
 def stream_latest_per_tick(ticks: DataFrame) -> DataFrame:
     """``operators.latest_per_tick`` on a stream without a watermark."""
-    return _timed(_with_state(_plain(ticks), FirstTime()), "first_time", "event_time")
+    chunks = _with_state(packed(_plain(ticks)), FirstTime())
+    return _timed(unpacked(chunks, ["ema"], ["first_time", "event_time", "seq"]), "first_time", "event_time")
 
 
 def stream_inactive_keys(ticks: DataFrame, timeout_ms: int = 10_000) -> DataFrame:

@@ -17,9 +17,8 @@ from ..functions.smoothing import usable
 from ..operators.fold import Fold, Smoothing
 from ..operators.windows import WindowBlocks
 from ..session import use_rocksdb
-from .state_rows import Ticks
+from .state_rows import TICK, Ticks, packed
 
-TICK = np.dtype([("micros", "<i8"), ("seq", "<i8"), ("close", "<f8")])
 #: Bytes of panes that a task keeps at hand while windows that share them close.
 CACHED = 64 << 20
 
@@ -73,7 +72,7 @@ class PaneWindows(StatefulProcessor):
             self.entries.removeKey((pane,))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = Ticks(rows)
+        ticks = Ticks.of_chunks(rows)
         passed = timerValues.getCurrentWatermarkInMs()
         panes, timers = ticks.micros // self.pane, set()
         for pane in np.unique(panes).tolist():
@@ -132,7 +131,7 @@ def stream_window_averages(
     plain = ticks.filter(usable(F.col("event_time"), F.col("close"))).select(
         "symbol", F.unix_micros("event_time").alias("event_time"), "seq", "close"
     )
-    out = plain.groupBy("symbol").transformWithState(
+    out = packed(plain).groupBy("symbol").transformWithState(
         statefulProcessor=processor, outputStructType=processor.output, outputMode="append", timeMode="EventTime"
     )
     return out.withColumns({name: F.timestamp_micros(name) for name in ("window_start", "window_end")})
