@@ -157,6 +157,11 @@ def test_block_scan_is_close(spark, span):
         for symbol, prices in series.items():
             got = [v for (v,) in by_seq(result.filter(F.col("symbol") == symbol), f"ema{span}")]
             assert got == pytest.approx(plain_fold(prices, span), abs=1e-9)
+        several = block_average(frame, (10, span, 1), policy)
+        assert {*several.columns} == {*frame.columns, "ema10", f"ema{span}", "ema1"}
+        for symbol, prices in series.items():
+            rows = by_seq(several.filter(F.col("symbol") == symbol), "ema10", "ema1")
+            assert [a for a, _ in rows] == pytest.approx(plain_fold(prices, 10), abs=1e-9) and [b for _, b in rows] == prices
 
 
 def test_sliding_windows_and_their_advice(spark):

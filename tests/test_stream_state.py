@@ -2,14 +2,16 @@
 
 import json
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import START, at, plain_fold
+from tidegauge.__main__ import RejectLog
 from tidegauge.operators import last_averages, window_averages
-from tidegauge.plans.jobs import REASON, judged_sales, judged_ticks, rejected_sales, sales_rows
+from tidegauge.plans.jobs import REASON, judged_sales, judged_ticks, readable_ticks, rejected_sales, sales_rows
 from tidegauge.plans.streamed import quarantined
 from tidegauge.session import fresh_folder
 from tidegauge.streaming import averages_in_state, stream_tick_advice, stream_window_averages, with_watermark, write_files
@@ -142,3 +144,21 @@ def test_chunks_come_back_as_rows(spark):
     rows = unpacked(spark.createDataFrame(chunks, CHUNKS), ["x", "y"], ["first_time", "event_time", "seq"]).collect()
     wanted = [(s, 1, t, seq, x, x * 2) for s in ("A", None) for t, seq, x in ((1, None, 2.0), (2, 9, float("nan")), (3, 7, 1.0))]
     assert sorted(map(str, map(tuple, rows))) == sorted(map(str, wanted))
+
+
+def test_a_stream_counts_the_records_it_leaves_out(spark):
+    log = RejectLog()
+    spark.streams.addListener(log)
+    source = fresh_folder(spark, "counted")
+    texts = ['{"seller_id":"s","amount_usd":5,"sale_ts":1700000000000}', '{"foo":1}', "no json"]
+    spark.createDataFrame([(t,) for t in texts], "value string").write.parquet(source)
+    for job in (sales_rows, lambda values: readable_ticks(values.withColumn("seq", F.lit(0).cast("long")))):
+        rows = job(spark.readStream.schema("value string").parquet(source))
+        query = write_files(rows, fresh_folder(spark, "counted-out"), fresh_folder(spark, "counted-checkpoint"), once=True)
+        query.awaitTermination()
+    for _ in range(100):  # listeners are told a little later
+        if log.read == 6:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(log)
+    assert (log.read, log.rejected) == (6, 5)

@@ -7,10 +7,12 @@ JDBC target, the driver of the database.
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 
-from .plans.jobs import ADVICE_COLUMNS, SALE_COLUMNS, rejected, rejected_sales, sales_job, start_to, tick_job, window_job
+from .plans.jobs import ADVICE_COLUMNS, RECORDS, SALE_COLUMNS, rejected, rejected_sales, sales_job, start_to, tick_job, window_job
 from .session import pin_utc, ship_package, use_rocksdb
 from .sources.kafka import DEFAULT_BROKERS, DEFAULT_TOPIC, read_kafka
 from .streaming.sinks import JdbcTarget, kafka_batch, to_kafka_value, write_files, write_jdbc, write_kafka
@@ -18,6 +20,30 @@ from .streaming.sinks import JdbcTarget, kafka_batch, to_kafka_value, write_file
 JOBS = {"ticks": tick_job, "windows": window_job}
 
 
+class RejectLog(StreamingQueryListener):
+    """Warns of each micro-batch that left records out, and keeps the sums."""
+
+    def __init__(self):
+        self.read = self.rejected = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get(RECORDS)
+        if found is not None:
+            self.read += found["read"]
+            self.rejected += found["rejected"]
+            if found["rejected"]:
+                logging.warning("batch %s: %s of %s records rejected", event.progress.batchId, found["rejected"], found["read"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidegauge", description=__doc__)
     parser.add_argument("job", choices=[*JOBS, "sales"])
@@ -45,6 +71,7 @@ def main(argv: list[str] | None = None) -> None:
         start=args.start,
         max_offsets=args.max_offsets,
     )
+    spark.streams.addListener(RejectLog())
     checkpoint = f"{args.checkpoint.rstrip('/')}/{args.job}"
     if args.rejects:
         reject = rejected_sales if args.job == "sales" else rejected

@@ -2,7 +2,8 @@
 
 Each takes a frame with the text column ``value`` and the tie-breaker ``seq``,
 as the Kafka source gives it, streaming or not. Rows that cannot be decoded
-are left out here; ``rejected`` gives them for a quarantine output.
+are left out here; ``rejected`` gives them for a quarantine output. Streams count them in any
+case: each micro-batch reports, as observed metric ``RECORDS``, how many records it read and how many it left out.
 """
 
 from __future__ import annotations
@@ -25,12 +26,22 @@ ADVICE_COLUMNS = ("symbol", "timestamp", "ema10", "ema100", "advise")
 SALE_COLUMNS = tuple(AGGREGATED_SALE.names)
 
 
+RECORDS = "records"
+
+
+def _counted(records: DataFrame, reject: str) -> DataFrame:
+    """``records`` as they are; a stream's progress then tells how many were read and how many rejected."""
+    if not records.isStreaming:
+        return records
+    return records.observe(RECORDS, F.count(F.lit(1)).alias("read"), F.count(reject).alias("rejected"))
+
+
 def _decoded(values: DataFrame, unit: str, kept: tuple[str, ...] = ()) -> DataFrame:
     return decode_ticks(values, unit, seq=F.col("seq"), kept=kept)
 
 
 def readable_ticks(values: DataFrame, unit: str = "ms") -> DataFrame:
-    return _decoded(values, unit).filter(F.col(REJECT).isNull()).drop(REJECT)
+    return _counted(_decoded(values, unit), REJECT).filter(F.col(REJECT).isNull()).drop(REJECT)
 
 
 def rejected(values: DataFrame, unit: str = "ms") -> DataFrame:
@@ -101,7 +112,7 @@ def judged_sales(values: DataFrame) -> DataFrame:
 
 
 def sales_rows(values: DataFrame) -> DataFrame:
-    return judged_sales(values).filter(F.col(REASON).isNull()).select("seller_id", "amount_usd", "event_time")
+    return _counted(judged_sales(values), REASON).filter(F.col(REASON).isNull()).select("seller_id", "amount_usd", "event_time")
 
 
 def rejected_sales(values: DataFrame) -> DataFrame:

@@ -170,7 +170,7 @@ def ema_advice_flat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _block_scan(key: str, policy: SkewPolicy = SkewPolicy()) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ticks = _ticks(spark, sf_dir, key)
-        both = block_average(block_average(ticks, 10, policy), 100, policy)
+        both = block_average(ticks, (10, 100), policy)
         return both.select("symbol", "seq", F.round("ema10", 6).alias("ema10"), F.round("ema100", 6).alias("ema100"))
 
     return query
