@@ -1,5 +1,6 @@
 """Every operator on a small table of odd cases against a plain version of it."""
 
+import gzip
 import random
 import re
 import zlib
@@ -388,6 +389,11 @@ def test_quality_counts_all_trusted_rows(spark):
     assert all(abs(ratios[quality.Words([word]).buckets(0)[0]]) < 0.5 for word in ("late", "early"))
 
 
+def test_quality_filter_grows_with_the_ids():
+    assert quality._filter_bits(0) == quality._filter_bits(256) == 1 << 15
+    assert quality._filter_bits(257) == 1 << 16 and quality._filter_bits(10**12) == quality.FILTER_BITS
+
+
 def test_quality_filter_passes_every_id(spark):
     ids = spark.range(20_000).filter("id % 2 = 0").union(spark.createDataFrame([(-5,), (2**62,)], "id long"))
     passed = lambda some: some.filter(quality._may_be_in(ids)(quality._slot(F.col("id")))).count()
@@ -449,6 +455,20 @@ def test_arc_by_declared_lengths(spark, version):
     assert {r.date for r in back} == {"2001-02-03T04:05:00Z"} and len({r.record_id for r in back}) == 4
 
 
+def test_warc_files_are_cut_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 100_000)
+    rng = random.Random(9)
+    bodies = [rng.randbytes(rng.choice([0, 3000, 30_000, 300_000])) for _ in range(80)] + [b"same" * 1000] * 20
+    data = [warc.arc_header("1", "a.arc", "20010203040506")] + [warc.arc_record("1", f"http://h/{i}", "20010203040506", "text/plain", body, "a.arc", 0) for i, body in enumerate(bodies)]
+    archives = spark.createDataFrame([(bytearray(b"".join(data)),)], "content binary")
+    records = warc.converted(archives).withColumn("key", F.regexp_extract("uri", r"h/(\d+)", 1).cast("long"))
+    path = warc.write_warc(warc.with_revisits(records, "key"), "key")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect()
+    assert len(files) > 20 and all(len(gzip.decompress(bytes(f.content))) < 100_000 + 300_000 + 1500 for f in files)
+    back = {r.key: (r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in warc.read_warc(spark, path).collect()}
+    assert back == {i: ("response", None, b) if i < 80 or i == 99 else ("revisit", 99, None) for i, b in enumerate(bodies)}
+
+
 def test_warc_times():
     assert warc.iso_time("20240230000000") == "1970-01-01T00:00:00Z" and warc.iso_time("") == "1970-01-01T00:00:00Z"
 

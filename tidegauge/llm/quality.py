@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from .common import SPACED, workers_know
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 18
 #: Share of the trusted rows that may fall below the threshold, and the width in which scores are counted.
 TRUSTED_LOSS, STEP = 0.002, 0.01
-SMOOTHING = 1.0
-#: Bits of the filter that tells which texts may be trusted, in rows of ``ROW_BITS``, as many as Spark's bitmaps have.
-FILTER_BITS, ROW_BITS = 1 << 23, 1 << 15
+#: Added to each bucket: 2^15 grams in all, however many buckets.
+SMOOTHING = (1 << 15) / BUCKETS
+#: Bits a trusted id has in the filter that tells which texts may be trusted; bits of all at most (32 MB), and of a row, as many as Spark's bitmaps have.
+ID_BITS, FILTER_BITS, ROW_BITS = 128, 1 << 28, 1 << 15
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 SYMBOLS = "#*$%&|<>"
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -110,18 +111,28 @@ def _slot(id_: Column) -> Column:
     return F.pmod(F.xxhash64(id_), F.lit(FILTER_BITS))
 
 
+def _filter_bits(ids: int) -> int:
+    """A power of two, ``ID_BITS`` or more for each of so many ids, up to ``FILTER_BITS``."""
+    return min(FILTER_BITS, max(ROW_BITS, 1 << (ID_BITS * ids - 1).bit_length()))
+
+
 def _may_be_in(ids: DataFrame):
-    """Column function from a slot to whether one of ``ids`` has it. The filter has ``FILTER_BITS`` bits, whatever the table."""
-    slots = ids.select(_slot(F.col("id")).alias("slot"))
+    """Column function from a slot to whether one of ``ids`` may have it.
+
+    The filter grows with the ids, so that fewer than one other id in a hundred passes. From two million ids
+    on it stays as large as it is and passes more.
+    """
+    size = _filter_bits(ids.count())
+    slots = ids.select((_slot(F.col("id")) % size).alias("slot"))
     rows = slots.groupBy(F.floor(F.col("slot") / ROW_BITS).alias("row")).agg(F.bitmap_construct_agg(F.col("slot") % ROW_BITS).alias("bits"))
-    filled = np.zeros((FILTER_BITS // ROW_BITS, ROW_BITS // 8), dtype=np.uint8)
+    filled = np.zeros((size // ROW_BITS, ROW_BITS // 8), dtype=np.uint8)
     for row in rows.collect():
         filled[row["row"]] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
     known = ids.sparkSession.sparkContext.broadcast(filled.ravel())
 
     @F.arrow_udf("boolean")
     def may_be_in(slots: pa.Array) -> pa.Array:
-        at = slots.to_numpy(zero_copy_only=False)
+        at = slots.to_numpy(zero_copy_only=False) % size
         return pa.array((known.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
 
     return may_be_in
@@ -136,8 +147,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     trusted = rows.filter(_may_be_in(ids)(_slot(F.col("id")))).join(ids, "id", "left_semi")
     for side, some in enumerate((trusted, rows)):
         sums = some.select("text").mapInArrow(_counted(), "bucket long, found long").groupBy("bucket").agg(F.sum("found").alias("found"))
-        for row in sums.collect():  # at most BUCKETS rows
-            counts[side, row["bucket"]] += row["found"]
+        found = sums.toArrow()  # at most BUCKETS rows
+        counts[side, found["bucket"].to_numpy()] += found["found"].to_numpy()
     return np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
 
 

@@ -18,8 +18,9 @@ from collections.abc import Iterator
 from datetime import datetime
 from typing import BinaryIO
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import fresh_folder
@@ -31,6 +32,8 @@ FIELDS = {
     "2": ("url", "ip", "date", "type", "result", "checksum", "location", "offset", "filename", "length"),
 }
 ARCHIVE_BYTES, RECORDS_PER_FILE, REVISIT_BYTES = 8_000_000, 2000, 1000
+#: A task begins a new WARC file after so many bytes, so one that is read again fits a task.
+FILE_BYTES, HEADER_BYTES = 64_000_000, 600
 END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 RECORD = "uri string, date string, type string, record_id string, payload_digest string, payload_sha1 string, payload_bytes long, payload binary"
@@ -159,8 +162,8 @@ def with_revisits(records: DataFrame, key: str) -> DataFrame:
     return joined.select(*records.columns, kinds, F.when(again, F.col(f"_top.{key}")).alias("refers_to"), F.when(again, F.col("_top.record_id")).alias("refers_id"))
 
 
-def warc_text(records: DataFrame, key: str) -> DataFrame:
-    """One WARC record a row: its header and, for responses, its payload, byte for byte."""
+def warc_text(records: DataFrame, key: str, *more: Column) -> DataFrame:
+    """One WARC record a row (``value``): its header and, for responses, its payload, byte for byte."""
     revisit = F.col("record_type") == "revisit"
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload").cast("string"))
     shown = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("-"))
@@ -177,17 +180,36 @@ def warc_text(records: DataFrame, key: str) -> DataFrame:
         "Content-Type: ", F.col("type"),
         "\r\nContent-Length: ", F.octet_length(body).cast("string"), "\r\n\r\n", body,
     ]
-    return records.select(F.concat(*[F.lit(x) if isinstance(x, str) else x for x in head]).alias("value"))
+    return records.select(F.concat(*[F.lit(x) if isinstance(x, str) else x for x in head]).alias("value"), *more)
+
+
+def _file(size: int):
+    """Column function from the bytes of a record to the number of its task's file that it begins in."""
+
+    @F.arrow_udf("long")
+    def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        before = 0
+        for batch in batches:
+            sizes = batch.to_numpy(zero_copy_only=False)
+            ends = before + np.cumsum(sizes)
+            yield pa.array((ends - sizes) // size)
+            before = int(ends[-1]) if len(ends) else before
+
+    return number.asNondeterministic()
 
 
 def write_warc(records: DataFrame, key: str) -> str:
     """Writes the records as gzipped WARC files to the shared folder and returns its path.
 
     What ends a record is the writer's line separator, so Spark's own writer and its
-    commits do the work. A file has at most ``RECORDS_PER_FILE`` records.
+    commits do the work. A task fills files of about ``FILE_BYTES`` before compression, one
+    record more at most, and of ``RECORDS_PER_FILE`` records; the n-th ones of all tasks are in folder ``file=n``.
     """
     path = fresh_folder(records.sparkSession, "warc")
-    writer = warc_text(records, key).write.option("lineSep", END.decode()).option("compression", "gzip")
+    stored = F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("payload_bytes")) + HEADER_BYTES
+    numbered = workers_know(records).withColumn("_file", _file(FILE_BYTES)(stored.cast("long")))
+    texts = warc_text(numbered, key, F.col("_file").alias("file"))
+    writer = texts.write.partitionBy("file").option("lineSep", END.decode()).option("compression", "gzip")
     writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
     return path
 
@@ -214,7 +236,7 @@ READ = "key long, record_type string, record_id string, uri string, date string,
 def read_warc(spark, path: str, payload: bool = True) -> DataFrame:
     """The records of gzipped WARC files. Digest and length of a response are those of the block read.
 
-    A revisit has those that its header tells. Files are unzipped record by record.
+    A revisit has those that its header tells. Files are unzipped record by record. A folder without files gives no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
