@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import cases
@@ -48,3 +49,39 @@ def test_stages(spark, tmp_path):
         ids = np.array([*plain.encode(words or "", add_special_tokens=False).ids, 1], dtype="<u4")
         assert any(r.doc_id == doc_id and r.doc_tokens == len(ids) and zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in pieces)
     assert corpus_pipeline.run(spark, str(tmp_path)).agg(F.sum("length")).first()[0] == sum(r.length for r in pieces)
+
+
+ODD = ("score", "_row", "number", "print", "bytes", "root", "ids", "file", "part", "label", "kept", "keep_id")
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_odd_rows_and_columns(spark, tmp_path, rows):
+    """Nulls in every column, empty and long texts, repeated rows, columns of clashing names, no labels; and no rows at all."""
+    rng = random.Random(8)
+    long = cases.prose(rng, 30_000)
+    some = [(None, None), (None, ""), (1, ""), (2, " \t\n"), (3, long), (4, long.upper()), (5, long + " and one word more"), (6, "a b c"), (6, "a b c"), (7, "x"), (None, "no id"), (8, cases.prose(rng, 40))]
+    docs = cases.documents(spark, some if rows == "odd" else [])
+    docs = docs.withColumns({name: F.lit(f"own {name}") for name in ODD} | {"lang": F.lit(None).cast("string")})
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+
+    found, current = {}, spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, current, str(tmp_path))
+        if name != "packing":
+            assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        found[name] = current = spark.read.parquet(str(tmp_path / name))
+        if name != "packing" and rows == "odd":
+            assert all(current.filter(F.col(f"`{own}`") != f"own {own}").isEmpty() for own in ODD)
+    if rows == "none":
+        assert all(df.isEmpty() for df in found.values())
+        return
+    ids = {name: sorted((r.doc_id or 0 for r in df.select("doc_id").collect())) for name, df in found.items() if name != "packing"}
+    assert ids["toxicity"] == sorted(d or 0 for d, _ in some)  # nothing to learn from
+    assert ids["exact_dedup"] == [0, 1, 2, 4, 5, 6, 7, 8]  # empty and null texts are equal, as are long texts but for case
+    # Texts without words are near copies of each other, and so are the two long ones.
+    assert ids["simhash_dedup"] == ids["pii"] == [0, 1, 4, 6, 7, 8]
+    whole = {r.doc_id or 0: r for r in found["packing"].groupBy("doc_id").agg(F.sum("length").alias("length"), F.max("doc_tokens").alias("tokens")).collect()}
+    assert sorted(whole) == ids["pii"] and all(r.length == r.tokens for r in whole.values()) and whole[1].tokens == 1
