@@ -16,7 +16,7 @@ from tidegauge.plans.streamed import quarantined
 from tidegauge.session import fresh_folder
 from tidegauge.streaming import averages_in_state, stream_tick_advice, stream_window_averages, with_watermark, write_files
 from tidegauge.streaming.sinks import fan_out_once, folder_batch
-from tidegauge.streaming.state_rows import CHUNK, CHUNKS, NO_SEQ, Ticks, packed, unpacked
+from tidegauge.streaming.state_rows import BUCKET, CHUNK, CHUNKS, DATA, DEALT, NO_SEQ, RUNS, TICK, Ticks, dealt, packed, read_chunks, unpacked
 
 TICKS = "symbol string, event_time timestamp, seq bigint, close double"
 
@@ -61,6 +61,16 @@ def test_state_holds_each_tick_once(spark):
     assert data.agg(F.sum(F.octet_length("user_map_value.data"))).first()[0] == 24 * len(rows)
 
 
+def test_windows_of_many_symbols_share_state(spark):
+    rows = [(f"s{i}" if i else None, at(t + i % 7), i, float(i % 13 + t)) for i in range(1000) for t in (0, 45)] + [("END", at(5000), 1, 1.0)]
+    windows = lambda t: stream_window_averages(with_watermark(t, "2 hours"), "60 seconds", "30 seconds")
+    _, checkpoint = fed(spark, [rows], windows, "bucket-state")
+    assert spark.read.format("statestore").option("stateVarName", "entries").load(checkpoint).count() <= 3 * DEALT  # of 2,001 symbols and panes
+    found, _ = fed(spark, [rows], lambda t: stream_window_averages(with_watermark(t), "60 seconds", "30 seconds"), "bucket-windows")
+    whole = window_averages(spark.createDataFrame(rows, TICKS), "60 seconds", "30 seconds")
+    assert by_window(found) == by_window(whole.filter("symbol IS NULL OR symbol <> 'END'"))
+
+
 def test_state_after_two_starts_and_a_start_from_history(spark):
     rows = [(s, at(i), i, float(i * k % 7)) for i in range(60) for k, s in ((3, "A"), (5, None))] + [("C", at(70), 1, 4.0)]
     early, late = [r for r in rows if r[1] < at(30)], [r for r in rows if r[1] >= at(30)]
@@ -138,6 +148,23 @@ def test_chunks_hold_every_tick(spark):
     assert packed(ticks.limit(0)).count() == 0
 
 
+def test_buckets_hold_every_tick(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["A", "", None, "é"]), rng.randrange(50), i if i % 3 else None, rng.uniform(1, 9)) for i in range(2000)]
+    rows += [("HOT", i // 2, i, float(i)) for i in range(25_000)]
+    ticks = spark.createDataFrame(rows, "symbol string, event_time long, seq long, close double").repartition(4)
+    chunks = dealt(ticks).collect()
+    assert max(len(c[DATA]) for c in chunks) <= TICK.itemsize * CHUNK
+    found, of = [], {}
+    for c in chunks:
+        symbols, codes, some = read_chunks([(c[RUNS], c[DATA])])
+        names = [symbols[code].as_py() for code in codes]
+        assert all(of.setdefault(name, c[BUCKET]) == c[BUCKET] for name in names)
+        found += [(name, t, None if seq == NO_SEQ else seq, close) for name, (t, seq, close) in zip(names, some.tolist())]
+    assert sorted(map(str, found)) == sorted(map(str, rows))
+    assert dealt(ticks.limit(0)).count() == 0
+
+
 def test_chunks_come_back_as_rows(spark):
     ticks = Ticks(np.array([3, 1, 2]), np.array([7, NO_SEQ, 9]), np.array([1.0, 2.0, float("nan")]))
     chunks = [(s, bytearray(c)) for s in ("A", None) for c in ticks.chunks({"x": ticks.close, "y": ticks.close * 2}, {"first_time": 1})]

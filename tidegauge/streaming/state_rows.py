@@ -3,18 +3,21 @@
 A stateful operator hands Python one row after the other, and a row costs far more than folding its
 price does. So ticks go there and come back in chunks, a row each: ``packed`` gathers the ticks of a
 symbol within a task, before the shuffle, and ``unpacked`` makes rows of the chunks that a processor returns.
+Where state need not be looked up by symbol, ``dealt`` gathers those of a bucket of symbols, since a key costs
+more than a chunk.
 """
 
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
-from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 NO_SEQ = -(2**63)
 #: Ticks in a chunk at most, and rows made at a time.
@@ -24,6 +27,12 @@ GATHERED = 1_000_000
 TICK = np.dtype([("micros", "<i8"), ("seq", "<i8"), ("close", "<f8")])
 DATA = "data"
 CHUNKS = StructType([StructField("symbol", StringType()), StructField(DATA, BinaryType())])
+#: Buckets that symbols are dealt to by hash.
+DEALT = 200
+BUCKET, RUNS = "bucket", "runs"
+BUCKETS = StructType([StructField(BUCKET, IntegerType()), StructField(RUNS, BinaryType()), StructField(DATA, BinaryType())])
+#: The symbols of a chunk in order, and how many ticks each has.
+RUN = pa.schema([("symbol", pa.string()), ("ticks", pa.int64())])
 
 
 def _binaries(rows: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -32,31 +41,72 @@ def _binaries(rows: np.ndarray, starts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(rows.view(np.uint8))])
 
 
+def _ticks(table: pa.Table, order: np.ndarray) -> np.ndarray:
+    ticks = np.empty(len(order), TICK)
+    for name, column in (("micros", table["event_time"]), ("seq", pc.fill_null(table["seq"], NO_SEQ)), ("close", table["close"])):
+        ticks[name] = column.to_numpy()[order]
+    return ticks
+
+
+def _cuts(keys: np.ndarray) -> np.ndarray:
+    """Where chunks begin: at each new key, and after ``CHUNK`` ticks of one."""
+    first = np.append(0, np.flatnonzero(np.diff(keys)) + 1)
+    at = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
+    return np.flatnonzero(at % CHUNK == 0)
+
+
 def _chunks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     table = pa.Table.from_batches(batches)
     symbols = pa.concat_arrays(table["symbol"].chunks).dictionary_encode("encode")
     codes = symbols.indices.to_numpy()
     order = np.argsort(codes, kind="stable")
-    ticks, codes = np.empty(len(codes), TICK), codes[order]
-    for name, column in (("micros", table["event_time"]), ("seq", pc.fill_null(table["seq"], NO_SEQ)), ("close", table["close"])):
-        ticks[name] = column.to_numpy()[order]
-    first = np.append(0, np.flatnonzero(np.diff(codes)) + 1)
-    at = np.arange(len(codes)) - np.repeat(first, np.diff(np.append(first, len(codes))))
-    starts = np.flatnonzero(at % CHUNK == 0)
+    ticks, codes = _ticks(table, order), codes[order]
+    starts = _cuts(codes)
     return pa.record_batch([symbols.dictionary.take(pa.array(codes[starts])), _binaries(ticks, starts)], names=CHUNKS.names)
 
 
-def _gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, rows = [], 0
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            rows += batch.num_rows
-        if rows >= GATHERED:
-            yield _chunks(held)
-            held, rows = [], 0
-    if held:
-        yield _chunks(held)
+def _bucket_chunks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(batches)
+    symbols = pa.concat_arrays(table["symbol"].chunks).dictionary_encode("encode")
+    codes, buckets = symbols.indices.to_numpy(), table[BUCKET].to_numpy()
+    order = np.lexsort((codes, buckets))
+    ticks, codes, buckets = _ticks(table, order), codes[order], buckets[order]
+    starts = _cuts(buckets)
+    runs = [runs_of(symbols.dictionary, codes[a:b]) for a, b in zip(starts, np.append(starts[1:], len(codes)))]
+    return pa.record_batch([pa.array(buckets[starts]), pa.array(runs, pa.binary()), _binaries(ticks, starts)], names=BUCKETS.names)
+
+
+def runs_of(symbols: pa.Array, codes: np.ndarray) -> bytes:
+    """Which symbols a chunk holds, from the number of each tick's symbol; those of a symbol are next to each other."""
+    first = np.append(0, np.flatnonzero(np.diff(codes)) + 1)
+    counts = np.diff(np.append(first, len(codes)))
+    return pa.record_batch([symbols.take(pa.array(codes[first])), pa.array(counts)], schema=RUN).serialize().to_pybytes()
+
+
+def read_chunks(chunks: Sequence[tuple[bytes, bytes]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Symbols, the number of each tick's symbol, and ticks, from one or more (runs, data)."""
+    runs = [pa.ipc.read_record_batch(pa.py_buffer(bytes(run)), RUN) for run, _ in chunks]
+    symbols = pa.concat_arrays([run["symbol"] for run in runs]).dictionary_encode("encode")
+    codes = np.repeat(symbols.indices.to_numpy(), np.concatenate([run["ticks"].to_numpy() for run in runs]))
+    return symbols.dictionary, codes, np.frombuffer(b"".join(bytes(data) for _, data in chunks), TICK)
+
+
+def _gather(chunks: Callable[[list[pa.RecordBatch]], pa.RecordBatch]):
+    """Task function: about ``GATHERED`` rows at a time to chunks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+            if rows >= GATHERED:
+                yield chunks(held)
+                held, rows = [], 0
+        if held:
+            yield chunks(held)
+
+    return run
 
 
 def packed(ticks: DataFrame) -> DataFrame:
@@ -65,7 +115,17 @@ def packed(ticks: DataFrame) -> DataFrame:
     A chunk holds at most 10,000 ticks of one symbol (or of no symbol) that one task has read. No tick is left out; an empty
     input gives no row.
     """
-    return ticks.select("symbol", "event_time", "seq", "close").mapInArrow(_gather, CHUNKS)
+    return ticks.select("symbol", "event_time", "seq", "close").mapInArrow(_gather(_chunks), CHUNKS)
+
+
+def dealt(ticks: DataFrame) -> DataFrame:
+    """Rows (bucket, runs, data) from the rows that ``packed`` takes, for ``read_chunks``.
+
+    A chunk holds at most 10,000 ticks of the symbols of one bucket that one task has read. No tick is left out; an
+    empty input gives no row.
+    """
+    bucket = F.pmod(F.xxhash64("symbol"), F.lit(DEALT)).cast("int").alias(BUCKET)
+    return ticks.select("symbol", "event_time", "seq", "close", bucket).mapInArrow(_gather(_bucket_chunks), BUCKETS)
 
 
 def _fields(doubles: Sequence[str], longs: Sequence[str]) -> np.dtype:

@@ -8,7 +8,9 @@ from math import gcd
 from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
@@ -17,19 +19,22 @@ from ..functions.smoothing import usable
 from ..operators.fold import Fold, Smoothing
 from ..operators.windows import WindowBlocks
 from ..session import use_rocksdb
-from .state_rows import TICK, Ticks, packed
+from .state_rows import BUCKET, DATA, RUNS, dealt, read_chunks, runs_of
 
 #: Bytes of panes that a task keeps at hand while windows that share them close.
 CACHED = 64 << 20
+#: Ticks that a task takes in before it puts them into their panes; ticks folded at once.
+HELD, AT_ONCE = 500_000, 100_000
 
 
 class PaneWindows(StatefulProcessor):
     """Averages of sliding windows over panes, the stretches between two window starts.
 
-    State holds each tick once, 24 bytes, in the pane it falls in, however many windows
-    overlap there; a pane is as wide as the greatest stretch that divides size and slide. A micro-batch adds one entry to each pane it has ticks for and rewrites none.
-    A window has a timer at its end; when the watermark passes it, the window's panes are read, put in
-    order and folded, and the pane that no later window needs is dropped.
+    The key is a bucket of symbols, so that state is read and written per bucket and not per symbol. State holds
+    each tick once, 24 bytes, in the pane it falls in, however many windows
+    overlap there; a pane is as wide as the greatest stretch that divides size and slide. A micro-batch adds an entry to each pane
+    per ``HELD`` ticks and rewrites none. A window has a timer at its end; when the watermark passes it, the window's panes are read, put in
+    order by symbol and folded, and the pane that no later window needs is dropped.
     """
 
     def __init__(self, smoothing: Smoothing, size: int, slide: int):
@@ -47,21 +52,21 @@ class PaneWindows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         pane, number = StructField("pane", LongType()), StructField("number", LongType())
+        chunk = StructType([StructField(RUNS, BinaryType()), StructField(DATA, BinaryType())])
         self.handle = handle
         self.entries = handle.getMapState("entries", StructType([pane]), StructType([number]))
-        self.ticks = handle.getMapState("ticks", StructType([pane, number]), StructType([StructField("data", BinaryType())]))
-        self.row = Row(*self.output.names)
-        self.cache: dict[tuple, np.ndarray] = {}
+        self.ticks = handle.getMapState("ticks", StructType([pane, number]), chunk)
+        self.cache: dict[tuple, list] = {}
         self.cached = 0
 
-    def _read(self, key: Any, pane: int) -> np.ndarray:
+    def _read(self, key: Any, pane: int) -> list[tuple[bytes, bytes]]:
         if (key[0], pane) not in self.cache:
             numbers = range(self.entries.getValue((pane,))[0]) if self.entries.containsKey((pane,)) else ()
-            parts = [np.frombuffer(bytes(self.ticks.getValue((pane, n))[0]), TICK) for n in numbers]
+            chunks = [tuple(map(bytes, self.ticks.getValue((pane, n)))) for n in numbers]
             if self.cached > CACHED:
                 self.cache, self.cached = {}, 0
-            self.cache[key[0], pane] = np.concatenate([np.empty(0, TICK), *parts])
-            self.cached += self.cache[key[0], pane].nbytes + 200
+            self.cache[key[0], pane] = chunks
+            self.cached += sum(len(runs) + len(data) for runs, data in chunks) + 200
         return self.cache[key[0], pane]
 
     def _drop(self, key: Any, pane: int) -> None:
@@ -71,22 +76,36 @@ class PaneWindows(StatefulProcessor):
                 self.ticks.removeKey((pane, n))
             self.entries.removeKey((pane,))
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = Ticks.of_chunks(rows)
-        passed = timerValues.getCurrentWatermarkInMs()
-        panes, timers = ticks.micros // self.pane, set()
-        for pane in np.unique(panes).tolist():
+    def _keep(self, key: Any, chunks: list[tuple[bytes, bytes]], passed: int) -> set[int]:
+        """Puts ticks into their panes; the timers of the windows that are open for them."""
+        symbols, codes, ticks = read_chunks(chunks)
+        panes, timers = ticks["micros"] // self.pane, set()
+        order = np.lexsort((codes, panes))
+        codes, ticks, panes = codes[order], ticks[order], panes[order]
+        first = np.append(0, np.flatnonzero(np.diff(panes)) + 1)
+        for pane, a, b in zip(panes[first].tolist(), first, np.append(first[1:], len(panes))):
             ends = [end for end in self._ends(pane) if self._due(end) >= passed]
             if not ends:
                 continue  # late for all of its windows
-            some = panes == pane
-            packed = np.empty(int(some.sum()), TICK)
-            packed["micros"], packed["seq"], packed["close"] = ticks.micros[some], ticks.seqs[some], ticks.close[some]
             number = self.entries.getValue((pane,))[0] if self.entries.containsKey((pane,)) else 0
-            self.ticks.updateValue((pane, number), (packed.tobytes(),))
+            self.ticks.updateValue((pane, number), (runs_of(symbols, codes[a:b]), ticks[a:b].tobytes()))
             self.entries.updateValue((pane,), (number + 1,))
             self.cache.pop((key[0], pane), None)
             timers.update(map(self._due, ends))
+        return timers
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        passed, timers = timerValues.getCurrentWatermarkInMs(), set()
+        held, size = [], 0
+        for frame in rows:
+            for chunk in zip(frame[RUNS], frame[DATA]):
+                held.append(chunk)
+                size += len(chunk[1]) // 24
+                if size >= HELD:
+                    timers |= self._keep(key, held, passed)
+                    held, size = [], 0
+        if held:
+            timers |= self._keep(key, held, passed)
         for due in timers:
             self.handle.registerTimer(due)
         return iter(())
@@ -96,21 +115,32 @@ class PaneWindows(StatefulProcessor):
         """The timer of a window, in ms; it fires when the watermark is later."""
         return end // 1000 - 1
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         end = (expiredTimerInfo.getExpiryTimeInMs() + 1) * 1000
         start = end - self.size
-        parts = [self._read(key, pane) for pane in range(start // self.pane, end // self.pane)]
+        chunks = [chunk for pane in range(start // self.pane, end // self.pane) for chunk in self._read(key, pane)]
         for pane in range(start // self.pane, -(-(start + self.slide) // self.pane)):
             if pane * self.pane < end:
                 self._drop(key, pane)  # this was its last window
-        ticks = np.concatenate(parts)
-        if len(ticks):
-            ticks = ticks[np.lexsort((ticks["seq"], ticks["micros"]))]
-            starts = np.zeros(len(ticks), dtype=bool)
-            starts[0] = True
-            fold = Fold(self.smoothing, ["symbol"])
-            fold.advance(np.ascontiguousarray(ticks["close"]), None, starts, {})
-            yield self.row(key[0], start, end, *fold.states)
+        if chunks:
+            symbols, averages = self._folded(chunks)
+            window = {"symbol": symbols.to_pylist(), "window_start": start, "window_end": end}
+            yield pd.DataFrame(window | dict(zip(self.smoothing.names, averages)))
+
+    def _folded(self, chunks: list[tuple[bytes, bytes]]) -> tuple[pa.Array, list[np.ndarray]]:
+        """Each symbol of a window and its averages after the last tick."""
+        symbols, codes, ticks = read_chunks(chunks)
+        order = np.lexsort((ticks["seq"], ticks["micros"], codes))
+        codes, close = codes[order], ticks["close"][order]
+        starts = np.diff(codes, prepend=-1) != 0
+        ends = np.append(np.flatnonzero(starts[1:]), len(codes) - 1)
+        fold, found = Fold(self.smoothing, ["symbol"]), []
+        for at in range(0, len(codes), AT_ONCE):
+            part = slice(at, at + AT_ONCE)
+            averages, _ = fold.advance(close[part], None, starts[part], {})
+            some = ends[(ends >= at) & (ends < at + AT_ONCE)] - at
+            found.append([values[some] for values in averages])
+        return symbols.take(pa.array(codes[ends])), [np.concatenate(parts) for parts in zip(*found)]
 
 
 def stream_window_averages(
@@ -119,8 +149,8 @@ def stream_window_averages(
     """The averages of each closed (symbol, window) of a stream with a watermark.
 
     Rows may come in any order until a window closes and are folded in the order of event time; a row
-    late for one window still counts in those open. State is the ticks of the open windows of a
-    symbol, each once. What one task holds in memory is one window of one symbol.
+    late for one window still counts in those open. State is the ticks of the open windows, each
+    once. What one task holds in memory is one window of one bucket of symbols, of which there are ``DEALT``.
     """
     windows = WindowBlocks.of(size, slide)
     if windows.size % 1000 or windows.slide % 1000:
@@ -131,7 +161,7 @@ def stream_window_averages(
     plain = ticks.filter(usable(F.col("event_time"), F.col("close"))).select(
         "symbol", F.unix_micros("event_time").alias("event_time"), "seq", "close"
     )
-    out = packed(plain).groupBy("symbol").transformWithState(
+    out = dealt(plain).groupBy(BUCKET).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.output, outputMode="append", timeMode="EventTime"
     )
     return out.withColumns({name: F.timestamp_micros(name) for name in ("window_start", "window_end")})
