@@ -11,6 +11,7 @@ from tidegauge.operators import SkewPolicy, tick_advice, window_drawdown
 from tidegauge.session import fresh_folder
 from tidegauge.streaming import compacted, judged_lateness, stream_tick_advice, stream_window_changes, with_watermark
 from tidegauge.streaming.sinks import folder_batch, split_by
+from tidegauge.streaming.state_rows import DEALT
 
 
 def walk(rng, n, symbols=("A", "B", None)):
@@ -95,6 +96,20 @@ def test_changes_add_up_in_any_slicing(spark):
     assert found.filter("change = 'retract'").count() > 0
 
 
+def test_sums_of_many_keys_share_state(spark):
+    rows = [(f"s{i}" if i else None, at(60 * t + i % 50), i, float(i + t)) for i in range(1000) for t in range(3)]
+    late = [("s1", at(7), 1, 5.0), ("s1", at(130), 1, 5.0), ("END", at(50_000), 1, 1.0)]  # the watermark is at 109
+    changes = lambda t: stream_window_changes(with_watermark(t, "1 minute"), "symbol", "close")
+    found, checkpoint = fed(spark, [rows, late], changes, "many-keys")
+    state = spark.read.format("statestore").option("stateVarName", "sums")
+    assert DEALT // 2 < state.option("batchId", 0).load(checkpoint).count() <= 2 * DEALT  # of 3,000 sums
+    assert spark.read.format("statestore").option("stateVarName", "sums").load(checkpoint).count() == 1  # the last row's
+    table = compacted(found, ["symbol", "window_start"]).filter("symbol IS NULL OR symbol <> 'END'")
+    sums = {(r.symbol, (int(r.window_start.timestamp()) - int(START.timestamp())) // 60): r.close for r in table.collect()}
+    wanted = {(s, int((time - START).total_seconds()) // 60): int(close) for s, time, _, close in rows}
+    assert sums == wanted | {("s1", 2): 3 + 5}
+
+
 def test_largest_fall_within_windows(spark):
     rng = random.Random(4)
     rows = [(rng.choice(["A", "B", None]), at(rng.uniform(0, 600)), i, rng.uniform(1, 9)) for i in range(500)]

@@ -48,7 +48,7 @@ def _ticks(table: pa.Table, order: np.ndarray) -> np.ndarray:
     return ticks
 
 
-def _cuts(keys: np.ndarray) -> np.ndarray:
+def cuts(keys: np.ndarray) -> np.ndarray:
     """Where chunks begin: at each new key, and after ``CHUNK`` ticks of one."""
     first = np.append(0, np.flatnonzero(np.diff(keys)) + 1)
     at = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
@@ -61,7 +61,7 @@ def _chunks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     codes = symbols.indices.to_numpy()
     order = np.argsort(codes, kind="stable")
     ticks, codes = _ticks(table, order), codes[order]
-    starts = _cuts(codes)
+    starts = cuts(codes)
     return pa.record_batch([symbols.dictionary.take(pa.array(codes[starts])), _binaries(ticks, starts)], names=CHUNKS.names)
 
 
@@ -71,7 +71,7 @@ def _bucket_chunks(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     codes, buckets = symbols.indices.to_numpy(), table[BUCKET].to_numpy()
     order = np.lexsort((codes, buckets))
     ticks, codes, buckets = _ticks(table, order), codes[order], buckets[order]
-    starts = _cuts(buckets)
+    starts = cuts(buckets)
     runs = [runs_of(symbols.dictionary, codes[a:b]) for a, b in zip(starts, np.append(starts[1:], len(codes)))]
     return pa.record_batch([pa.array(buckets[starts]), pa.array(runs, pa.binary()), _binaries(ticks, starts)], names=BUCKETS.names)
 
@@ -91,7 +91,7 @@ def read_chunks(chunks: Sequence[tuple[bytes, bytes]]) -> tuple[pa.Array, np.nda
     return symbols.dictionary, codes, np.frombuffer(b"".join(bytes(data) for _, data in chunks), TICK)
 
 
-def _gather(chunks: Callable[[list[pa.RecordBatch]], pa.RecordBatch]):
+def gathered(chunks: Callable[[list[pa.RecordBatch]], pa.RecordBatch]):
     """Task function: about ``GATHERED`` rows at a time to chunks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +115,7 @@ def packed(ticks: DataFrame) -> DataFrame:
     A chunk holds at most 10,000 ticks of one symbol (or of no symbol) that one task has read. No tick is left out; an empty
     input gives no row.
     """
-    return ticks.select("symbol", "event_time", "seq", "close").mapInArrow(_gather(_chunks), CHUNKS)
+    return ticks.select("symbol", "event_time", "seq", "close").mapInArrow(gathered(_chunks), CHUNKS)
 
 
 def dealt(ticks: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def dealt(ticks: DataFrame) -> DataFrame:
     empty input gives no row.
     """
     bucket = F.pmod(F.xxhash64("symbol"), F.lit(DEALT)).cast("int").alias(BUCKET)
-    return ticks.select("symbol", "event_time", "seq", "close", bucket).mapInArrow(_gather(_bucket_chunks), BUCKETS)
+    return ticks.select("symbol", "event_time", "seq", "close", bucket).mapInArrow(gathered(_bucket_chunks), BUCKETS)
 
 
 def _fields(doubles: Sequence[str], longs: Sequence[str]) -> np.dtype:
