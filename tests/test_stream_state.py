@@ -5,18 +5,19 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import START, at, plain_fold
 from tidegauge.__main__ import RejectLog
-from tidegauge.operators import last_averages, window_averages
+from tidegauge.operators import last_averages, tick_advice, window_averages
 from tidegauge.plans.jobs import REASON, judged_sales, judged_ticks, readable_ticks, rejected_sales, sales_rows
 from tidegauge.plans.streamed import quarantined
 from tidegauge.session import fresh_folder
-from tidegauge.streaming import averages_in_state, stream_tick_advice, stream_window_averages, with_watermark, write_files
+from tidegauge.streaming import averages_in_state, state_rows, stream_tick_advice, stream_window_averages, with_watermark, write_files
 from tidegauge.streaming.sinks import fan_out_once, folder_batch
-from tidegauge.streaming.state_rows import BUCKET, CHUNK, CHUNKS, DATA, DEALT, NO_SEQ, RUNS, TICK, Ticks, dealt, packed, read_chunks, unpacked
+from tidegauge.streaming.state_rows import BUCKET, CHUNK, CHUNKS, DATA, DEALT, NO_SEQ, RUNS, TICK, Ticks, dealt, in_order, packed, read_chunks, unpacked
 
 TICKS = "symbol string, event_time timestamp, seq bigint, close double"
 
@@ -165,6 +166,39 @@ def test_buckets_hold_every_tick(spark):
     assert dealt(ticks.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread, at_once", [(10_000, 500), (3, 500), (1, 64), (10_000, 100_000)])
+def test_ticks_of_a_hot_symbol_are_put_in_order_piece_by_piece(monkeypatch, spread, at_once):
+    monkeypatch.setattr(state_rows, "SORTED", at_once)
+    monkeypatch.setattr(state_rows, "SAMPLED", 16)
+    rng = np.random.default_rng(7)
+    ticks = np.empty(5003, TICK)
+    ticks["micros"], ticks["seq"], ticks["close"] = rng.integers(-spread, spread, 5003), rng.permutation(5003), np.arange(5003)
+    ticks["seq"][::11] = NO_SEQ
+    frames = [pd.DataFrame({DATA: [part.tobytes() for part in np.array_split(some, 9)]}) for some in np.array_split(ticks, 5)]
+    pieces = list(in_order(iter(frames)))
+    found = [(m, s) for piece in pieces for m, s in zip(piece.micros.tolist(), piece.seqs.tolist())]
+    assert found == sorted(zip(ticks["micros"].tolist(), ticks["seq"].tolist()))
+    assert sorted(c for piece in pieces for c in piece.close.tolist()) == ticks["close"].tolist()
+    untied = max(np.unique(ticks[["micros", "seq"]], return_counts=True)[1])  # equal ones are not parted
+    assert max(len(piece.close) for piece in pieces) <= 2 * at_once + 16 * len(frames) * 45 + untied
+    assert list(in_order([])) == []
+
+
+def test_a_hot_symbol_is_averaged_piece_by_piece(spark):
+    n = 2 * state_rows.SORTED + 10
+    ticks = spark.range(0, n, 1, 4).select(
+        F.when(F.col("id") % 50_000 == 0, "B").otherwise("A").alias("symbol"), F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 7919 % n * 1000).alias("event_time"),
+        F.col("id").alias("seq"), (F.col("id") * 31 % 97).cast("double").alias("close"),
+    )
+    source, path, checkpoint = (fresh_folder(spark, f"hot-{x}") for x in ("source", "out", "checkpoint"))
+    ticks.write.parquet(source)
+    rows = stream_tick_advice(spark.readStream.schema(TICKS).parquet(source))
+    write_files(rows, path, checkpoint, once=True).awaitTermination()
+    found, whole = spark.read.parquet(path), tick_advice(ticks)
+    assert found.count() == n
+    assert found.exceptAll(whole.select(*found.columns)).count() == 0
+
+
 def test_chunks_come_back_as_rows(spark):
     ticks = Ticks(np.array([3, 1, 2]), np.array([7, NO_SEQ, 9]), np.array([1.0, 2.0, float("nan")]))
     chunks = [(s, bytearray(c)) for s in ("A", None) for c in ticks.chunks({"x": ticks.close, "y": ticks.close * 2}, {"first_time": 1})]

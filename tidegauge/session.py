@@ -9,6 +9,8 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+#: Bytes of a batch that a stateful operator hands to Python, which holds it more than once.
+STATE_BATCH = 16 << 20
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -62,10 +64,11 @@ def use_rocksdb(spark: SparkSession) -> SparkSession:
     """Keep streaming state on disk instead of on the executor heap.
 
     A micro-batch then uploads its changes; whole snapshots follow in the
-    background.
+    background. Batches for Python are cut at ``STATE_BATCH`` bytes.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(STATE_BATCH))
     return spark
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 
 from ..operators.windows import duration_micros
 from ..session import use_rocksdb
-from .state_rows import BUCKET, DATA, DEALT, cuts, gathered
+from .state_rows import BUCKET, DATA, DEALT, DEALT_GATHERED, cuts, gathered
 
 INSERT, RETRACT, UPDATE = "insert", "retract", "update"
 CHANGE, VERSION = "change", "version"
@@ -135,7 +135,7 @@ def stream_window_changes(df: DataFrame, key: str, amount: str, size: str = "60
     plain = df.filter(F.col(time).isNotNull()).select(F.col(key).cast("string").alias("key"), start.alias("window_start"), F.coalesce(F.col(amount).cast("long"), F.lit(0)).alias("amount"))
     use_rocksdb(df.sparkSession)
     bucket = F.pmod(F.xxhash64("key"), F.lit(DEALT)).cast("int")
-    sums = plain.withColumn(BUCKET, bucket).mapInArrow(gathered(_bucket_sums), CHUNKS)
+    sums = plain.withColumn(BUCKET, bucket).mapInArrow(gathered(_bucket_sums, DEALT_GATHERED), CHUNKS)
     out = sums.groupBy(BUCKET).transformWithStateInPandas(
         statefulProcessor=WindowChanges(micros), outputStructType=WindowChanges.output, outputMode="append", timeMode="EventTime"
     )

@@ -9,10 +9,12 @@ more than a chunk.
 
 from __future__ import annotations
 
+import tempfile
 from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
@@ -24,6 +26,10 @@ NO_SEQ = -(2**63)
 CHUNK = 10_000
 #: Ticks a task gathers before it hands their chunks on.
 GATHERED = 1_000_000
+#: The same for chunks of buckets, which fill sooner.
+DEALT_GATHERED = 250_000
+#: Ticks of one symbol that a task sorts at once; of every so many sorted ones, one is kept in memory.
+SORTED, SAMPLED = 250_000, 4_096
 TICK = np.dtype([("micros", "<i8"), ("seq", "<i8"), ("close", "<f8")])
 DATA = "data"
 CHUNKS = StructType([StructField("symbol", StringType()), StructField(DATA, BinaryType())])
@@ -91,8 +97,8 @@ def read_chunks(chunks: Sequence[tuple[bytes, bytes]]) -> tuple[pa.Array, np.nda
     return symbols.dictionary, codes, np.frombuffer(b"".join(bytes(data) for _, data in chunks), TICK)
 
 
-def gathered(chunks: Callable[[list[pa.RecordBatch]], pa.RecordBatch]):
-    """Task function: about ``GATHERED`` rows at a time to chunks."""
+def gathered(chunks: Callable[[list[pa.RecordBatch]], pa.RecordBatch], at_once: int = GATHERED):
+    """Task function: about ``at_once`` rows at a time to chunks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -100,7 +106,7 @@ def gathered(chunks: Callable[[list[pa.RecordBatch]], pa.RecordBatch]):
             if batch.num_rows:
                 held.append(batch)
                 rows += batch.num_rows
-            if rows >= GATHERED:
+            if rows >= at_once:
                 yield chunks(held)
                 held, rows = [], 0
         if held:
@@ -125,7 +131,7 @@ def dealt(ticks: DataFrame) -> DataFrame:
     empty input gives no row.
     """
     bucket = F.pmod(F.xxhash64("symbol"), F.lit(DEALT)).cast("int").alias(BUCKET)
-    return ticks.select("symbol", "event_time", "seq", "close", bucket).mapInArrow(gathered(_bucket_chunks), BUCKETS)
+    return ticks.select("symbol", "event_time", "seq", "close", bucket).mapInArrow(gathered(_bucket_chunks, DEALT_GATHERED), BUCKETS)
 
 
 def _fields(doubles: Sequence[str], longs: Sequence[str]) -> np.dtype:
@@ -149,8 +155,70 @@ def unpacked(chunks: DataFrame, doubles: Sequence[str], longs: Sequence[str] = (
     return chunks.mapInArrow(rows, StructType([CHUNKS["symbol"], *types]))
 
 
+def _upto(ticks: np.ndarray, micros: int, seq: int) -> int:
+    """How many of the sorted ticks come before a time and tie-breaker."""
+    low, high = np.searchsorted(ticks["micros"], [micros, micros + 1])
+    return int(low + np.searchsorted(ticks["seq"][low:high], seq))
+
+
+class _Run:
+    """Sorted ticks in a file; one of every ``SAMPLED`` stays in memory."""
+
+    def __init__(self, file, ticks: np.ndarray):
+        self.file, self.at, self.count, self.read = file, file.tell(), len(ticks), 0
+        self.samples, self.left = ticks[::SAMPLED].copy(), np.empty(0, TICK)
+        ticks.tofile(file)
+
+    def before(self, micros: int, seq: int) -> np.ndarray:
+        """The ticks before a time and tie-breaker that have not been given yet."""
+        end = min(self.count, _upto(self.samples, micros, seq) * SAMPLED)
+        if end > self.read:
+            self.file.seek(self.at + self.read * TICK.itemsize)
+            self.left = np.concatenate([self.left, np.fromfile(self.file, TICK, end - self.read)])
+            self.read = end
+        cut = _upto(self.left, micros, seq)
+        given, self.left = self.left[:cut], self.left[cut:]
+        return given
+
+    def rest(self) -> np.ndarray:
+        self.file.seek(self.at + self.read * TICK.itemsize)
+        return np.concatenate([self.left, np.fromfile(self.file, TICK, self.count - self.read)])
+
+
+def in_order(frames: Iterable[pd.DataFrame]) -> Iterator[Ticks]:
+    """The ticks of one symbol in order, about ``SORTED`` at a time.
+
+    More than that many are sorted in runs, written to a temporary file without a name, and read range by range, so
+    memory does not grow with the symbol. Ticks equal in time and tie-breaker stay in one piece.
+    """
+    with tempfile.TemporaryFile() as file:
+        held, size, runs = [], 0, []
+        for frame in frames:
+            for data in frame[DATA]:
+                held.append(bytes(data))
+                size += len(data) // TICK.itemsize
+                if size >= SORTED:
+                    runs.append(_Run(file, Ticks.of_data(held).data()))
+                    held, size = [], 0
+        if not runs:
+            if held:
+                yield Ticks.of_data(held)
+            return
+        if held:
+            runs.append(_Run(file, Ticks.of_data(held).data()))
+        samples = np.concatenate([run.samples for run in runs])
+        samples = samples[np.lexsort((samples["seq"], samples["micros"]))]
+        for micros, seq, _ in samples[SORTED // SAMPLED :: SORTED // SAMPLED].tolist():
+            ticks = np.concatenate([run.before(micros, seq) for run in runs])
+            if len(ticks):
+                yield Ticks(ticks["micros"], ticks["seq"], ticks["close"])
+        ticks = np.concatenate([run.rest() for run in runs])
+        if len(ticks):
+            yield Ticks(ticks["micros"], ticks["seq"], ticks["close"])
+
+
 class Ticks:
-    """The ticks of one symbol in one micro-batch as arrays, 24 bytes each.
+    """Ticks of one symbol as arrays, 24 bytes each.
 
     In the order of event time, then of the tie-breaker; a missing one is first.
     """
@@ -170,9 +238,18 @@ class Ticks:
 
     @classmethod
     def of_chunks(cls, rows: Iterable[Row]) -> Ticks:
-        ticks = np.frombuffer(b"".join(bytes(row[DATA]) for row in rows), TICK)
+        return cls.of_data([bytes(row[DATA]) for row in rows])
+
+    @classmethod
+    def of_data(cls, chunks: Sequence[bytes]) -> Ticks:
+        ticks = np.frombuffer(b"".join(chunks), TICK)
         return cls(ticks["micros"], ticks["seq"], ticks["close"])
 
+    def data(self) -> np.ndarray:
+        ticks = np.empty(len(self.close), TICK)
+        ticks["micros"], ticks["seq"], ticks["close"] = self.micros, self.seqs, self.close
+        return ticks
+
     def rows(self, *more: np.ndarray, start: int = 0) -> Iterator[tuple]:
         """(event_time, seq, ...) per tick; made in chunks as they are taken."""
         for at in range(start, len(self.micros), CHUNK):

@@ -2,9 +2,9 @@
 
 State lives in the RocksDB store (``session.use_rocksdb``), partitioned by
 symbol. Within one micro-batch the ticks of a symbol are folded in the order of
-event time; across micro-batches in the order they arrive. What one task holds
-in memory is one symbol's share of one micro-batch, so bound the batch at the
-source (``maxOffsetsPerTrigger``, ``maxBytesPerTrigger``). Ticks go to the state
+event time; across micro-batches in the order they arrive. A symbol's share of one
+micro-batch is one task's work, so bound the batch at the source (``maxOffsetsPerTrigger``,
+``maxBytesPerTrigger``); averages per tick take it in pieces, and a task holds one piece in memory. Ticks go to the state
 and come back in chunks, see ``state_rows``.
 
 State that expires (``ttl_ms``) follows the wall clock. Such a query always has
@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -28,7 +29,7 @@ from ..functions.smoothing import advice, usable
 from ..operators.fold import Fold, Smoothing
 from ..operators.windows import duration_micros
 from ..session import use_rocksdb
-from .state_rows import CHUNKS, Ticks, packed, unpacked
+from .state_rows import CHUNKS, Ticks, in_order, packed, unpacked
 from .windowed import stream_window_averages
 
 
@@ -54,9 +55,11 @@ def _timed(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.timestamp_micros(name) for name in names})
 
 
-def _with_state(df: DataFrame, processor: StatefulProcessor, time_mode: str = "None", initial: DataFrame | None = None) -> DataFrame:
+def _with_state(df: DataFrame, processor: StatefulProcessor, time_mode: str = "None", initial: DataFrame | None = None, frames: bool = False) -> DataFrame:
+    """With ``frames`` a processor takes and gives data frames; Spark collects the rows that others give for a key."""
     use_rocksdb(df.sparkSession)
-    return df.groupBy("symbol").transformWithState(
+    groups = df.groupBy("symbol")
+    return (groups.transformWithStateInPandas if frames else groups.transformWithState)(
         statefulProcessor=processor,
         outputStructType=processor.output,
         outputMode="append",
@@ -86,38 +89,45 @@ class TickAverages(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         state = _schema(symbol=False, longs=["micros"], doubles=self.smoothing.names)
         self.last = handle.getValueState("last", state, self.ttl_ms)
-        self.row = Row(*self.output.names)
         self.handle = handle
 
     def _due(self, micros: int) -> int:
         return -(-(micros + self.smoothing.expire) // 1000)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         last = self.last.get()
         if last is not None and self._due(last[0]) <= expiredTimerInfo.getExpiryTimeInMs():
             self.last.clear()
         return iter(())
 
-    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
         """A row of :func:`operators.last_averages`, with its time in microseconds."""
-        self.last.update((initialState.micros, *(initialState[name] for name in self.smoothing.names)))
+        micros = int(initialState["micros"].iloc[0])
+        self.last.update((micros, *(float(initialState[name].iloc[0]) for name in self.smoothing.names)))
         if self.smoothing.expire is not None:
-            self.handle.registerTimer(self._due(initialState.micros))
+            self.handle.registerTimer(self._due(micros))
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = Ticks.of_chunks(rows)
-        last = self.last.get()
-        starts = np.zeros(len(ticks.close), dtype=bool)
-        starts[0] = last is None
-        fold = Fold(self.smoothing, ["symbol"])
-        if last is not None:
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        last, fold = self.last.get(), Fold(self.smoothing, ["symbol"])
+        known = last is not None
+        if known:
             fold.micros, *fold.states = last
-        averages, before = fold.advance(ticks.close, ticks.micros, starts, {})
-        self.last.update((int(ticks.micros[-1]), *fold.states))
-        if self.smoothing.expire is not None:
-            self.handle.registerTimer(self._due(int(ticks.micros[-1])))
-        for chunk in ticks.chunks(dict(zip(self.averages, [*averages, *before]))):
-            yield self.row(key[0], chunk)
+        micros = None
+        for ticks in in_order(rows):
+            starts = np.zeros(len(ticks.close), dtype=bool)
+            starts[0] = not known
+            averages, before = fold.advance(ticks.close, ticks.micros, starts, {})
+            known, micros = True, int(ticks.micros[-1])
+            yield _chunk_frame(key[0], ticks.chunks(dict(zip(self.averages, [*averages, *before]))))
+        if micros is not None:
+            self.last.update((micros, *fold.states))
+            if self.smoothing.expire is not None:
+                self.handle.registerTimer(self._due(micros))
+
+
+def _chunk_frame(symbol: str | None, chunks: Iterable[bytes]) -> pd.DataFrame:
+    data = list(chunks)
+    return pd.DataFrame({"symbol": [symbol] * len(data), "data": data})
 
 
 class WindowsBefore(StatefulProcessor):
@@ -152,16 +162,14 @@ class FirstTime(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", _schema(symbol=False, longs=["micros"]))
-        self.row = Row(*self.output.names)
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        ticks = Ticks.of_chunks(rows)
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         first = self.first.get()
-        if first is None:
-            first = (int(ticks.micros[0]),)
-            self.first.update(first)
-        for chunk in ticks.chunks({"ema": ticks.close}, {"first_time": first[0]}):
-            yield self.row(key[0], chunk)
+        for ticks in in_order(rows):
+            if first is None:
+                first = (int(ticks.micros[0]),)
+                self.first.update(first)
+            yield _chunk_frame(key[0], ticks.chunks({"ema": ticks.close}, {"first_time": first[0]}))
 
 
 class Silence(StatefulProcessor):
@@ -217,7 +225,7 @@ def _averaged(ticks: DataFrame, smoothing: Smoothing, ttl_ms: int | None, histor
         initial = history.select("symbol", F.unix_micros("event_time").alias("micros"), *smoothing.names)
     mode = "ProcessingTime" if ttl_ms else "None" if smoothing.expire is None else "EventTime"
     processor = TickAverages(smoothing, ttl_ms)
-    return _timed(unpacked(_with_state(packed(_plain(ticks)), processor, mode, initial), processor.averages), "event_time")
+    return _timed(unpacked(_with_state(packed(_plain(ticks)), processor, mode, initial, frames=True), processor.averages), "event_time")
 
 
 def averages_in_state(spark: SparkSession, checkpoint: str, spans: Sequence[float] = (10, 100)) -> DataFrame:
@@ -300,7 +308,7 @@ def stream_window_advice(
 
 def stream_latest_per_tick(ticks: DataFrame) -> DataFrame:
     """``operators.latest_per_tick`` on a stream without a watermark."""
-    chunks = _with_state(packed(_plain(ticks)), FirstTime())
+    chunks = _with_state(packed(_plain(ticks)), FirstTime(), frames=True)
     return _timed(unpacked(chunks, ["ema"], ["first_time", "event_time", "seq"]), "first_time", "event_time")
 
 
