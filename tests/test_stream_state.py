@@ -18,6 +18,7 @@ from tidegauge.session import fresh_folder
 from tidegauge.streaming import averages_in_state, state_rows, stream_tick_advice, stream_window_averages, with_watermark, write_files
 from tidegauge.streaming.sinks import fan_out_once, folder_batch
 from tidegauge.streaming.state_rows import BUCKET, CHUNK, CHUNKS, DATA, DEALT, NO_SEQ, RUNS, TICK, Ticks, dealt, in_order, packed, read_chunks, unpacked
+from tidegauge.streaming.windowed import HELD
 
 TICKS = "symbol string, event_time timestamp, seq bigint, close double"
 
@@ -199,6 +200,23 @@ def test_a_hot_symbol_is_averaged_piece_by_piece(spark):
     assert found.exceptAll(whole.select(*found.columns)).count() == 0
 
 
+def test_a_hot_window_is_taken_in_piece_by_piece(spark):
+    n, start = 600_000, 1_700_006_400_000_000  # all in one day and symbol
+    ticks = spark.range(0, n, 1, 4).select(
+        F.lit("A").alias("symbol"), F.timestamp_micros(F.lit(start) + F.col("id") * 7919 % n * 1000).alias("event_time"),
+        F.col("id").alias("seq"), (F.col("id") * 31 % 97).cast("double").alias("close"),
+    )
+    after = spark.createDataFrame([("END", at(0), n, 1.0)], TICKS)
+    source, path, checkpoint = (fresh_folder(spark, f"hot-window-{x}") for x in ("source", "out", "checkpoint"))
+    ticks.unionByName(after).write.parquet(source)
+    rows = stream_window_averages(with_watermark(spark.readStream.schema(TICKS).parquet(source)), "1 day")
+    write_files(rows, path, checkpoint, once=True).awaitTermination()
+    entries = spark.read.format("statestore").option("stateVarName", "ticks").option("batchId", 0).load(checkpoint)
+    sizes = [r[0] // TICK.itemsize for r in entries.select(F.octet_length("user_map_value.data")).collect()]
+    assert sum(sizes) == n + 1 and max(sizes) < HELD + CHUNK
+    assert by_window(spark.read.parquet(path)) == by_window(window_averages(ticks, "1 day"))
+
+
 def test_chunks_come_back_as_rows(spark):
     ticks = Ticks(np.array([3, 1, 2]), np.array([7, NO_SEQ, 9]), np.array([1.0, 2.0, float("nan")]))
     chunks = [(s, bytearray(c)) for s in ("A", None) for c in ticks.chunks({"x": ticks.close, "y": ticks.close * 2}, {"first_time": 1})]

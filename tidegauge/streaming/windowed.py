@@ -24,7 +24,7 @@ from .state_rows import BUCKET, DATA, RUNS, dealt, read_chunks, runs_of
 #: Bytes of panes that a task keeps at hand while windows that share them close.
 CACHED = 64 << 20
 #: Ticks that a task takes in before it puts them into their panes; ticks folded at once.
-HELD, AT_ONCE = 500_000, 100_000
+HELD, AT_ONCE = 250_000, 100_000
 
 
 class PaneWindows(StatefulProcessor):
