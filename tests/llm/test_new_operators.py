@@ -84,6 +84,15 @@ class TestDivergence:
     def test_empty(self, spark):
         assert divergence.divergence(frame(spark, [])).count() == 0
 
+    def test_terms_of_several_texts(self):
+        texts = [b"", None, "One two\u00a0ONE".encode(), b" 12 ", b"x", "\u00e9t\u00e9 Z9z".encode() + b"\x00", b"x y"]
+        terms, doc = divergence.terms_of(texts)
+        wanted = [(i, term) for i, text in enumerate(texts) for term in (text or b"").translate(divergence.TERM_BYTES).split()]
+        assert list(zip(doc.tolist(), terms.to_pylist())) == wanted and len(wanted) == 8
+        assert [len(x) for x in divergence.terms_of([None, b""])] == [0, 0]
+        long = b"ab " * divergence.CUT
+        assert b"".join(divergence.pieces_of(long)) == long and sum(len(divergence.terms_of([x])[0]) for x in divergence.pieces_of(long)) == divergence.CUT
+
     def test_heap_merge(self):
         """Runs of odd sizes, each in blocks, against plain counting."""
         rng = random.Random(2)

@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +42,37 @@ TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128
 RUNS = "shard int, lang string, first binary, terms array<binary>, docs array<bigint>, held array<bigint>, sources array<string>, counts array<bigint>"
 
 
-def terms_of(text: bytes | None) -> Iterator[list[bytes]]:
-    """The terms of a text in order, about ``CUT`` bytes at a time."""
+def pieces_of(text: bytes | None) -> Iterator[bytes]:
+    """A text in order, about ``CUT`` bytes at a time, cut between terms."""
     blank = (text or b"").translate(TERM_BYTES)
     at = 0
     while at < len(blank):
         end = blank.find(b" ", at + CUT) if at + CUT < len(blank) else -1
         end = len(blank) if end < 0 else end
-        yield blank[at:end].split()
+        yield blank[at:end]
         at = end
 
 
+def terms_of(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """The terms of texts in order, and the number of the text that each is in."""
+    texts = [text or b"" for text in texts]
+    raw = np.frombuffer(b" ".join(texts).translate(TERM_BYTES), np.uint8)
+    inside = raw != 32
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.append(0, np.cumsum(ends - starts)).astype(np.int32)
+    terms = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
+    first = np.cumsum([0, *(len(text) + 1 for text in texts[:-1])])
+    return terms, np.searchsorted(first, starts, "right") - 1
+
+
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and how often each occurs."""
+    keys = np.sort(keys)
+    firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[firsts], np.diff(firsts, append=len(keys))
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sums of their counts."""
     key, count = np.concatenate([np.empty(0, np.int64), *keys]), np.concatenate([np.empty(0, np.int64), *counts])
@@ -74,7 +96,7 @@ class Postings:
         self._clear()
 
     def _clear(self) -> None:
-        self.terms: dict[bytes, int] = {}
+        self.terms: dict[bytes, int] = defaultdict(count().__next__)
         self.langs: dict[str, int] = {}
         self.groups: dict[tuple[int, str], int] = {}
         self.docs, self.posts, self.held = [], [], 0
@@ -94,26 +116,25 @@ class Postings:
         lang = [self.langs.setdefault(x, len(self.langs)) for x in langs]
         group = np.array([self.groups.setdefault(x, len(self.groups)) for x in zip(lang, sources)], dtype=np.int64)
         lang, pairs = np.array(lang, dtype=np.int64), []
-        pieces = [[(i, terms)] for i, text in enumerate(texts) for terms in terms_of(text)]
-        for some in pieces if len(texts) == 1 else [sum(pieces, [])]:
-            found = pa.array([term for _, terms in some for term in terms], pa.binary()).dictionary_encode()
-            number = np.array([self.terms.setdefault(x, len(self.terms)) for x in found.dictionary.to_pylist()], dtype=np.int64)
+        for some in [[piece] for piece in pieces_of(texts[0])] if len(texts) == 1 else [texts]:
+            terms, doc = terms_of(some)
+            found = terms.dictionary_encode()
+            number = np.fromiter(map(self.terms.__getitem__, found.dictionary.to_pylist()), np.int64, len(found.dictionary))
             term = number[found.indices.to_numpy()] if len(found) else np.empty(0, np.int64)
-            doc = np.repeat(np.array([i for i, _ in some], dtype=np.int64), [len(terms) for _, terms in some])
-            self.posts.append(np.unique(group[doc] << 32 | term, return_counts=True))
-            pairs.append(np.unique(doc << 32 | term))
+            self.posts.append(_counted(group[doc] << 32 | term))
+            pairs.append(_counted(doc << 32 | term)[0])
             self.held += len(self.posts[-1][0])
-        pair = np.unique(np.concatenate([np.empty(0, np.int64), *pairs]))
-        self.docs.append(np.unique(lang[pair >> 32] << 32 | pair & LOW, return_counts=True))
+        pair = pairs[0] if len(pairs) == 1 else _counted(np.concatenate([np.empty(0, np.int64), *pairs]))[0]
+        self.docs.append(_counted(lang[pair >> 32] << 32 | pair & LOW))
 
     def leave(self, shards: int) -> pa.RecordBatch:
         """The block as a run, emptied: rows of ``RUNS`` by language, shard and term."""
         key, docs = _summed(*zip(*self.docs)) if self.docs else (np.empty(0, np.int64),) * 2
         post, counts = _summed(*zip(*self.posts)) if self.posts else (np.empty(0, np.int64),) * 2
         terms = sorted(self.terms)
-        numbers = np.array([self.terms[x] for x in terms], dtype=np.int64)
+        numbers = np.fromiter(map(self.terms.__getitem__, terms), np.int64, len(terms))
         rank, shard = np.empty(len(terms), np.int64), np.empty(len(terms), np.int64)
-        rank[numbers], shard[numbers] = np.arange(len(terms)), [zlib.crc32(x) % shards for x in terms]
+        rank[numbers], shard[numbers] = np.arange(len(terms)), np.fromiter(map(zlib.crc32, terms), np.int64, len(terms)) % shards
         lang, term = key >> 32, key & LOW
         order = np.lexsort((rank[term], shard[term], lang))
         lang, term, docs = lang[order], term[order], docs[order]
